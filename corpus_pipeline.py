@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lattix.llm import quality
+from lattix.llm import bpe, decontaminate, pii, quality, simhash
 from lattix.llm.batches import written
 
 
@@ -13,9 +13,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near-duplicates the document with the smallest id stays: five words a shingle, three bits."""
+    return simhash.keep_one_of_each(docs, size=5)
 
-#: SQL can't express the later stages; tests hold the rows against a plain version.
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked in the texts; n_chars follows."""
+    return pii.mask_personal_data(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
+
+
+def byte_pairs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every text, with digests of the ids and of the text decoded from them."""
+    import public_tokenizers
+
+    return bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), with_ids=True)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("byte-level BPE", byte_pairs),
+]
+
+#: SQL can't express the stages after the first; tests hold the rows against a plain version.
 ORACLE_SQL = None
 
 

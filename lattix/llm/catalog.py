@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lattix.llm.bpe import op6_token_counts, op8_bpe_encode_decode
 from lattix.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
+from lattix.llm.pii import op5_pii
 from lattix.llm.quality import OP2_SQL, op2_quality_rules
 from lattix.llm.simhash import op3_simhash_near_dedup
 from lattix.llm.url_rules import OP1_SQL, op1_url_filters
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_pii": op5_pii,
     "op6_token_counts": op6_token_counts,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
