@@ -11,6 +11,7 @@ from lattix.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
 from lattix.llm.pii import op5_pii
 from lattix.llm.quality import OP2_SQL, op2_quality_rules
 from lattix.llm.simhash import op3_simhash_near_dedup
+from lattix.llm.suffix_tree import op9_lm_scoring
 from lattix.llm.url_rules import OP1_SQL, op1_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,5 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 ORACLE_SQL: dict[str, str] = {"op1_url_filters": OP1_SQL, "op2_quality_rules": OP2_SQL, "op7_benchmark_decontamination": OP7_SQL}
