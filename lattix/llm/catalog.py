@@ -13,6 +13,7 @@ from lattix.llm.pii import op5_pii
 from lattix.llm.quality import OP2_SQL, op2_quality_rules
 from lattix.llm.simhash import op3_simhash_near_dedup
 from lattix.llm.suffix_tree import op9_lm_scoring
+from lattix.llm.suffixes import op10_suffix_array_dedup
 from lattix.llm.url_rules import OP1_SQL, op1_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -25,5 +26,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 ORACLE_SQL: dict[str, str] = {"op1_url_filters": OP1_SQL, "op2_quality_rules": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op7_benchmark_decontamination": OP7_SQL}
