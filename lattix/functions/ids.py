@@ -39,7 +39,7 @@ def parse_id(text: Column) -> Column:
 
 def unsigned(id_: Column) -> Column:
     """The identity as it is counted without a sign, for export."""
-    return F.when(id_ >= 0, id_.cast("decimal(20,0)")).otherwise(id_.cast("decimal(20,0)") + F.lit(1 << 64).cast("decimal(20,0)"))
+    return F.when(id_ >= 0, id_.cast("decimal(20,0)")).otherwise(id_.cast("decimal(20,0)") + F.lit(str(1 << 64)).cast("decimal(20,0)"))
 
 
 def order(id_: Column, descending: bool = False) -> list[Column]:

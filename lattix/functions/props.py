@@ -11,9 +11,23 @@ def fields(properties: Column) -> Column:
     return F.from_json(properties, "map<string,string>")
 
 
+def _as_written(properties: Column, key: Column, text: Column) -> Column:
+    """A number's own digits, where reading it as a double changed them; exponents are written out.
+
+    The map's text is searched for a number of that key and the same value, so a nested key of the same name and value
+    may lend its digits.
+    """
+    pattern = F.concat(F.lit('"\\Q'), key, F.lit('\\E"\\s*:\\s*(-?[0-9][0-9.eE+-]*)'))
+    value = text.try_cast("double")
+    raw = F.get(F.filter(F.regexp_extract_all(properties, pattern, F.lit(1)), lambda s: s.try_cast("double") == value), F.lit(0))
+    plain = F.regexp_replace(raw.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    spelled = F.when(raw.rlike("[eE]") & (plain.try_cast("double") == value), plain).otherwise(raw)
+    return F.when(text.rlike(r"[.]|Infinity"), F.coalesce(spelled, text)).otherwise(text)
+
+
 def property_text(properties: Column, key: str) -> Column:
     """The value's text; number and string alike, null for JSON null or no such key."""
-    return fields(properties)[key]
+    return _as_written(properties, F.lit(key), fields(properties)[key])
 
 
 def nested(properties: Column, *path: str | int) -> Column:
@@ -50,10 +64,9 @@ def is_fractional(text: Column) -> Column:
 
 def each_property(df: DataFrame, properties: str = "properties") -> DataFrame:
     """The rows with key, value (text) and kind of each property."""
-    # a full outer apply of the map's texts and its typed values
     typed = F.map_from_entries(F.transform(F.map_entries(F.try_parse_json(properties).cast("map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), _kind_of_shape(_shape(e["value"])).alias("v"))))
     held = df.withColumn("__texts", fields(F.col(properties))).withColumn("__kinds", typed)
-    return held.select("*", F.explode("__texts").alias("key", "value")).withColumn("kind", F.coalesce(F.col("__kinds")[F.col("key")], F.lit("null"))).drop("__texts", "__kinds")
+    return held.select("*", F.explode("__texts").alias("key", "value")).withColumn("value", _as_written(F.col(properties), F.col("key"), F.col("value"))).withColumn("kind", F.coalesce(F.col("__kinds")[F.col("key")], F.lit("null"))).drop("__texts", "__kinds")
 
 
 def _quoted(text: Column) -> Column:
@@ -67,7 +80,7 @@ def _raw_entries(properties: Column) -> Column:
     typed = F.map_entries(F.try_parse_json(properties).cast("map<string,variant>"))
 
     def raw(e: Column) -> Column:
-        text = texts[e["key"]]
+        text = _as_written(properties, e["key"], texts[e["key"]])
         return F.struct(e["key"].alias("key"), F.when(_shape(e["value"]) == "STRING", _quoted(text)).otherwise(F.coalesce(text, F.lit("null"))).alias("value"))
 
     return F.transform(typed, raw)

@@ -65,5 +65,7 @@ def sparse_distance(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
 
     both = parts(a, "x").join(parts(b, "y"), [key, "i"], "full").select(key, F.coalesce("x", F.lit(0.0)).alias("x"), F.coalesce("y", F.lit(0.0)).alias("y"))
     sums = both.groupBy(key).agg(F.sum((F.col("x") - F.col("y")) ** 2).alias("sq"), F.sum(F.col("x") * F.col("y")).alias("dot"), F.sum(F.abs(F.col("x") - F.col("y"))).alias("l1"), F.sum(F.col("x") ** 2).alias("xx"), F.sum(F.col("y") ** 2).alias("yy"))
+    names = ["sq", "dot", "l1", "xx", "yy"]
+    sums = pairs.select(key).join(sums, key, "left").fillna(0.0, names)  # pairs of zeros have no component at all
     size = F.sqrt(F.col("xx")) * F.sqrt(F.col("yy"))
-    return sums.select(key, F.sqrt("sq").alias("l2"), (-F.col("dot")).alias("inner_product"), F.when(size == 0, float("nan")).otherwise(1 - F.col("dot") / size).alias("cosine"), "l1")
+    return sums.select(key, F.sqrt("sq").alias("l2"), (0.0 - F.col("dot")).alias("inner_product"), F.when(size == 0, float("nan")).otherwise(1 - F.col("dot") / size).alias("cosine"), "l1")

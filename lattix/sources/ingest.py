@@ -77,7 +77,7 @@ def endpoint(df: DataFrame, name: str) -> Column:
     if isinstance(kind, (T.LongType, T.IntegerType, T.ShortType)):
         value = F.col(name).cast("long")
     elif isinstance(kind, T.DecimalType):
-        value = F.when(F.col(name) >= F.lit(1 << 63).cast("decimal(20,0)"), F.col(name) - F.lit(1 << 64).cast("decimal(20,0)")).otherwise(F.col(name)).cast("long")
+        value = F.when(F.col(name) >= F.lit(str(1 << 63)).cast("decimal(20,0)"), F.col(name) - F.lit(str(1 << 64)).cast("decimal(20,0)")).otherwise(F.col(name)).cast("long")
     elif isinstance(kind, T.StringType):
         value = ids.parse_id(F.col(name))
     else:
