@@ -67,28 +67,30 @@ def decode_edges(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]
 
 
 def split_elements(text: str | None) -> list[str | None] | None:
-    """The elements of ``[a,b,...]``: commas count only outside maps and identity groups; NULL is an empty slot."""
+    """The elements of ``[a,b,...]``: a comma parts them only after a closed map or an empty slot, which is NULL.
+
+    A label may hold commas, brackets and quotes; a map opens after an identity group alone.
+    """
     if text is None or not (text.startswith("[") and text.endswith("]")):
         return None
     body = text[1:-1]
     if not body:
         return []
-    out, depth, quoted, escaped, last, inside = [], 0, False, False, 0, False
+    out, depth, quoted, escaped, last, closed = [], 0, False, False, 0, -1
     for k, c in enumerate(body):
         if quoted:
             escaped, quoted = (c == "\\" and not escaped), not (c == '"' and not escaped)
-            continue
-        if depth and c == '"':
-            quoted, escaped = True, False
-        elif c == "{" and (depth or body[k - 1 : k] == "]"):
-            depth += 1
-        elif c == "}" and depth:
-            depth -= 1
-        elif not depth and c == "[":
-            inside = True
-        elif not depth and c == "]":
-            inside = False
-        elif c == "," and not depth and not inside:
+        elif depth:
+            if c == '"':
+                quoted, escaped = True, False
+            elif c == "{":
+                depth += 1
+            elif c == "}":
+                depth -= 1
+                closed = k + 1
+        elif c == "{" and body[k - 1 : k] == "]":
+            depth = 1
+        elif c == "," and (closed == k or body[last:k] == "NULL"):
             out.append(body[last:k])
             last = k + 1
     if depth or quoted:
