@@ -42,7 +42,8 @@ class Cells:
 
         self.vector, self.id = vector, id_
         asked = df.select(F.col(id_).alias("id"), F.col(vector).alias("v"))
-        some = asked.where("v IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(sample).select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
+        share = min(1.0, 2 * sample / max(1, asked.count()))  # a first cut by hash, so that tasks don't each offer as many
+        some = asked.where("v IS NOT NULL").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("id"), "id").limit(sample).select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
         centers = KMeans(k=lists, seed=seed, maxIter=15).fit(some).clusterCenters()
         shape = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("center", T.ArrayType(T.FloatType()))])
         self.centers = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]

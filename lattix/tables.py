@@ -12,6 +12,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not top:
         import tempfile
 
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lattix-"))
         top = spark.sparkContext.getCheckpointDir()
     return f"{top.rstrip('/')}/lattix-{uuid.uuid4().hex}"
