@@ -60,6 +60,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray) -> tupl
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def stretches(*keys: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of rows that agree in all of the sorted keys; none for no rows."""
+    n = len(keys[0])
+    if not n:
+        return []
+    new = np.zeros(n, np.bool_)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    first = np.flatnonzero(new)
+    return list(zip(first.tolist(), [*first[1:].tolist(), n], strict=True))
+
+
 #: The ASCII white space of the contracts: space, and tab to carriage return.
 SPACE = np.zeros(256, np.bool_)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -127,6 +140,9 @@ def shared_folder(spark: SparkSession) -> str:
         if not kept:
             import tempfile
 
+            if spark.sparkContext.master.split("[")[0] != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lattix-"))
             kept = spark.sparkContext.getCheckpointDir()
         top = kept
