@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattix.llm.batches import SPACE, RollingHash, mapped, mixed, pieces, text_bytes, window_hashes, word_spans, written
+from lattix.llm.batches import SPACE, RollingHash, mapped, mixed, pieces, stretches, text_bytes, window_hashes, word_spans, written
 
 #: Bytes of text that fall to one shard.
 SHARD_BYTES = 2_000_000
@@ -109,11 +109,10 @@ class Cut:
         return self.flat[a:b].tobytes() if self.at is None else self.flat[self.at[a] : self.at[b] - 1].tobytes()
 
 
-def _packed(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+def _packed(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
-    cuts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=True):
+    for a, b in stretches(ranked):
         yield int(ranked[a]), order[a:b]
 
 
@@ -138,11 +137,11 @@ def _asking(units: Units, shards: int) -> Callable:
             known[of[cut.self_repeated]] = True
             out: list[tuple] = []
             sure = np.flatnonzero(known[of])
-            for row, at in _packed(cut.row[sure], len(ids)):  # these need no answer; they pass through any shard
+            for row, at in _packed(cut.row[sure]):  # these need no answer; they pass through any shard
                 out.append((int(ids[row]) % shards, int(ids[row]), int(ths[row]), np.unique(cut.anchor[sure[at]]).tobytes(), None, None, None))
             first = np.full(len(kinds), -1, np.int64)
             first[of[::-1]] = np.arange(len(of))[::-1]
-            for shard, at in _packed(_to_shard(kinds, shards), len(kinds)):
+            for shard, at in _packed(_to_shard(kinds, shards)):
                 rows = cut.row[first[at]]
                 out.append((shard, None, None, kinds[at].tobytes(), known[at].tobytes(), ids[rows].tobytes(), ths[rows].tobytes()))
             types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
@@ -168,8 +167,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, ids, ths = anchors[again], ids[again], ths[again]
         order = np.lexsort((ths, ids))
         anchors, ids, ths = anchors[order], ids[order], ths[order]
-        cuts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1])])) if len(ids) else np.zeros(0, np.int64)
-        return [(int(ids[a]), int(ths[a]), anchors[a:b].tobytes()) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(ids)], strict=True)]
+        return [(int(ids[a]), int(ths[a]), anchors[a:b].tobytes()) for a, b in stretches(ids, ths)]
 
     def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
@@ -221,8 +219,7 @@ def _by_shard(find: Callable[[dict], list[tuple[int, int, int, int]]]) -> Callab
 
         for batch in batches:
             shards = batch["shard"].to_numpy()
-            cuts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]])).tolist() if len(shards) else []
-            for a, b in zip(cuts, [*cuts[1:], len(shards)], strict=True):
+            for a, b in stretches(shards):
                 if shards[a] != shard:
                     yield out()
                     shard = shards[a]
