@@ -15,30 +15,35 @@ from lattix.tables import written
 
 
 class GraphFeed:
-    """Holds the graph that a stream writes into; batches already written are known by number and skipped."""
+    """Holds the graph that a stream writes into; batches already written are known by number and skipped.
 
-    def __init__(self, g: Graph, upsert: Callable[[Graph, DataFrame], tuple[Graph, int, int]], label: str):
-        self.graph, self.upsert, self.label = g, upsert, label
+    New elements are written once, by their batch, and stay a table of their own until ``compact_every`` batches are
+    joined into one. A feed that changes stored elements rewrites its label with every batch.
+    """
+
+    def __init__(self, g: Graph, upsert: Callable[[Graph, DataFrame], tuple[Graph, int, int]], label: str, compact_every: int = 1):
+        self.graph, self.upsert, self.label, self.compact_every = g, upsert, label, compact_every
         self.done: dict[int, tuple[int, int]] = {}
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         if number in self.done:
             return
         g, inserted, updated = self.upsert(self.graph, batch)
-        self.graph = g.with_frame(self.label, written(g.frames[self.label]))
         self.done[number] = inserted, updated
+        full = len(self.done) % self.compact_every == 0
+        self.graph = g.with_frame(self.label, written(g.frames[self.label])) if full else g
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         return stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def vertex_feed(g: Graph, label: str, key: str, order: list[str], on_existing: str = "update") -> GraphFeed:
-    """Cost follows the batch; a batch that is replayed writes nothing."""
-    return GraphFeed(g, lambda held, batch: write.upsert_vertices(held, label, batch, key, order, on_existing, require_unique=False), label)
+    """A batch that is replayed writes nothing."""
+    return GraphFeed(g, lambda held, batch: write.upsert_vertices(held, label, batch, key, order, on_existing, require_unique=False), label, 1 if on_existing == "update" else 16)
 
 
 def edge_feed(g: Graph, label: str, order: list[str], on_existing: str = "skip") -> GraphFeed:
-    return GraphFeed(g, lambda held, batch: write.upsert_edges(held, label, batch, order, on_existing, require_unique=False), label)
+    return GraphFeed(g, lambda held, batch: write.upsert_edges(held, label, batch, order, on_existing, require_unique=False), label, 1 if on_existing == "update" else 16)
 
 
 def element_counts(stream: DataFrame) -> DataFrame:
