@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattix.llm.batches import SPACE, mapped, pieces, text_bytes, word_spans
-from lattix.llm.repeats import Units, removed_items, repeated_spans
+from lattix.llm.repeats import NO_ID, Units, removed_items, repeated_spans
 
 WINDOW, GRAM = 20, 6
 #: Windows that one automaton is compiled from; a shard with more has several.
@@ -89,7 +89,7 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in left]), "kept": pa.array([x.decode() for x in left], pa.string()),
             })
 
-    return mapped(texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "text", "spans"), kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    return mapped(texts.join(spans, ["doc_id", "th"], "left").select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", "spans"), kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,8 @@ from lattix.llm.batches import SPACE, RollingHash, mapped, mixed, pieces, stretc
 SHARD_BYTES = 2_000_000
 #: The span that stands for a whole text.
 WHOLE = 1 << 40
+#: Stands for a null id.
+NO_ID = -(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -89,7 +91,8 @@ class Cut:
         if len(least):
             spots[:] = _slide(np.concatenate([np.zeros(m - 1, np.uint64), np.where(good, least, 0), np.zeros(m - 1, np.uint64)]), m, np.maximum, 0)
         step = np.ones(len(least), np.bool_)
-        step[1:] = (least[1:] != least[:-1]) | ~good[:-1] | (rows[1 : len(least)] != rows[: len(least) - 1])
+        own = rows[: len(least)]
+        step[1:] = (least[1:] != least[:-1]) | ~good[:-1] | (own[1:] != own[:-1])
         begin = np.flatnonzero(step & good)
         stop = np.ones(len(least), np.bool_)
         stop[:-1] = step[1:] | ~good[1:]
@@ -238,7 +241,7 @@ def repeated_spans(docs: DataFrame, units: Units, find: Callable, first_stays: b
     copy stays; a span up to ``WHOLE`` is a whole text.
     """
     spark = docs.sparkSession
-    keyed = docs.withColumn("th", F.xxhash64("text"))
+    keyed = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("th", F.xxhash64("text"))
     ids = written(keyed.select("doc_id", "th", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")))
     total = ids.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattix.llm.batches import RollingHash, mapped, pieces, text_bytes
-from lattix.llm.repeats import Units, removed_items, repeated_spans
+from lattix.llm.repeats import NO_ID, Units, removed_items, repeated_spans
 
 WINDOW, GRAM = 400, 64
 #: Suffixes that are sorted at once; runs of one anchor stay together.
@@ -123,7 +123,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in left]), "kept": pa.array(left, pa.binary()),
             })
 
-    return mapped(texts.join(spans, ["doc_id", "th"], "left").select("doc_id", "text", "spans"), kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return mapped(texts.join(spans, ["doc_id", "th"], "left").select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", "spans"), kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

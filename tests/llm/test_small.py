@@ -404,3 +404,51 @@ def test_a_stream_holds_all_symbols():
 def test_scores_beat_an_even_guess_on_held_out_texts(spark):
     got = suffix_tree.score_texts(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
     assert -got[0] / got[1] < 6.5  # an even guess over bytes is near 14 a token
+
+
+# --- nulls for ids, and nothing to find
+
+
+def test_rows_without_an_id(spark):
+    import public_tokenizers as public
+
+    rows = [(None, "some words here " * 12), (None, None), (1, "some words here " * 12), (2, "x@example.com")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path, model = public.path("byte_bpe_multi_50k.tiktoken"), pii.SemiMarkov()
+    bench = spark.createDataFrame([(None, "some words here"), (5, "x")], "item_id long, text string")
+    for made in (quality.measure_quality(df), passages.remove_passages(df), suffixes.remove_repeats(df, window=30), pii.find_personal_data(df, model), bpe.encode_and_decode(df, path), decontaminate.find_hits(df, bench), suffix_tree.score_texts(df)):
+        assert made.count() == 4 and made.where("doc_id IS NULL").count() == 2
+    assert simhash.near_duplicates(df).count() == 4
+
+
+def test_texts_without_repeats(spark):
+    random.seed(11)
+    rows = [(k, " ".join("".join(random.choices("abcdefghij", k=9)) for _ in range(120))) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert passages.remove_passages(df).where("n_removed > 0").isEmpty() and suffixes.remove_repeats(df).where("n_removed > 0").isEmpty()
+    assert passages.remove_passages(df).count() == suffixes.remove_repeats(df).count() == suffix_tree.score_texts(df).count() == 4
+
+
+def test_one_word_in_all_texts(spark):
+    df = spark.createDataFrame([(k, "same " * k) for k in range(60)], "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_tree.score_texts(df).collect()}
+    train = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 != 2]
+    assert got[59].n_known == 60 and got[59].train_tokens == sum(k + 1 for k in train)
+
+
+def test_similar_texts(spark):
+    random.seed(12)
+    word = lambda: "".join(random.choices("abcdefghijklmnop", k=7))
+    base = [[word() for _ in range(300)] for _ in range(6)]
+    rows = [(k, " ".join(b)) for k, b in enumerate(base)]
+    for k, b in enumerate(base):
+        for c in range(8):
+            copy = list(b)
+            for _ in range(4):  # of 296 shingles at most 20 differ
+                copy[random.randrange(300)] = word()
+            rows.append((100 + 10 * k + c, " ".join(copy)))
+    rows += [(900, None), (901, ""), (902, "two words"), (903, "two words"), (904, "other words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(df).collect()}
+    assert got == {k: k for k in range(6)} | {100 + 10 * k + c: k for k in range(6) for c in range(8)} | {900: 900, 901: 900, 902: 902, 903: 902, 904: 904}
+    assert sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()) == [0, 1, 2, 3, 4, 5, 900, 902, 904]
