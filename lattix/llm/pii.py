@@ -244,7 +244,9 @@ def told_cuts(text: str, run: list[tuple[int, int]], base: list[tuple[str, int,
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SemiMarkov:
     """A model fitted on word runs of at most ``TRAIN_DOCS`` documents; only their short runs reach the driver."""
-    some = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("h"), F.col(id_col).alias("i")).where("text IS NOT NULL").orderBy("h", "i").limit(TRAIN_DOCS)
+    hashed = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("h"), F.col(id_col).alias("i")).where("text IS NOT NULL")
+    share = min(1.0, 2 * TRAIN_DOCS / max(1, docs.count()))  # a first cut by hash, so that tasks don't each offer as many
+    some = hashed.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("h", "i").limit(TRAIN_DOCS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
