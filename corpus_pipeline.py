@@ -14,8 +14,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id stays: five words a shingle, three bits."""
-    return simhash.keep_one_of_each(docs, size=5)
+    """Of every group of near-duplicates the document with the smallest id stays: shingles of five words, 0.8 shared."""
+    return simhash.keep_one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattix.llm.batches import mapped, pieces, written
+from lattix.llm.batches import mapped, mixed, pieces, written
 from lattix.llm.components import components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -59,39 +59,44 @@ class BitPlanes:
         self.planes = np.packbits(padded, axis=1, bitorder="little").view(np.uint64)
 
     def within(self, probe: int, radius: int = RADIUS) -> np.ndarray:
-        """Positions of the prints that differ from ``probe`` in at most ``radius`` (3) bits.
+        """Positions of the prints that differ from ``probe`` in at most ``radius`` bits.
 
-        Distances are counted in three vertical counters that saturate: ones, twos, and over for four or more. Three
-        planes at a time go through a carry-save adder; blocks of 64 whose prints are all over are abandoned.
+        Distances are counted in vertical counters that start so high that the first excess bit overflows them. Three
+        planes at a time go through a carry-save adder; blocks of 64 whose prints all overflowed are abandoned.
         """
+        full = np.uint64(0xFFFFFFFFFFFFFFFF)
+        width = max(2, (radius + 1).bit_length() - (radius & (radius + 1) == 0))
         alive = np.arange(self.planes.shape[1])
-        ones = twos = over = np.zeros(len(alive), np.uint64)
-        for at in range(0, 63, 3):
-            a, b, c = (self.planes[at + k, alive] ^ np.uint64(0xFFFFFFFFFFFFFFFF if probe >> (at + k) & 1 else 0) for k in range(3))
+        begin = (1 << width) - 1 - radius
+        counts = [np.full(len(alive), full if begin >> k & 1 else 0, np.uint64) for k in range(width)]
+        over = np.zeros(len(alive), np.uint64)
+        for at in range(0, 64, 3):
+            a, b, c = (self.planes[at + k, alive] ^ (full if probe >> (at + k) & 1 else np.uint64(0)) if at + k < 64 else np.uint64(0) for k in range(3))
             half = a ^ b
-            one, two = half ^ c, (a & b) | (half & c)
-            carry = ones & one
-            ones = ones ^ one
-            over = over | (twos & two) | (carry & (twos ^ two))
-            twos = twos ^ two ^ carry
+            for first, carry in ((0, half ^ c), (1, (a & b) | (half & c))):
+                for k in range(first, width):
+                    counts[k], carry = counts[k] ^ carry, counts[k] & carry
+                over = over | carry
             if at % 9 == 6 and len(alive) > 1:
-                open_ = over != np.uint64(0xFFFFFFFFFFFFFFFF)
+                open_ = over != full
                 if not open_.all():
-                    alive, ones, twos, over = alive[open_], ones[open_], twos[open_], over[open_]
+                    alive, over, counts = alive[open_], over[open_], [x[open_] for x in counts]
                     if not len(alive):
                         return alive
-        last = self.planes[63, alive] ^ np.uint64(0xFFFFFFFFFFFFFFFF if probe >> 63 & 1 else 0)
-        over = over | (twos & ones & last)
         good = np.unpackbits((~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").reshape(-1)
         at = (alive[:, None] * 64 + np.arange(64)).reshape(-1)[good.astype(bool)]
         return at[at < self.n]
 
 
-def _links(prints: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int]]:
-    """A forest of links over one bucket, or over two of its tiles."""
+def _links(nodes: np.ndarray, prints: np.ndarray, radius: int, coarse: int) -> list[tuple[int, int]]:
+    """A forest of links over one bucket, or over two of its tiles.
+
+    ``prints`` has a row of 64-bit words a node. The first words are compared bit-sliced within ``coarse`` bits;
+    whole prints of those that stay within ``radius``.
+    """
     order = np.argsort(nodes)
-    prints, nodes = prints[order].view(np.uint64), nodes[order]
-    n = groups = len(prints)
+    nodes, prints = nodes[order], np.ascontiguousarray(prints[order]).view(np.uint64)
+    n = len(nodes)
     parent = list(range(n))
 
     def top(x: int) -> int:
@@ -101,49 +106,50 @@ def _links(prints: np.ndarray, nodes: np.ndarray) -> list[tuple[int, int]]:
         return x
 
     out = []
-    if n <= 8:
-        near = ((i, [j for j in range(i + 1, n) if (int(prints[i]) ^ int(prints[j])).bit_count() <= RADIUS]) for i in range(n))
-    else:
-        planes = BitPlanes(prints)
-        near = ((i, (p := planes.within(int(prints[i])))[p > i].tolist()) for i in range(n))
-    for i, others in near:
-        for j in others:
-            a, b = top(i), top(j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((int(nodes[i]), int(nodes[j])))
-                groups -= 1
-        if groups == 1:  # all are linked: no further link tells more
-            break
+    planes = BitPlanes(np.ascontiguousarray(prints[:, 0])) if n > 8 else None
+    size, probed, most = [1] * n, [False] * n, 0
+    again = True
+    while again:
+        again = False
+        for i in range(n):
+            # two nodes of the largest group need no comparison, and all others are compared with every node
+            if probed[i] or (top(i) == top(most) and size[top(most)] > 1):
+                continue
+            probed[i] = again = True
+            others = np.arange(n) if planes is None else planes.within(int(prints[i, 0]), coarse)
+            others = others[np.bitwise_count(prints[others] ^ prints[i]).sum(1) <= radius]
+            for j in others.tolist():
+                a, b = top(i), top(j)
+                if a != b:
+                    a, b = min(a, b), max(a, b)
+                    parent[b] = a
+                    size[a] += size[b]
+                    out.append((int(nodes[i]), int(nodes[j])))
+            if size[top(i)] > size[top(most)]:
+                most = i
     return out
 
 
-def near_links(prints: DataFrame) -> DataFrame:
-    """Links (a, b) between nodes whose fingerprints differ in at most three bits: enough of them to connect all such.
+def _bucket_links(spread: DataFrame, prints: list[str], radius: int, coarse: int) -> DataFrame:
+    """Links (a, b) within buckets. ``spread`` has rows (bucket, node) and the columns ``prints``.
 
-    ``prints`` has one row (fp, node) per different fingerprint. Each goes to ten buckets, one for every two bands.
     Buckets over ``TILE`` are cut into tiles by a hash of the node; a task gets two tiles, so no bucket has to fit one.
     """
-    masks = []
-    for (s1, w1), (s2, w2) in combinations(BANDS, 2):
-        masks.append(f"struct({len(masks)} AS t, (shiftrightunsigned(fp, {s1}) & {(1 << w1) - 1}L) * {1 << w2}L + (shiftrightunsigned(fp, {s2}) & {(1 << w2) - 1}L) AS k)")
-    spread = prints.selectExpr("fp", "node", f"explode(array({', '.join(masks)})) AS b").selectExpr("b.t * 67108864L + b.k AS bucket", "fp", "node")
     sizes = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    held = spread.join(sizes, "bucket").selectExpr("bucket", "fp", "node", f"cast(ceil(n / {TILE // 2}) AS int) AS t", f"n <= {TILE} AS whole")
-    small = held.where("whole").selectExpr("bucket", "0 AS one", "0 AS two", "fp", "node")
+    held = spread.join(sizes, "bucket").select("bucket", "node", *prints, F.expr(f"cast(ceil(n / {TILE // 2}) AS int)").alias("t"), F.expr(f"n <= {TILE}").alias("whole"))
+    small = held.where("whole").select("bucket", F.lit(0).alias("one"), F.lit(0).alias("two"), "node", *prints)
     large = (
-        held.where("NOT whole").selectExpr("bucket", "fp", "node", "cast(pmod(xxhash64(node, 7), t) AS int) AS tile", "t")
-        .selectExpr("bucket", "fp", "node", "tile", "explode(sequence(0, t - 1)) AS other")
-        .selectExpr("bucket", "least(tile, other) AS one", "greatest(tile, other) AS two", "fp", "node")
+        held.where("NOT whole").withColumn("tile", F.expr("cast(pmod(xxhash64(node, 7), t) AS int)")).withColumn("other", F.expr("explode(sequence(0, t - 1))"))
+        .select("bucket", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"), "node", *prints)
     )
+    names = ["bucket", "one", "two", "node", *prints]
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        names = ["bucket", "one", "two", "fp", "node"]
 
         def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1)) + 1
-            found = [x for g in np.split(rows, cuts) if len(g) > 1 for x in _links(np.ascontiguousarray(g[:, 3]), g[:, 4])]
+            found = [x for g in np.split(rows, cuts) if len(g) > 1 for x in _links(g[:, 3], g[:, 4:], radius, coarse)]
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -151,16 +157,15 @@ def near_links(prints: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 rows = np.stack([batch[c].to_numpy().astype(np.int64) for c in names], 1)
+                if held and (held[-1][-1, :3] != rows[0, :3]).any():
+                    yield from out(np.concatenate(held))
+                    held = []
                 last = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1))
-                if not len(last):
-                    if held and (held[-1][-1, :3] != rows[0, :3]).any():
-                        yield from out(np.concatenate(held))
-                        held = []
+                if len(last):
+                    yield from out(np.concatenate([*held, rows[: last[-1] + 1]]))
+                    held = [rows[last[-1] + 1 :]]
+                else:
                     held.append(rows)
-                    continue
-                cut = last[-1] + 1
-                yield from out(np.concatenate([*held, rows[:cut]]))
-                held = [rows[cut:]]
         if held:
             yield from out(np.concatenate(held))
 
@@ -168,6 +173,18 @@ def near_links(prints: DataFrame) -> DataFrame:
     return mapped(dealt, linked, "a long, b long")
 
 
+def near_links(prints: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes whose fingerprints differ in at most three bits: enough of them to connect all such.
+
+    ``prints`` has one row (fp, node) per different fingerprint. Each goes to ten buckets, one for every two bands.
+    """
+    masks = []
+    for (s1, w1), (s2, w2) in combinations(BANDS, 2):
+        masks.append(f"struct({len(masks)} AS t, (shiftrightunsigned(fp, {s1}) & {(1 << w1) - 1}L) * {1 << w2}L + (shiftrightunsigned(fp, {s2}) & {(1 << w2) - 1}L) AS k)")
+    spread = prints.selectExpr("fp", "node", f"explode(array({', '.join(masks)})) AS b").selectExpr("b.t * 67108864L + b.k AS bucket", "node", "fp")
+    return _bucket_links(spread, ["fp"], RADIUS, RADIUS)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id that links reach.
 
@@ -182,9 +199,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns; all rows of that id stay."""
-    kept = near_duplicates(docs, id_col, text_col, size).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
+#: A long print has four words of 64 bits. Texts whose sets of five-word shingles share 0.8 differ in about 39 of its 256
+#: bits, give or take 6, and in about 10 of the first 64, give or take 3; texts that share half differ in about 68.
+LONG, LONG_RADIUS, LONG_COARSE, LEAST_HASHES = 4, 48, 22, 6
+
+
+def long_print(text: str | None, size: int) -> tuple[list[int], list[int]]:
+    """A fingerprint of ``LONG`` words over the different shingles, and the least ``LEAST_HASHES`` of their hashes."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return [0] * LONG, [0]
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    joined, n = b" ".join(words), max(1, len(words) - size + 1)
+    hashed = xxhash.xxh64_intdigest
+    hashes = np.unique(np.fromiter((hashed(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)), np.uint64, n))
+    prints = []
+    for k in range(LONG):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 65_536):
+            own = mixed(hashes[at : at + 65_536] + np.uint64(k * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
+            ones += np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        prints.append(int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0]))
+    return prints, hashes[:LEAST_HASHES].view(np.int64).tolist()
+
+
+def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
+    """(doc_id, component_id): texts that share about 0.8 or more of their shingles of ``size`` words are linked.
+
+    Such texts share most of their least shingle hashes, so every two of a text's are a bucket: of texts that share
+    0.8, one pair in 600 meets in none. In a bucket long fingerprints are compared as in ``near_links``. Ids are
+    integers. Texts without words are alike; repeated rows stay; an empty table gives none.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            found = [long_print(x, size) for x in batch["text"].to_pylist()]
+            words_ = [pa.array([p[k] for p, _ in found], pa.int64()) for k in range(LONG)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *words_, pa.array([h for _, h in found], pa.list_(pa.int64()))], ["doc_id", *names, "least"])
+
+    names = [f"p{k}" for k in range(LONG)]
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, {', '.join(f'{n} long' for n in names)}, least array<bigint>"
+    prints = written(mapped(docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text"), hashed, schema))
+    nodes = written(prints.groupBy(*names).agg(F.min("doc_id").cast("long").alias("node"), F.min("least").alias("least")))
+    twos = F.transform("least", lambda a, i: F.transform(F.slice("least", i + 2, LEAST_HASHES), lambda b: F.xxhash64(a, b)))
+    buckets = F.when(F.size("least") > 1, F.array_distinct(F.flatten(twos))).otherwise(F.col("least"))
+    links = _bucket_links(nodes.select(F.explode(buckets).alias("bucket"), "node", *names), names, LONG_RADIUS, LONG_COARSE)
+    named = nodes.join(components(links), "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
+    return prints.join(named, names).select("doc_id", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
+    """The document with the smallest id of each group of similar texts, with all its columns; all rows of that id stay."""
+    kept = similar_texts(docs, id_col, text_col, size).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(kept, id_col, "left_semi").select(docs.columns)
 
 
