@@ -452,3 +452,17 @@ def test_similar_texts(spark):
     got = {r.doc_id: r.component_id for r in simhash.similar_texts(df).collect()}
     assert got == {k: k for k in range(6)} | {100 + 10 * k + c: k for k in range(6) for c in range(8)} | {900: 900, 901: 900, 902: 902, 903: 902, 904: 904}
     assert sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()) == [0, 1, 2, 3, 4, 5, 900, 902, 904]
+
+
+@pytest.mark.parametrize("at_once", [1, 60, 10_000])
+def test_shards_are_sorted_in_parts(at_once, monkeypatch):
+    random.seed(13)
+    base = [bytes(random.choices(b"abcdef", k=40)) for _ in range(12)]
+    segments = [random.choice(base)[a : a + 30] for a in (random.randrange(10) for _ in range(80))]
+    rows = {"anchor": [s[10] for s in segments], "doc_id": list(range(80)), "th": [0] * 80, "copied": [False] * 80, "at": [5] * 80, "segment": segments}
+    monkeypatch.setattr(suffixes, "AT_ONCE", at_once)
+    got = set()
+    for doc, _, a, b in suffixes._repeats(20)(rows):
+        got |= {(doc, k) for k in range(a - 5, b - 5 - 19)}
+    seen = Counter((s[10], s[k : k + 20]) for s in segments for k in range(11))
+    assert got == {(d, k) for d, s in enumerate(segments) for k in range(11) if seen[s[10], s[k : k + 20]] > 1}
