@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattix.llm.batches import mapped, mixed, pieces, written
+from lattix.llm.batches import mapped, mixed, pieces, stretches, written
 from lattix.llm.components import components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -88,14 +88,28 @@ class BitPlanes:
         return at[at < self.n]
 
 
-def _links(nodes: np.ndarray, prints: np.ndarray, radius: int, coarse: int) -> list[tuple[int, int]]:
+def _alike(sets: list[np.ndarray], sizes: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Those of ``others`` whose sorted sets share 0.8 or more of all their members with set ``i``: whole numbers decide."""
+    own, n = sets[i], int(sizes[i])
+    others = others[(SHARE[0] * sizes[others] <= SHARE[1] * n) & (SHARE[0] * n <= SHARE[1] * sizes[others])]
+    if not n or not len(others):
+        return others
+    flat = np.concatenate([sets[j] for j in others.tolist()])
+    both = np.add.reduceat(own[np.minimum(np.searchsorted(own, flat), n - 1)] == flat, np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+    return others[SHARE[1] * both >= SHARE[0] * (n + sizes[others] - both)]
+
+
+def _links(nodes: np.ndarray, prints: np.ndarray, radius: int, coarse: int, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
     """A forest of links over one bucket, or over two of its tiles.
 
     ``prints`` has a row of 64-bit words a node. The first words are compared bit-sliced within ``coarse`` bits;
-    whole prints of those that stay within ``radius``.
+    whole prints of those that stay within ``radius``. With ``sets`` a link needs that the two sets are alike as well.
     """
     order = np.argsort(nodes)
     nodes, prints = nodes[order], np.ascontiguousarray(prints[order]).view(np.uint64)
+    if sets is not None:
+        sets = [sets[k] for k in order.tolist()]
+        sizes = np.array([len(x) for x in sets], np.int64)
     n = len(nodes)
     parent = list(range(n))
 
@@ -118,6 +132,8 @@ def _links(nodes: np.ndarray, prints: np.ndarray, radius: int, coarse: int) -> l
             probed[i] = again = True
             others = np.arange(n) if planes is None else planes.within(int(prints[i, 0]), coarse)
             others = others[np.bitwise_count(prints[others] ^ prints[i]).sum(1) <= radius]
+            if sets is not None:  # what verified links join already needs no second look
+                others = _alike(sets, sizes, i, others[[top(j) != top(i) for j in others.tolist()]] if len(others) else others)
             for j in others.tolist():
                 a, b = top(i), top(j)
                 if a != b:
@@ -200,20 +216,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 #: A long print has four words of 64 bits. Texts whose sets of five-word shingles share 0.8 differ in about 39 of its 256
-#: bits, give or take 6, and in about 10 of the first 64, give or take 3; texts that share half differ in about 68.
-LONG, LONG_RADIUS, LONG_COARSE, LEAST_HASHES = 4, 48, 22, 6
+#: bits, give or take 6, and in about 10 of the first 64, give or take 3 (sets of five and four: in 48 and 12). The radii
+#: only pick candidates, and are so wide that they pass such texts.
+LONG, LONG_RADIUS, LONG_COARSE, LEAST_HASHES = 4, 68, 26, 8
+#: The share of their shingles, 4 of 5, from which two texts are linked.
+SHARE = (4, 5)
+#: Shingles of a tile of candidates, and tiles from which a group of candidates is compared by bucket.
+TILE_SHINGLES, MOST_TILES = 2_000_000, 16
 
 
-def long_print(text: str | None, size: int) -> tuple[list[int], list[int]]:
-    """A fingerprint of ``LONG`` words over the different shingles, and the least ``LEAST_HASHES`` of their hashes."""
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    """The sorted hashes of the different shingles of ``size`` words; none without words."""
     words = (text or "").encode().lower().split()
     if not words:
-        return [0] * LONG, [0]
+        return np.zeros(0, np.uint64)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     joined, n = b" ".join(words), max(1, len(words) - size + 1)
     hashed = xxhash.xxh64_intdigest
-    hashes = np.unique(np.fromiter((hashed(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)), np.uint64, n))
+    return np.unique(np.fromiter((hashed(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)), np.uint64, n))
+
+
+def long_print(hashes: np.ndarray) -> list[int]:
+    """A fingerprint of ``LONG`` words over a set of shingle hashes."""
     prints = []
     for k in range(LONG):
         ones = np.zeros(64, np.int64)
@@ -221,32 +246,103 @@ def long_print(text: str | None, size: int) -> tuple[list[int], list[int]]:
             own = mixed(hashes[at : at + 65_536] + np.uint64(k * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
             ones += np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
         prints.append(int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0]))
-    return prints, hashes[:LEAST_HASHES].view(np.int64).tolist()
+    return prints
+
+
+def _whole(hashes: np.ndarray) -> int:
+    return int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), SEED), np.uint64).view(np.int64))
+
+
+_PRINTS = [f"p{k}" for k in range(LONG)]
+
+
+def _alike_links(texts: DataFrame, size: int) -> DataFrame:
+    """Links (a, b) between candidates of one group that share 0.8 of their shingles: enough of them to connect all such.
+
+    ``texts`` has (node, whole, text, keys, tiles): the groups that a node is compared in and how many tiles each is cut into.
+    A row whose text is not the one that ``whole`` tells is another text of the same id.
+    """
+    kept = ["node", "whole", "keys", "tiles"]
+    names = ["bucket", "one", "two", "node", "whole", *_PRINTS]
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            sets = [shingle_set(x, size) for x in batch["text"].to_pylist()]
+            mine = np.flatnonzero(np.array([_whole(x) for x in sets], np.int64) == batch["whole"].to_numpy())
+            prints = [long_print(sets[k]) for k in mine.tolist()]
+            columns = [batch[c].take(pa.array(mine)) for c in kept] + [pa.array([p[k] for p in prints], pa.int64()) for k in range(LONG)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([sets[k].tobytes() for k in mine.tolist()], pa.binary())], [*kept, *_PRINTS, "shingles"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, found = None, [], []
+
+        def close() -> None:
+            rows, sets = np.concatenate([r for r, _ in held]), [np.frombuffer(x, np.uint64) for _, part in held for x in part.to_pylist()]
+            _, first = np.unique(rows[:, 3:5], axis=0, return_index=True)  # repeated rows
+            if len(first) > 1:
+                found.extend(_links(rows[first, 3], rows[first, 5:], LONG_RADIUS, LONG_COARSE, [sets[k] for k in first.tolist()]))
+
+        def out() -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True)) if found else [[], []]
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+        for batch in batches:
+            rows = np.stack([batch[c].to_numpy().astype(np.int64) for c in names], 1) if batch.num_rows else np.zeros((0, len(names)), np.int64)
+            for a, b in stretches(rows[:, 0], rows[:, 1], rows[:, 2]):
+                if (own := tuple(rows[a, :3].tolist())) != key:
+                    if held:
+                        close()
+                    key, held = own, []
+                held.append((rows[a:b], batch["shingles"].slice(a, b - a)))
+            yield out()
+        if held:
+            close()
+        yield out()
+
+    sets = mapped(texts, hashed, f"node long, whole long, keys array<bigint>, tiles array<int>, {', '.join(f'{n} long' for n in _PRINTS)}, shingles binary")
+    each = sets.withColumn("k", F.explode(F.arrays_zip("keys", "tiles"))).select(F.col("k.keys").alias("bucket"), F.col("k.tiles").alias("t"), "node", "whole", *_PRINTS, "shingles")
+    dealt = (
+        each.withColumn("tile", F.expr("cast(pmod(xxhash64(node, 7), t) AS int)")).withColumn("other", F.expr("explode(sequence(0, t - 1))"))
+        .select("bucket", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"), "node", "whole", *_PRINTS, "shingles")
+    )
+    return mapped(dealt.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two"), linked, "a long, b long")
 
 
 def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
-    """(doc_id, component_id): texts that share about 0.8 or more of their shingles of ``size`` words are linked.
+    """(doc_id, component_id): texts that share 0.8 or more of their different shingles of ``size`` words are linked.
 
     Such texts share most of their least shingle hashes, so every two of a text's are a bucket: of texts that share
-    0.8, one pair in 600 meets in none. In a bucket long fingerprints are compared as in ``near_links``. Ids are
-    integers. Texts without words are alike; repeated rows stay; an empty table gives none.
+    0.8, one pair in 12,000 meets in none. In a bucket long fingerprints are compared as in ``near_links``, which gives groups
+    of candidates; each group's shingle sets meet once, in tiles, and are counted exactly there. Only very large groups are compared by
+    bucket. Ids are integers. Texts without words are alike; repeated rows stay; an empty table gives none.
     """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            found = [long_print(x, size) for x in batch["text"].to_pylist()]
-            words_ = [pa.array([p[k] for p, _ in found], pa.int64()) for k in range(LONG)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *words_, pa.array([h for _, h in found], pa.list_(pa.int64()))], ["doc_id", *names, "least"])
+            sets = [shingle_set(x, size) for x in batch["text"].to_pylist()]
+            found = [long_print(x) for x in sets]
+            words_ = [pa.array([p[k] for p in found], pa.int64()) for k in range(LONG)]
+            least = pa.array([x[:LEAST_HASHES].view(np.int64).tolist() or [0] for x in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([_whole(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), *words_, least], ["doc_id", "whole", "n", *_PRINTS, "least"])
 
-    names = [f"p{k}" for k in range(LONG)]
-    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, {', '.join(f'{n} long' for n in names)}, least array<bigint>"
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, whole long, n long, {', '.join(f'{n} long' for n in _PRINTS)}, least array<bigint>"
     prints = written(mapped(docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text"), hashed, schema))
-    nodes = written(prints.groupBy(*names).agg(F.min("doc_id").cast("long").alias("node"), F.min("least").alias("least")))
+    nodes = written(prints.groupBy("whole", *_PRINTS).agg(F.min("doc_id").cast("long").alias("node"), F.min("n").alias("n"), F.min("least").alias("least")))
     twos = F.transform("least", lambda a, i: F.transform(F.slice("least", i + 2, LEAST_HASHES), lambda b: F.xxhash64(a, b)))
     buckets = F.when(F.size("least") > 1, F.array_distinct(F.flatten(twos))).otherwise(F.col("least"))
-    links = _bucket_links(nodes.select(F.explode(buckets).alias("bucket"), "node", *names), names, LONG_RADIUS, LONG_COARSE)
-    named = nodes.join(components(links), "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, names).select("doc_id", "component_id")
+    near = components(_bucket_links(nodes.select(F.explode(buckets).alias("bucket"), "node", *_PRINTS), _PRINTS, LONG_RADIUS, LONG_COARSE))
+
+    tiles = F.ceil(F.greatest(F.count("*") / (TILE // 2), F.sum("n") / TILE_SHINGLES)).cast("int").alias("t")
+    met = written(nodes.join(near, "node").select("node", "whole", "n", F.col("component").alias("key"), buckets.alias("buckets")))
+    cut = met.join(met.groupBy("key").agg(tiles), "key")
+    parts = cut.where(f"t > {MOST_TILES}").select("node", "whole", "n", "key", F.explode("buckets").alias("b")).select("node", "whole", "n", F.xxhash64("key", "b").alias("key"))
+    parts = parts.join(parts.groupBy("key").agg(tiles, F.count("*").alias("all")).where("all > 1"), "key")
+    groups = cut.where(f"t <= {MOST_TILES}").select("node", "whole", "key", "t").unionAll(parts.select("node", "whole", "key", "t"))
+    groups = groups.groupBy("node", "whole").agg(F.collect_list(F.struct("key", "t")).alias("k")).select("node", "whole", F.col("k.key").alias("keys"), F.col("k.t").alias("tiles"))
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(groups, "node").select("node", "whole", "text", "keys", "tiles")
+    named = nodes.join(components(_alike_links(texts, size)), "node", "left").select("whole", *_PRINTS, F.coalesce("component", "node").alias("component_id"))
+    return prints.join(named, ["whole", *_PRINTS]).select("doc_id", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:

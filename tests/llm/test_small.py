@@ -454,6 +454,41 @@ def test_similar_texts(spark):
     assert sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()) == [0, 1, 2, 3, 4, 5, 900, 902, 904]
 
 
+def plain_components(rows, size=5):
+    sets = {}
+    for k, t in rows:
+        w = (t or "").lower().split()
+        sets[k] = {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+    top = {k: k for k, _ in rows}
+    for a in sets:
+        for b in sets:
+            if a < b and top[a] != top[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((top[a], top[b]))
+                top = {k: low if v == high else v for k, v in top.items()}
+    return top
+
+
+@pytest.mark.parametrize("most", [16, 0])
+def test_links_need_the_whole_share(spark, most, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 8)
+    monkeypatch.setattr(simhash, "MOST_TILES", most)
+    random.seed(14)
+    word = lambda: "".join(random.choices("abcdefghijklmnop", k=7))
+    rows = []
+    for k in range(8):
+        base = [word() for _ in range(300)]
+        rows.append((100 * k, " ".join(base)))
+        # 28 other words in a row leave 264 of 328 shingles, over 0.8, and 29 leave 263 of 329
+        for c, n in enumerate([28, 28, 29, 29, 34, 40, 50, 60, 80]):
+            at = random.randrange(4, 296 - n)
+            rows.append((100 * k + c + 1, " ".join(base[:at] + [word() for _ in range(n)] + base[at + n :])))
+    small = [word() for _ in range(9)]
+    rows += [(2000, " ".join(small)), (2001, " ".join(small[:8])), (2002, " ".join(small[:7]))]  # 5, 4 and 3 shingles
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = plain_components(rows)
+    assert got == want and len(set(want.values())) > 40 and want[1] == 0 and want[3] == 3 and want[2001] == 2000 and want[2002] == 2002
+
+
 @pytest.mark.parametrize("at_once", [1, 60, 10_000])
 def test_shards_are_sorted_in_parts(at_once, monkeypatch):
     random.seed(13)
