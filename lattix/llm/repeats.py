@@ -136,17 +136,16 @@ def _asking(units: Units, shards: int) -> Callable:
             low, high = np.full(len(kinds), np.iinfo(np.int64).max), np.full(len(kinds), np.iinfo(np.int64).min)
             np.minimum.at(low, of, th)
             np.maximum.at(high, of, th)
+            least = np.full(len(kinds), np.iinfo(np.int64).max)  # of copies of one text the smallest id takes part
+            np.minimum.at(least, of, ids[cut.row])
             known = low != high
             known[of[cut.self_repeated]] = True
             out: list[tuple] = []
             sure = np.flatnonzero(known[of])
             for row, at in _packed(cut.row[sure]):  # these need no answer; they pass through any shard
                 out.append((int(ids[row]) % shards, int(ids[row]), int(ths[row]), np.unique(cut.anchor[sure[at]]).tobytes(), None, None, None))
-            first = np.full(len(kinds), -1, np.int64)
-            first[of[::-1]] = np.arange(len(of))[::-1]
             for shard, at in _packed(_to_shard(kinds, shards)):
-                rows = cut.row[first[at]]
-                out.append((shard, None, None, kinds[at].tobytes(), known[at].tobytes(), ids[rows].tobytes(), ths[rows].tobytes()))
+                out.append((shard, None, None, kinds[at].tobytes(), known[at].tobytes(), least[at].tobytes(), low[at].tobytes()))
             types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 7, types, strict=True)], _ASK)
 

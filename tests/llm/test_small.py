@@ -209,6 +209,24 @@ def test_repeats(docs, texts, nothing, window):
     assert suffixes.remove_repeats(nothing).count() == 0
 
 
+def test_copies_stored_in_falling_order(spark):
+    random.seed(15)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    shared = [word() for _ in range(60)]
+    copied, other = (" ".join([word() for _ in range(30)] + shared + [word() for _ in range(30)]) for _ in range(2))
+    rows = [(7, copied), (5, copied), (2, copied), (9, other)]
+    piece = pa.RecordBatch.from_pydict({"doc_id": [7, 5, 2], "th": [1, 1, 1], "text": [copied] * 3})
+    for units in (repeats.Units(20, 6, True), repeats.Units(400, 64, False)):
+        asked = [x for out in repeats._asking(units, 4)(iter([piece])) for x in out["ids"].to_pylist()]
+        assert asked and set(np.frombuffer(b"".join(asked), np.int64)) == {2}  # the copy that takes part
+    parts = [spark.createDataFrame(part, "doc_id long, text string").repartition(1).sortWithinPartitions(F.desc("doc_id")) for part in (rows[:3], rows[3:])]
+    df = parts[0].unionAll(parts[1])
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in passages.remove_passages(df).collect()}
+    assert got == plain_passages(rows, 20) and got[9][1] == 60
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(df).collect()}
+    assert got == plain_repeats(rows, 400) and got[9][1] >= 419
+
+
 def test_radix_passes():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 99, 4000).astype(np.uint8)
