@@ -373,16 +373,39 @@ def plain_hits(texts, items):
 
 
 @pytest.mark.parametrize("bound", [200_000, 0])
-def test_benchmark_windows(spark, docs, texts, nothing, bound):
-    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()] + [(900, "A b C d"), (901, None), (902, " ,; "), (903, "one two three " * 5), (903, "one two three " * 5)]
+@pytest.mark.parametrize("layout", ["written", "dealt anew", "sorted"])
+def test_benchmark_windows(spark, docs, texts, nothing, bound, layout, tmp_path):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    items += [(900, "A b C d"), (901, None), (902, " ,; "), (903, "one two three " * 5), (903, "one two three " * 5), (904, "ΟΔΟΣ ΕΝΑ"), (905, "Straße İx")]
+    more = [(30_000, "ΟΔΟΣ'ΕΝΑ y"), (30_001, "οδος ΕΝΑ"), (30_002, "straße İx STRAßE İX"), (30_003, "word " * 30_000 + "a b c d"), (30_004, "a b c d"), (30_004, "a b c d")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.find_hits(docs, bench, broadcast_windows=bound).collect()}
-    assert got == plain_hits(texts, items)
-    assert {r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()} == {k for k, v in got.items() if not v[4]}
-    assert decontaminate.find_hits(nothing, bench, broadcast_windows=bound).count() == 0
+    docs = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
+    if layout == "written":
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    elif layout == "dealt anew":
+        docs = docs.repartition(7)
+    else:
+        docs = docs.orderBy(F.desc("text"))
+    found = decontaminate.find_hits(docs, bench, broadcast_windows=bound).collect()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found}
+    assert len(found) == len(texts + more) and got == plain_hits(texts + more, items)
+    assert got[30_000][1] == 2 and got[30_002][1] == 4 and got[30_003][1] == 4
+    clean = decontaminate.keep_clean(docs, bench, broadcast_windows=bound)
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == sorted(k for k, v in got.items() if not v[4])
+    assert decontaminate.find_hits(nothing, bench, broadcast_windows=bound).count() == decontaminate.keep_clean(nothing, bench).count() == 0
     assert not any(r.contaminated for r in decontaminate.find_hits(docs, bench.where("false"), broadcast_windows=bound).collect())
 
 
+def test_clean_documents_without_an_id(spark):
+    rows = [(None, "plain words"), (None, "the very secret test"), (None, None), (1, "the very secret test"), (1, "other words"), (2, "plain words"), (2, "plain words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("mine")).withColumn("doc", F.lit(1))
+    bench = spark.createDataFrame([(1, "very secret")], "item_id long, text string")
+    got = decontaminate.keep_clean(df, bench)
+    assert got.columns == df.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [rows[0], rows[2], rows[4], rows[5], rows[6]]))
+
+
 # --- scores
 
 
