@@ -149,12 +149,22 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/lattix-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The frame, computed once and kept as a table in the shared folder: it survives the loss of any executor."""
+def written(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
+    """The frame, computed once and kept as a table in the shared folder: it survives the loss of any executor.
+
+    The folder goes when the session ends; that of ``instead_of``, an earlier round that nothing needs any more, at once.
+    """
     spark = df.sparkSession
     folder = shared_folder(spark)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(path)
+    if instead_of is not None:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(instead_of.written_to), True)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out.written_to = folder
+    return out
 
 
 def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:

@@ -30,6 +30,6 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "high")
         pairs = written(
             small.where("low <> m").select(F.col("m").alias("low"), F.col("low").alias("high"))
-            .unionAll(least.select(F.col("m").alias("low"), "high")).distinct()
+            .unionAll(least.select(F.col("m").alias("low"), "high")).distinct(), instead_of=pairs,
         )
     return pairs.groupBy("high").agg(F.min("low").alias("component")).withColumnRenamed("high", "node").unionAll(pairs.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())

@@ -201,18 +201,31 @@ def near_links(prints: DataFrame) -> DataFrame:
     return _bucket_links(spread, ["fp"], RADIUS, RADIUS)
 
 
+def told_by(rows: DataFrame, named: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with ``named``, a written table that has one row a key and in n how many rows hold it.
+
+    Keys that hold a thousandth of all rows or more, of which there are at most a thousand, go to every task, so that
+    no task gathers the rows of one; all others meet in a shuffle.
+    """
+    total = named.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(named.where(F.col("n") * 1000 >= total))
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(named, keys)).drop("n")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id that links reach.
 
-    Ids are integers. Fingerprints are taken once over whole texts and written; equal ones become one node named by its smallest id, so
-    copies never meet as pairs. Null and empty texts have fingerprint zero and are linked like any other. Repeated
-    rows stay, with the same result; an empty table gives none; other columns are not read.
+    Ids are integers. Fingerprints are taken once over whole texts and written; equal ones become one node, so copies
+    never meet as pairs. Null and empty texts have fingerprint zero and are linked like any other. A row without an id
+    links others and gets the smallest id that they have, null if none has. Repeated rows stay, with the same result;
+    an empty table gives none; other columns are not read.
     """
     prints = written(fingerprints(docs, id_col, text_col, size))
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").cast("long").alias("node")))
-    joined = components(near_links(nodes))
-    named = nodes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").cast("long").alias("least"), F.count("*").alias("n")))
+    joined = components(near_links(nodes.selectExpr("fp", "fp AS node")))
+    grouped = written(nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("group")))
+    named = written(grouped.join(grouped.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("fp", "n", "component_id"))
+    return told_by(prints, named, ["fp"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 #: A long print has four words of 64 bits. Texts whose sets of five-word shingles share 0.8 differ in about 39 of its 256
@@ -309,14 +322,8 @@ def _alike_links(texts: DataFrame, size: int) -> DataFrame:
     return mapped(dealt.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two"), linked, "a long, b long")
 
 
-def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
-    """(doc_id, component_id): texts that share 0.8 or more of their different shingles of ``size`` words are linked.
-
-    Such texts share most of their least shingle hashes, so every two of a text's are a bucket: of texts that share
-    0.8, one pair in 12,000 meets in none. In a bucket long fingerprints are compared as in ``near_links``, which gives groups
-    of candidates; each group's shingle sets meet once, in tiles, and are counted exactly there. Only very large groups are compared by
-    bucket. Ids are integers. Texts without words are alike; repeated rows stay; an empty table gives none.
-    """
+def _linked_texts(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(doc_id, digest, component_id): of each row the digest of its text and the smallest id of the texts that links join."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -324,31 +331,50 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             found = [long_print(x) for x in sets]
             words_ = [pa.array([p[k] for p in found], pa.int64()) for k in range(LONG)]
             least = pa.array([x[:LEAST_HASHES].view(np.int64).tolist() or [0] for x in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([_whole(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), *words_, least], ["doc_id", "whole", "n", *_PRINTS, "least"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["digest"], pa.array([_whole(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), *words_, least], ["doc_id", "digest", "whole", "size", *_PRINTS, "least"])
 
-    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, whole long, n long, {', '.join(f'{n} long' for n in _PRINTS)}, least array<bigint>"
-    prints = written(mapped(docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text"), hashed, schema))
-    nodes = written(prints.groupBy("whole", *_PRINTS).agg(F.min("doc_id").cast("long").alias("node"), F.min("n").alias("n"), F.min("least").alias("least")))
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, digest binary, whole long, size long, {', '.join(f'{n} long' for n in _PRINTS)}, least array<bigint>"
+    prints = written(mapped(docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("digest"), F.col(text_col).alias("text")), hashed, schema))
+    nodes = written(prints.where("doc_id IS NOT NULL").groupBy("whole", *_PRINTS).agg(F.min("doc_id").cast("long").alias("node"), F.min("size").alias("size"), F.min("least").alias("least"), F.count("*").alias("n")))
     twos = F.transform("least", lambda a, i: F.transform(F.slice("least", i + 2, LEAST_HASHES), lambda b: F.xxhash64(a, b)))
     buckets = F.when(F.size("least") > 1, F.array_distinct(F.flatten(twos))).otherwise(F.col("least"))
     near = components(_bucket_links(nodes.select(F.explode(buckets).alias("bucket"), "node", *_PRINTS), _PRINTS, LONG_RADIUS, LONG_COARSE))
 
-    tiles = F.ceil(F.greatest(F.count("*") / (TILE // 2), F.sum("n") / TILE_SHINGLES)).cast("int").alias("t")
-    met = written(nodes.join(near, "node").select("node", "whole", "n", F.col("component").alias("key"), buckets.alias("buckets")))
+    tiles = F.ceil(F.greatest(F.count("*") / (TILE // 2), F.sum("size") / TILE_SHINGLES)).cast("int").alias("t")
+    met = written(nodes.join(near, "node").select("node", "whole", "size", F.col("component").alias("key"), buckets.alias("buckets")))
     cut = met.join(met.groupBy("key").agg(tiles), "key")
-    parts = cut.where(f"t > {MOST_TILES}").select("node", "whole", "n", "key", F.explode("buckets").alias("b")).select("node", "whole", "n", F.xxhash64("key", "b").alias("key"))
+    parts = cut.where(f"t > {MOST_TILES}").select("node", "whole", "size", "key", F.explode("buckets").alias("b")).select("node", "whole", "size", F.xxhash64("key", "b").alias("key"))
     parts = parts.join(parts.groupBy("key").agg(tiles, F.count("*").alias("all")).where("all > 1"), "key")
     groups = cut.where(f"t <= {MOST_TILES}").select("node", "whole", "key", "t").unionAll(parts.select("node", "whole", "key", "t"))
     groups = groups.groupBy("node", "whole").agg(F.collect_list(F.struct("key", "t")).alias("k")).select("node", "whole", F.col("k.key").alias("keys"), F.col("k.t").alias("tiles"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(groups, "node").select("node", "whole", "text", "keys", "tiles")
-    named = nodes.join(components(_alike_links(texts, size)), "node", "left").select("whole", *_PRINTS, F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, ["whole", *_PRINTS]).select("doc_id", "component_id")
+    named = written(nodes.join(components(_alike_links(texts, size)), "node", "left").select("whole", *_PRINTS, "n", F.coalesce("component", "node").alias("component_id")))
+    some = prints.select("doc_id", "digest", "whole", *_PRINTS)
+    without = some.where("doc_id IS NULL").select("doc_id", "digest", F.lit(None).cast("long").alias("component_id"))
+    return told_by(some.where("doc_id IS NOT NULL"), named, ["whole", *_PRINTS]).select("doc_id", "digest", "component_id").unionAll(without)
+
+
+def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
+    """(doc_id, component_id): texts that share 0.8 or more of their different shingles of ``size`` words are linked.
+
+    Such texts share most of their least shingle hashes, so every two of a text's are a bucket: of texts that share
+    0.8, one pair in 12,000 meets in none. In a bucket long fingerprints are compared as in ``near_links``, which gives groups
+    of candidates; each group's shingle sets meet once, in tiles, and are counted exactly there. Only very large groups are compared by
+    bucket. Ids are integers. Null texts and texts without words are alike; a row without an id is linked to none and
+    has a null component; repeated rows stay; an empty table gives none; other columns are not read.
+    """
+    return _linked_texts(docs, id_col, text_col, size).select("doc_id", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
-    """The document with the smallest id of each group of similar texts, with all its columns; all rows of that id stay."""
-    kept = similar_texts(docs, id_col, text_col, size).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(kept, id_col, "left_semi").select(docs.columns)
+    """The document with the smallest id of each group of similar texts, with all its columns, whatever those are named.
+
+    Rows of one id with other texts are each judged by their own; repeated rows stay or go together; every row without
+    an id stays, as it is linked to none; of texts without words the one with the smallest id stays; an empty table gives none.
+    """
+    other = _linked_texts(docs, id_col, text_col, size).where("doc_id <> component_id").select("doc_id", "digest").distinct()
+    own = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("digest"))
+    return own.join(other, ["doc_id", "digest"], "left_anti").select("doc.*")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,13 +122,23 @@ def plain_groups(prints):
     return {k: top(k) for k in ids}
 
 
-def test_simhash(docs, texts, nothing):
-    some = [(k, t) for k, t in texts if len(t or "") < 1500]
+def test_simhash(spark, docs, texts, nothing):
+    long = " ".join(f"w{k % 977}x{k % 13}" for k in range(40_000))
+    more = [(30_000, long), (30_001, long + " more"), (30_001, long + " more")]
+    some = texts + more
     prints = {k: plain_print(t) for k, t in some}
     groups = plain_groups(prints)
-    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs.where("coalesce(length(text), 0) < 1500")).collect()}
-    assert got == {k: (f"{prints[k]:016x}", groups[k]) for k, _ in some}
-    assert simhash.near_duplicates(nothing).count() == 0
+    got = simhash.near_duplicates(docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)).collect()
+    assert len(got) == len(some) and {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {k: (f"{prints[k]:016x}", groups[k]) for k, _ in some}
+    assert groups[30_001] == 30_000 and simhash.near_duplicates(nothing).count() == 0
+
+
+def test_fingerprints_without_an_id(spark):
+    """A row without an id takes part: it joins the ids on either side of it."""
+    a, b = "some words here and there", "quite another text of words"
+    rows = [(None, a), (7, a), (4, a), (None, b), (None, b), (None, None), (9, "")]
+    got = sorted(map(repr, ((r.doc_id, r.component_id) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
+    assert got == sorted(map(repr, [(None, 4), (7, 4), (4, 4), (None, None), (None, None), (None, 9), (9, 9)]))
 
 
 def test_bit_planes():
@@ -495,6 +505,17 @@ def test_similar_texts(spark):
     assert sorted(r.doc_id for r in simhash.keep_one_of_each(df).collect()) == [0, 1, 2, 3, 4, 5, 900, 902, 904]
 
 
+def test_one_of_each_of_odd_rows(spark):
+    text = "one two three four five six seven eight nine ten"
+    other = "a text that has not been seen before at all"
+    rows = [(5, text), (5, other), (3, text), (3, text), (None, text), (None, other), (None, None), (8, None), (9, " "), (6, "x " * 40_000), (7, "x " * 50_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("digest", F.lit("mine")).withColumn("whole", F.lit(1)).withColumn("doc", F.lit(2)).withColumn("size", F.lit(2))
+    got = simhash.keep_one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [rows[k] for k in (1, 2, 3, 4, 5, 6, 7, 9)]))
+    assert simhash.similar_texts(df).count() == len(rows) and simhash.keep_one_of_each(df.where("false")).count() == 0
+
+
 def plain_components(rows, size=5):
     sets = {}
     for k, t in rows:
