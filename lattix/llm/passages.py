@@ -65,7 +65,8 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A word goes if a window of ``window`` words around it also starts earlier: in a document with a smaller id, or before in its own.
     Recurring anchors pick the windows that can recur; their segments go to the shard of the anchor, where the recurring
-    ones are confirmed word by word and compiled, and all segments of the shard stream through the automaton. Ids are integers.
+    ones are confirmed word by word and compiled, and all segments of the shard stream through the automaton; windows of
+    an anchor with very many segments are counted by digests. Ids are integers.
     Null and empty texts have no words. Rows of one id are told apart by a hash of their texts, which also orders them;
     a row that is repeated as a whole is one document, returned each time. Other columns are not read.
     """

@@ -8,7 +8,8 @@ mostly share that gram, so a run of them is told by one hash: its anchor. Equal
 3. segments go to the shard of their anchor, where a caller's function finds the windows that recur exactly;
 4. spans come back to the texts.
 
-Exact copies of whole texts are settled by their hash before, and only one copy takes part.
+Exact copies of whole texts are settled by a digest before, and only one copy takes part. An anchor of very many
+segments would fill one shard: its windows are dealt one by one, by digests of their own, and counted in DataFrame operations.
 """
 
 from __future__ import annotations
@@ -21,10 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattix.llm.batches import SPACE, RollingHash, mapped, mixed, pieces, stretches, text_bytes, window_hashes, word_spans, written
+from lattix.llm.batches import MORE_CODES, SPACE, RollingHash, mapped, mixed, pieces, stretches, text_bytes, told_by, window_hashes, word_spans, written
 
 #: Bytes of text that fall to one shard.
 SHARD_BYTES = 2_000_000
+#: Segments of one anchor from which its windows are dealt one by one, or the bytes of all texts by ``HOT_SHARE`` if those are more.
+#: A text has about a run of windows per 150 bytes, so such anchors are few millions at most at any size.
+HOT_SEGMENTS, HOT_SHARE = 3_000, 200_000_000
 #: The span that stands for a whole text.
 WHOLE = 1 << 40
 #: Stands for a null id.
@@ -112,6 +116,15 @@ class Cut:
         return self.flat[a:b].tobytes() if self.at is None else self.flat[self.at[a] : self.at[b] - 1].tobytes()
 
 
+    def windows(self, runs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Run, first item and bounds in ``flat`` of every window of the runs."""
+        count = self.end[runs] - self.begin[runs] - size + 1
+        of = np.repeat(runs, count)
+        first = self.begin[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        bounds = np.stack([first, first + size]) if self.at is None else np.stack([self.at[first], self.at[first + size] - 1])
+        return of, first, bounds
+
+
 def _packed(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
@@ -123,7 +136,7 @@ def _to_shard(anchors: np.ndarray, shards: int) -> np.ndarray:
     return ((anchors >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
 
 
-_ASK = ["shard", "doc_id", "th", "anchors", "known", "ids", "ths"]
+_ASK = ["shard", "doc_id", "th", "anchors", "known", "ids", "ths", "times"]
 
 
 def _asking(units: Units, shards: int) -> Callable:
@@ -138,63 +151,76 @@ def _asking(units: Units, shards: int) -> Callable:
             np.maximum.at(high, of, th)
             least = np.full(len(kinds), np.iinfo(np.int64).max)  # of copies of one text the smallest id takes part
             np.minimum.at(least, of, ids[cut.row])
+            times = np.bincount(of, minlength=len(kinds))
             known = low != high
             known[of[cut.self_repeated]] = True
             out: list[tuple] = []
             sure = np.flatnonzero(known[of])
             for row, at in _packed(cut.row[sure]):  # these need no answer; they pass through any shard
-                out.append((int(ids[row]) % shards, int(ids[row]), int(ths[row]), np.unique(cut.anchor[sure[at]]).tobytes(), None, None, None))
+                out.append((int(ids[row]) % shards, int(ids[row]), int(ths[row]), np.unique(cut.anchor[sure[at]]).tobytes(), None, None, None, None))
             for shard, at in _packed(_to_shard(kinds, shards)):
-                out.append((shard, None, None, kinds[at].tobytes(), known[at].tobytes(), least[at].tobytes(), low[at].tobytes()))
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 7, types, strict=True)], _ASK)
+                out.append((shard, None, None, kinds[at].tobytes(), known[at].tobytes(), least[at].tobytes(), low[at].tobytes(), times[at].tobytes()))
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [()] * 8, types, strict=True)], _ASK)
 
     return ask
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """An anchor recurs if a task knew it to, or if texts that differ hold it."""
-    shard, parts = None, []
-
-    def out() -> list[tuple[int, int, bytes]]:
-        if not parts:
-            return []
-        anchors, known, ids, ths = (np.concatenate([np.frombuffer(p[k], d) for p in parts]) for k, d in enumerate((np.uint64, np.bool_, np.int64, np.int64)))
-        parts.clear()
-        order = np.argsort(anchors, kind="stable")
-        anchors, known, ids, ths = anchors[order], known[order], ids[order], ths[order]
-        first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
-        recurs = np.logical_or.reduceat(known, first) | (np.minimum.reduceat(ths, first) != np.maximum.reduceat(ths, first))
-        again = np.repeat(recurs, np.diff(np.append(first, len(anchors)))) & ~known
-        anchors, ids, ths = anchors[again], ids[again], ths[again]
-        order = np.lexsort((ths, ids))
-        anchors, ids, ths = anchors[order], ids[order], ths[order]
-        return [(int(ids[a]), int(ths[a]), anchors[a:b].tobytes()) for a, b in stretches(ids, ths)]
-
-    def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "th", "anchors"])
-
-    for batch in batches:
-        passing = batch.filter(batch["doc_id"].is_valid())
-        if passing.num_rows:
-            yield passing.select(["doc_id", "th", "anchors"])
-        asked = batch.filter(batch["doc_id"].is_null())
-        for s, *part in zip(asked["shard"].to_pylist(), *(asked[c].to_pylist() for c in ("anchors", "known", "ids", "ths")), strict=True):
-            if s != shard:
-                yield batch_of(out())
-                shard = s
-            parts.append(part)
-    yield batch_of(out())
-
-
-def _segments(units: Units, shards: int) -> Callable:
+def _answering(hot: int) -> Callable:
+    """An anchor recurs if a task knew it to, or if texts that differ hold it. Those of ``hot`` segments come back in rows without an id."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, parts = None, []
+
+        def out() -> list[tuple[int | None, int | None, bytes]]:
+            if not parts:
+                return []
+            anchors, known, ids, ths, times = (np.concatenate([np.frombuffer(p[k], d) for p in parts]) for k, d in enumerate((np.uint64, np.bool_, np.int64, np.int64, np.int64)))
+            parts.clear()
+            order = np.argsort(anchors, kind="stable")
+            anchors, known, ids, ths, times = anchors[order], known[order], ids[order], ths[order], times[order]
+            first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+            large = anchors[first][np.add.reduceat(times, first) >= hot]
+            recurs = np.logical_or.reduceat(known, first) | (np.minimum.reduceat(ths, first) != np.maximum.reduceat(ths, first))
+            again = np.repeat(recurs, np.diff(np.append(first, len(anchors)))) & ~known
+            anchors, ids, ths = anchors[again], ids[again], ths[again]
+            order = np.lexsort((ths, ids))
+            anchors, ids, ths = anchors[order], ids[order], ths[order]
+            told: list[tuple[int | None, int | None, bytes]] = [(None, None, large.tobytes())] if len(large) else []
+            return told + [(int(ids[a]), int(ths[a]), anchors[a:b].tobytes()) for a, b in stretches(ids, ths)]
+
+        def batch_of(rows: list[tuple[int | None, int | None, bytes]]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "th", "anchors"])
+
+        for batch in batches:
+            passing = batch.filter(batch["doc_id"].is_valid())
+            if passing.num_rows:
+                yield passing.select(["doc_id", "th", "anchors"])
+            asked = batch.filter(batch["doc_id"].is_null())
+            for s, *part in zip(asked["shard"].to_pylist(), *(asked[c].to_pylist() for c in ("anchors", "known", "ids", "ths", "times")), strict=True):
+                if s != shard:
+                    yield batch_of(out())
+                    shard = s
+                parts.append(part)
+        yield batch_of(out())
+
+    return answer
+
+
+def _wanted(cut: Cut, batch: pa.RecordBatch) -> np.ndarray:
+    """The runs of windows whose anchors a text was told to recur."""
+    lists = [b"".join(x) for x in batch["anchors"].to_pylist()]
+    told = np.frombuffer(b"".join(lists), np.uint64) ^ mixed(np.repeat(np.arange(batch.num_rows, dtype=np.uint64), [len(x) // 8 for x in lists]))
+    return np.flatnonzero(np.isin(cut.own, told))
+
+
+def _segments(units: Units, shards: int, hot: np.ndarray) -> Callable:
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 1_000_000):
             cut = units.cut(batch["text"])
-            lists = [b"".join(x) for x in batch["anchors"].to_pylist()]
-            wanted = np.frombuffer(b"".join(lists), np.uint64) ^ mixed(np.repeat(np.arange(batch.num_rows, dtype=np.uint64), [len(x) // 8 for x in lists]))
-            runs = np.flatnonzero(np.isin(cut.own, wanted))
+            runs = _wanted(cut, batch)
+            runs = runs[~np.isin(cut.anchor[runs], hot)]
             rows = pa.array(cut.row[runs])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(_to_shard(cut.anchor[runs], shards).astype(np.int32)), pa.array(cut.anchor[runs].view(np.int64)), batch["doc_id"].take(rows), batch["th"].take(rows), batch["copied"].take(rows),
@@ -205,6 +231,23 @@ def _segments(units: Units, shards: int) -> Callable:
     return cut_out
 
 
+def _hot_windows(units: Units, hot: np.ndarray) -> Callable:
+    """Every window of the anchors ``hot``, told by 128 bits."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", 200_000):
+            cut = units.cut(batch["text"])
+            runs = _wanted(cut, batch)
+            of, first, (a, b) = cut.windows(runs[np.isin(cut.anchor[runs], hot)], units.window)
+            rows = pa.array(cut.row[of])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(RollingHash(cut.flat)(a, b).view(np.int64)), pa.array(RollingHash(cut.flat, MORE_CODES)(a, b).view(np.int64)), batch["doc_id"].take(rows), batch["th"].take(rows), batch["copied"].take(rows), pa.array(first - cut.first[cut.row[of]])],
+                ["one", "two", "doc_id", "th", "copied", "at"],
+            )
+
+    return each
+
+
 def _by_shard(find: Callable[[dict], list[tuple[int, int, int, int]]]) -> Callable:
     """``find`` gets the columns of one shard as lists and gives spans (doc_id, th, from, to) in items."""
     names = ["anchor", "doc_id", "th", "copied", "at", "segment"]
@@ -236,26 +279,34 @@ def _by_shard(find: Callable[[dict], list[tuple[int, int, int, int]]]) -> Callab
 def repeated_spans(docs: DataFrame, units: Units, find: Callable, first_stays: bool) -> tuple[DataFrame, DataFrame]:
     """Texts (doc_id, th, text) and the spans to remove from them: (doc_id, th, spans), where there are any.
 
-    th is a hash of the text. With ``first_stays`` the copy of a text with the smallest id is not removed, otherwise no
+    th is a hash of the text; copies agree in a digest as well. With ``first_stays`` the copy of a text with the smallest id is not removed, otherwise no
     copy stays; a span up to ``WHOLE`` is a whole text.
     """
     spark = docs.sparkSession
     keyed = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("th", F.xxhash64("text"))
-    ids = written(keyed.select("doc_id", "th", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")))
+    ids = written(keyed.select("doc_id", "th", F.unhex(F.md5("text")).alias("digest"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")))
     total = ids.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * SHARD_BYTES)))
 
-    asked = mapped(keyed.where("text IS NOT NULL").select("doc_id", "th", "text"), _asking(units, shards), "shard int, doc_id long, th long, anchors binary, known binary, ids binary, ths binary")
-    answers = mapped(asked.repartition(parts, "shard").sortWithinPartitions("shard"), _answer, "doc_id long, th long, anchors binary")
-    copies = ids.groupBy("th").agg(F.min("doc_id").alias("one"), F.count("*").alias("n")).where("n > 1")
+    asked = mapped(keyed.where("text IS NOT NULL").select("doc_id", "th", "text"), _asking(units, shards), "shard int, doc_id long, th long, anchors binary, known binary, ids binary, ths binary, times binary")
+    answers = mapped(asked.repartition(parts, "shard").sortWithinPartitions("shard"), _answering(max(HOT_SEGMENTS, total // HOT_SHARE)), "doc_id long, th long, anchors binary")
+    copies = written(ids.groupBy("th", "digest").agg(F.min("doc_id").alias("one"), F.count("*").alias("n")).where("n > 1 AND digest IS NOT NULL"))
     wanted = written(answers.groupBy("doc_id", "th").agg(F.collect_list("anchors").alias("anchors")))
-    wanted = wanted.join(copies, "th", "left").where("one IS NULL OR doc_id = one").select("doc_id", "th", "anchors", F.col("one").isNotNull().alias("copied"))
+    hot = np.frombuffer(b"".join(x for r in wanted.where("doc_id IS NULL").collect() for x in r["anchors"]), np.uint64)
+    wanted = wanted.where("doc_id IS NOT NULL").join(copies, "th", "left").where("one IS NULL OR doc_id = one").select("doc_id", "th", "anchors", F.col("one").isNotNull().alias("copied"))
 
     texts = keyed.select("doc_id", "th", "text").repartition(parts, "doc_id", "th")
-    cut = mapped(texts.where("text IS NOT NULL").join(wanted, ["doc_id", "th"]), _segments(units, shards), "shard int, anchor long, doc_id long, th long, copied boolean, at long, segment binary")
+    asking = texts.where("text IS NOT NULL").join(wanted, ["doc_id", "th"])
+    cut = mapped(asking, _segments(units, shards, hot), "shard int, anchor long, doc_id long, th long, copied boolean, at long, segment binary")
     spans = mapped(cut.repartition(parts, "shard").sortWithinPartitions("shard"), _by_shard(find), "doc_id long, th long, a long, b long")
-    whole = ids.join(copies, "th").where("doc_id > one" if first_stays else "true").select("doc_id", "th", F.lit(0).cast("long").alias("a"), F.lit(WHOLE).alias("b")).distinct()
+    if len(hot):
+        windows = written(mapped(asking, _hot_windows(units, hot), "one long, two long, doc_id long, th long, copied boolean, at long").distinct())
+        own = F.struct("doc_id", "th", "at")
+        counts = written(windows.groupBy("one", "two").agg(F.min(own).alias("first"), F.count("*").alias("n"), F.max("copied").alias("twice")).where("n > 1 OR twice"))
+        again = told_by(windows, counts, ["one", "two"]).where(own > F.col("first") if first_stays else "NOT copied")
+        spans = spans.unionAll(again.select("doc_id", "th", F.col("at").alias("a"), (F.col("at") + units.window).alias("b")))
+    whole = told_by(ids, copies, ["th", "digest"]).where("doc_id > one" if first_stays else "true").select("doc_id", "th", F.lit(0).cast("long").alias("a"), F.lit(WHOLE).alias("b")).distinct()
     return texts, spans.unionAll(whole).groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattix.llm.batches import mapped, mixed, pieces, stretches, written
+from lattix.llm.batches import mapped, mixed, pieces, stretches, told_by, written
 from lattix.llm.components import components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -201,17 +201,6 @@ def near_links(prints: DataFrame) -> DataFrame:
     return _bucket_links(spread, ["fp"], RADIUS, RADIUS)
 
 
-def told_by(rows: DataFrame, named: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` joined with ``named``, a written table that has one row a key and in n how many rows hold it.
-
-    Keys that hold a thousandth of all rows or more, of which there are at most a thousand, go to every task, so that
-    no task gathers the rows of one; all others meet in a shuffle.
-    """
-    total = named.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = F.broadcast(named.where(F.col("n") * 1000 >= total))
-    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(named, keys)).drop("n")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id that links reach.
 

@@ -16,15 +16,40 @@ from lattix.llm.repeats import NO_ID, Units, removed_items, repeated_spans
 WINDOW, GRAM = 400, 64
 #: Suffixes that are sorted at once; runs of one anchor stay together.
 AT_ONCE = 3_000_000
-#: Digits after the first: so many bytes each, told apart by 64-bit hashes.
+#: Digits after the first: so many bytes each, told apart by 64-bit hashes until whole windows are compared.
 DIGIT = 49
 
 
+def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Whether the n bytes from each of ``a`` are those from ``b``."""
+    width = min(8, n)
+    heads = np.ndarray((max(0, len(data) - width + 1),), f"V{width}", data, strides=(1,)) if width < 8 else np.ndarray((max(0, len(data) - 7),), np.uint64, data, strides=(1,))
+    same = np.ones(len(a), np.bool_)
+    for at in dict.fromkeys([*range(0, n - width + 1, width), n - width]):
+        same &= heads[a + at] == heads[b + at]
+    return same
+
+
+def _same_bytes(data: np.ndarray, starts: np.ndarray, group: np.ndarray, depth: int) -> np.ndarray:
+    """Which suffixes, in order of their groups, share their first bytes with another of the group, byte for byte."""
+    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(first, len(group)))
+    head = np.repeat(first, sizes)
+    same = np.concatenate([_equal(data, starts[a : a + 500_000], starts[head[a : a + 500_000]], depth) for a in range(0, len(starts), 500_000)] or [np.zeros(0, np.bool_)])
+    good = np.repeat(np.logical_and.reduceat(same, first), sizes) if len(first) else same
+    for a, n in zip(first.tolist(), sizes.tolist(), strict=True) if not good.all() else ():  # hashes of digits that met by chance
+        if not good[a]:
+            own = [data[s : s + depth].tobytes() for s in starts[a : a + n].tolist()]
+            good[a : a + n] = [own.count(x) > 1 for x in own]
+    return good
+
+
 def repeated_suffixes(groups: np.ndarray, data: np.ndarray, starts: np.ndarray, twice: np.ndarray, depth: int) -> np.ndarray:
     """Which suffixes share their first ``depth`` bytes with another of their group, or count twice themselves.
 
     Passes from the most significant digit: the first of eight bytes, further ones of ``DIGIT`` bytes. After each,
-    suffixes alone in their group leave, and only groups whose digits differ are ordered anew. ``groups`` holds integers.
+    suffixes alone in their group leave, and only groups whose digits differ are ordered anew; in the end each group is
+    compared byte for byte. ``groups`` holds integers.
     """
     out = twice.copy()
     alive = np.arange(len(starts))
@@ -55,7 +80,7 @@ def repeated_suffixes(groups: np.ndarray, data: np.ndarray, starts: np.ndarray,
         alive, group = alive[keep], (np.cumsum(new) - 1)[keep]
         done += size
         if done == depth:
-            out[alive] = True
+            out[alive[_same_bytes(data, starts[alive], group, depth)]] = True
             break
     return out
 
@@ -102,7 +127,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A byte goes if a string of ``window`` bytes around it also starts anywhere else, in any document or its own. Only
     windows whose anchor recurs are cut out; their suffixes are sorted by the first ``window`` bytes in the shard of
-    the anchor. Ids are integers. Null and empty texts have no bytes; rows of one id are told apart by a hash of their texts; a row
+    the anchor; those of an anchor with very many segments are counted by digests of the windows. Ids are integers. Null and empty texts have no bytes; rows of one id are told apart by a hash of their texts; a row
     that is repeated as a whole counts as a copy of itself. Other columns are not read.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -189,8 +189,9 @@ def plain_passages(rows, window):
     return out
 
 
-@pytest.mark.parametrize("window", [20, 3])
-def test_passages(docs, texts, nothing, window):
+@pytest.mark.parametrize("window, hot", [(20, 3_000), (3, 3_000), (20, 2), (3, 2)])
+def test_passages(docs, texts, nothing, window, hot, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in passages.remove_passages(docs, window=window).collect()}
     assert got == plain_passages(texts, window)
     assert passages.remove_passages(nothing).count() == 0
@@ -212,8 +213,9 @@ def plain_repeats(rows, window):
     return out
 
 
-@pytest.mark.parametrize("window", [400, 50])
-def test_repeats(docs, texts, nothing, window):
+@pytest.mark.parametrize("window, hot", [(400, 3_000), (50, 3_000), (400, 2), (50, 2)])
+def test_repeats(docs, texts, nothing, window, hot, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(docs, window=window).collect()}
     assert got == plain_repeats(texts, window)
     assert suffixes.remove_repeats(nothing).count() == 0
@@ -246,6 +248,13 @@ def test_radix_passes():
     assert hit.tolist() == [seen[g, data[s : s + 17].tobytes()] > 1 for s, g in zip(starts.tolist(), groups.tolist(), strict=True)]
 
 
+@pytest.mark.parametrize("depth", [5, 8, 19])
+def test_groups_are_compared_byte_for_byte(depth):
+    data = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz" * 3 + b"abcdefghijklmnopqrstuvwxyZ" + b"other bytes that differ, of any", np.uint8)
+    starts, group = np.array([0, 26, 0, 105, 52, 0, 106, 107]), np.array([0, 0, 1, 1, 1, 2, 2, 2])
+    assert suffixes._same_bytes(data, starts, group, depth).tolist() == [True, True, True, False, True, False, False, False]
+
+
 def test_anchors_are_told_by_content():
     units = repeats.Units(8, 3, True)
     base = " ".join(random.Random(5).choice("abcdefgh") for _ in range(60))
