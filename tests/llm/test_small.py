@@ -428,42 +428,120 @@ def test_clean_documents_without_an_id(spark):
 # --- scores
 
 
-def test_scores(docs, texts, nothing):
-    tokens = {k: [*words(lower(t)), b"\n"] for k, t in texts}
-    held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k, _ in texts}
+def plain_spelling(counted):
+    """log10 of the share of any word among all spellings, from words with their counts; plain dictionaries."""
+    classes, prior, depth = suffix_tree.CLASSES, suffix_tree.PRIOR, suffix_tree.DEPTH
+    spelled = lambda w: [0] * depth + [int(classes[b]) for b in w] + [1]
+    nodes, own = defaultdict(Counter), Counter()
+    for w, n in counted.items():
+        x = spelled(w)
+        for b in w:
+            own[b] += n
+        for k in range(depth, len(x)):
+            for d in range(depth + 1):
+                nodes[tuple(x[k - d : k])][x[k]] += n
+    total = sum(nodes[()].values())
+    share = {(): {s: (nodes[()][s] + 1) / (total + 64) for s in range(64)}}
+    for ctx in sorted((c for c in nodes if c), key=len):
+        everything, up = sum(nodes[ctx].values()), nodes[ctx[1:]]
+        above = sum(up.values())
+        saved = sum(n * (math.log((n - 1 + prior * up[s] / above) / (everything - 1 + prior)) - math.log(up[s] / above)) for s, n in nodes[ctx].items())
+        if everything >= suffix_tree.SPELLED * total and saved >= suffix_tree.EVIDENCE:
+            parent = next(share[ctx[k:]] for k in range(1, len(ctx) + 1) if ctx[k:] in share)
+            share[ctx] = {s: (nodes[ctx][s] + prior * parent[s]) / (everything + prior) for s in range(64)}
+    within = Counter()
+    for b in range(256):
+        within[int(classes[b])] += own[b] + 1
+
+    def spell(w):
+        x, out = spelled(w), sum(math.log10((own[b] + 1) / within[int(classes[b])]) for b in w)
+        for k in range(depth, len(x)):
+            out += math.log10(next(share[tuple(x[k - d : k])] for d in range(depth, -1, -1) if tuple(x[k - d : k]) in share)[x[k]])
+        return out
+
+    return spell, len(share)
+
+
+def plain_scores(tokens, held):
+    """The word tree in plain dictionaries: scores, and how many contexts it keeps."""
+    train = [ws for k, ws in tokens.items() if not held[k]]
+    c = Counter(w for ws in train for w in ws)
+    total, prior = sum(c.values()), suffix_tree.PRIOR
+    frequent = {w for w, n in c.items() if n >= suffix_tree.HOT * total}
+    symbol = lambda w: w if w in frequent else "rare"
+    rare = {w: n for w, n in c.items() if w not in frequent}
+    weight, rare_total = max(1, len(rare)), sum(rare.values())
+    share = lambda s: ((rare_total if s == "rare" else c[s]) + 1) / (total + len(frequent) + 1)
+    after = defaultdict(Counter)
+    for ws in train:
+        for v, s in zip(["start", *map(symbol, ws)], map(symbol, ws)):
+            after[v][s] += 1
+    kept = {}
+    for v, nexts in after.items():
+        n = sum(nexts.values())
+        if sum(m * (math.log((m - 1 + prior * share(s)) / (n - 1 + prior)) - math.log(share(s))) for s, m in nexts.items()) >= suffix_tree.EVIDENCE:
+            kept[v] = n
+    spell, states = plain_spelling({w.strip(b"\n"): n for w, n in rare.items()})
+    out = {}
+    for k, ws in tokens.items():
+        score = 0.0
+        for v, w in zip(["start", *map(symbol, ws)], ws):
+            s = symbol(w)
+            score += math.log10((after[v][s] + prior * share(s)) / (kept[v] + prior) if v in kept else share(s))
+            if s == "rare":
+                spelled = math.log10(weight) + spell(w.strip(b"\n"))
+                score += (math.log10(c[w] + 10**spelled) if c[w] else spelled) - math.log10(rare_total + weight)
+        out[k] = score
+    return out, len(kept), states
+
+
+@pytest.mark.parametrize("hot", [1e-5, 0.002, 2.0])
+def test_scores(spark, docs, texts, nothing, hot, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "HOT", hot)
+    more = [(40_000 + k, "now this pair comes again and that pair too " * 30) for k in range(6)] + [(50_000, "some long text of words " * 20_000), (50_001, "x" * 150_000)]
+    tokens = {k: [*words(lower(t)), b"\n"] for k, t in texts + more}
+    held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in tokens}
     c = Counter(w for k, ws in tokens.items() if not held[k] for w in ws)
     total, types = sum(c.values()), len(c)
-    got = {r.doc_id: r for r in suffix_tree.score_texts(docs).collect()}
-    assert got.keys() == tokens.keys()
+    want, contexts, states = plain_scores(tokens, held)
+    rows = suffix_tree.score_texts(docs.unionByName(spark.createDataFrame(more + more[:1], "doc_id long, text string"), allowMissingColumns=True).where("doc_id <> 40000 OR text IS NULL").unionByName(spark.createDataFrame(more[:1], "doc_id long, text string"), allowMissingColumns=True)).collect()
+    got = {r.doc_id: r for r in rows}
+    assert len(rows) == len(tokens) and got.keys() == tokens.keys() and states > 20 * (hot > 1e-5) and contexts >= 4 * (hot < 1)
     for k, ws in tokens.items():
         r = got[k]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[k], len(ws), sum(c[w] > 0 for w in ws), total)
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (total + types + 1)) for w in ws), rel=1e-9)
-        assert r.score < 0
+        assert r.score == pytest.approx(want[k], rel=1e-4, abs=1e-3)
     assert suffix_tree.score_texts(nothing).count() == 0
 
 
+def test_repeated_rows_are_scored_each(spark):
+    df = spark.createDataFrame([(k % 3, f"a b c d{k % 3}") for k in range(9)] + [(None, "a b")], "doc_id long, text string")
+    got = suffix_tree.score_texts(df).collect()
+    assert len(got) == 10 and len({(r.doc_id, r.score) for r in got}) == 4
+
+
 def test_tree_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     kept = [(0, 0, rng.integers(1, 50, 64)), (1, 5, rng.integers(0, 9, 64)), (2, 5 + (7 << 6), rng.integers(0, 9, 64))]
-    tree = suffix_tree.SuffixTree(kept, rng.integers(0, 9, 256).astype(float))
-    assert np.allclose((10.0 ** tree.log).sum(1), 1)
-    within = np.bincount(suffix_tree.CLASSES, 10.0 ** np.where(np.arange(256) > 0, tree.byte_log, -99), 64)
-    assert np.allclose(within[np.unique(suffix_tree.CLASSES[1:])], 1, atol=0.2)
+    tree = suffix_tree.SpellingTree(kept, rng.integers(0, 9, 256).astype(float))
+    assert np.allclose((10.0 ** tree.log).sum(1), 1, atol=1e-4)
+    within = np.bincount(suffix_tree.CLASSES, 10.0**tree.byte_log, 64)
+    assert np.allclose(within[np.unique(suffix_tree.CLASSES)], 1)
     table = tree.table()
     assert table[5 + (7 << 6) + (9 << 12)] == 2 and table[5 + (8 << 6)] == 1 and table[6] == 0
 
 
-def test_a_stream_holds_all_symbols():
-    x = suffix_tree.Stream(pa.array(["Ab  c", None, "", "é!"]))
-    assert x.n_words.tolist() == [2, 0, 0, 1]
-    assert [int((x.text_of == k).sum()) for k in range(4)] == [4 + 5, 4 + 1, 4 + 1, 4 + 4]
-    assert Counter(x.symbols.tolist())[2] == 4
+def test_tokens_hold_every_end():
+    x = suffix_tree.Tokens(pa.array(["Ab  c", None, "", "é!"]))
+    assert x.count.tolist() == [3, 1, 1, 2] and (x.hashes == suffix_tree.END_HASH).tolist() == [False, False, True, True, True, False, True]
+    told = suffix_tree.Spelling(x.data, x.starts, x.ends)
+    assert told.symbols[told.real].tolist()[:5] == [3, 4, 1, 5, 1] and int(told.real.sum()) == 6 + 7
 
 
-def test_scores_beat_an_even_guess_on_held_out_texts(spark):
-    got = suffix_tree.score_texts(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
-    assert -got[0] / got[1] < 6.5  # an even guess over bytes is near 14 a token
+def test_scores_beat_a_count_of_words_on_held_out_texts(spark):
+    got = suffix_tree.score_texts(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
 
 
 # --- nulls for ids, and nothing to find
