@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
+import random
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +20,11 @@ from lattix.llm.batches import SPACE, mapped, pieces, text_bytes, word_spans
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
 #: The model is fitted on the documents with the smallest hashes of their ids, this many, and on so many word runs at most.
-TRAIN_DOCS, TRAIN_RUNS, EPOCHS, RATE, DECAY = 2_000, 1_500, 6, 0.3, 1e-3
-#: Words that one entity may have, and words of a run that are decided together; longer runs are cut.
-MOST_WORDS, RUN_WORDS = 6, 64
+TRAIN_DOCS, TRAIN_RUNS, EPOCHS, RATE, DECAY = 2_000, 1_500, 6, 0.3, 1e-5
+#: Words that one entity may have.
+MOST_WORDS = 6
+#: Invented cards, and tokens, that are written out in several ways as further training runs.
+VARIED = 24
 #: How much likelier than any other reading an added span must be.
 MARGIN = 2.0
 
@@ -85,6 +89,12 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
 
 
+def _log_sum(a: float, b: float) -> float:
+    """log(exp(a) + exp(b)) of single numbers."""
+    a, b = (a, b) if a > b else (b, a)
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
+
 _EDGE = "\"'`([{<>}]),;:!?.|=*_"
 
 
@@ -107,12 +117,14 @@ def span_features(span: str, words: int) -> list[str]:
     out = [f"words={words}", f"digits={min(digits, 20)}", f"letters={min(letters, 4) if letters < 20 else 20}", f"marks={others[:8]}", f"groups={min(len(groups), 6)}", f"open={span[:1] if span[:1] in '+(' else ''}"]
     if letters == 0 and 13 <= digits <= 19:
         out.append(f"luhn={luhn(''.join(groups))}")
+        out.append(f"sizes={','.join(str(len(g)) for g in groups[:6])}")
     if len(groups) == 4 and others == "." and letters == 0:
         out.append(f"quad={all(len(g) < 4 and int(g) < 256 for g in groups)}")
     if "@" in span:
         out.append(f"mail={bool(re.fullmatch(r'[^@ ]+@[^@ ]+[.][^@ .]+', span))}")
     if len(span) >= 16 and words == 1:
         out.append(f"hex={len(span) >= 32 and digits > 3 and letters > 3 and all(c in '0123456789abcdef' for c in low)}")
+        out.append(f"token={len(span) >= 20 and digits > 3 and letters > 3 and span.isascii() and span.isalnum() and len(groups) > 3}")
     return out
 
 
@@ -128,14 +140,18 @@ class SemiMarkov:
     def __init__(self, weights: dict[tuple[str, str], float] | None = None):
         self.weights = weights or {}
 
+    def features(self, text: str, run: list[tuple[int, int]]) -> Callable[[int, int], list[str]]:
+        """The features of words i to j of a run, made when asked for: a run may be as long as its text."""
+
+        def of(i: int, j: int) -> list[str]:
+            a, b = _core(text, run[i][0], run[j - 1][1])
+            return span_features(text[a:b], j - i)
+
+        return of
+
     def lattice(self, text: str, run: list[tuple[int, int]]) -> dict[tuple[int, int], list[str]]:
-        n = len(run)
-        out = {}
-        for i in range(n):
-            for j in range(i + 1, min(n, i + MOST_WORDS) + 1):
-                a, b = _core(text, run[i][0], run[j - 1][1])
-                out[i, j] = span_features(text[a:b][:256], j - i)
-        return out
+        of, n = self.features(text, run), len(run)
+        return {(i, j): of(i, j) for i in range(n) for j in range(i + 1, min(n, i + MOST_WORDS) + 1)}
 
     def score(self, label: str, features: list[str]) -> float:
         get = self.weights.get
@@ -151,11 +167,14 @@ class SemiMarkov:
                     if label or j - i == 1:
                         yield i, j, label
 
-    def best(self, lattice: dict, n: int) -> list[tuple[int, int, str]]:
+    def best(self, features: Callable[[int, int], list[str]], n: int) -> list[tuple[int, int, str]]:
         top: list[dict[str, tuple[float, tuple | None]]] = [{"": (0.0, None)}] + [{} for _ in range(n)]
+        at, known = None, []
         for i, j, label in self.segments(n):
             if top[i]:
-                own = self.score(label, lattice[i, j])
+                if at != (i, j):
+                    at, known = (i, j), features(i, j)
+                own = self.score(label, known)
                 found = max((v + self.step(b, label) + own, b) for b, (v, _) in top[i].items())
                 if label not in top[j] or found[0] > top[j][label][0]:
                     top[j][label] = found[0], (i, found[1])
@@ -175,11 +194,11 @@ class SemiMarkov:
         for i, j, label in own:
             for before in self.LABELS:
                 if ahead[i][before] > -math.inf:
-                    ahead[j][label] = np.logaddexp(ahead[j][label], ahead[i][before] + self.step(before, label) + own[i, j, label])
+                    ahead[j][label] = _log_sum(ahead[j][label], ahead[i][before] + self.step(before, label) + own[i, j, label])
         behind = [dict.fromkeys(self.LABELS, -math.inf) for _ in range(n)] + [dict.fromkeys(self.LABELS, 0.0)]
         for i, j, label in reversed(own):
             for before in self.LABELS:
-                behind[i][before] = np.logaddexp(behind[i][before], self.step(before, label) + own[i, j, label] + behind[j][label])
+                behind[i][before] = _log_sum(behind[i][before], self.step(before, label) + own[i, j, label] + behind[j][label])
         total, change = behind[0][""], defaultdict(float)
         for i, j, label in own:
             for before in self.LABELS:
@@ -216,7 +235,7 @@ def word_runs(texts: pa.Array) -> dict[int, list[list[tuple[int, int]]]]:
     last, last_row = -2, -1
     for row, at, end, a, b in zip(rows.tolist(), starts.tolist(), ends.tolist(), (points[starts] - base).tolist(), (points[ends] - base).tolist(), strict=True):
         runs = out[row]
-        if row == last_row and at == last + 1 and len(runs[-1]) < RUN_WORDS:
+        if row == last_row and at == last + 1:
             runs[-1].append((a, b))
         else:
             runs.append([(a, b)])
@@ -225,7 +244,7 @@ def word_runs(texts: pa.Array) -> dict[int, list[list[tuple[int, int]]]]:
 
 
 def told_cuts(text: str, run: list[tuple[int, int]], base: list[tuple[str, int, int]]) -> list[tuple[int, int, str]] | None:
-    """The cuts of a run that the patterns tell; a long word of hexadecimal letters and digits is told to be a secret."""
+    """The cuts of a run that the patterns tell; a long word in which letters and digits alternate is told to be a secret."""
     label_of = {}
     for kind, a, b in base:
         inside = [k for k, (s, e) in enumerate(run) if s < b and e > a]
@@ -236,14 +255,46 @@ def told_cuts(text: str, run: list[tuple[int, int]], base: list[tuple[str, int,
         end, kind = label_of.get(k, (k + 1, ""))
         if not kind:
             a, b = _core(text, *run[k])
-            kind = "secret" if "hex=True" in span_features(text[a:b], 1) else ""
+            kind = "secret" if {"hex=True", "token=True"} & set(span_features(text[a:b], 1)) else ""
         out.append((k, end, kind))
         k = end
     return out
 
 
+def varied() -> list[tuple[str, list[tuple[int, int, str]]]]:
+    """Further training runs, with their cuts: what no fixed pattern tells.
+
+    Cards in groups of four, side by side in each way of writing, and behind a word that ends in a digit; tokens of
+    letters and digits, and words and numbers like them that are none. Nothing here depends on chance.
+    """
+    rng, out = random.Random(20), []
+    bodies = ["".join(rng.choices("0123456789", k=15)) for _ in range(VARIED)]
+    cards = [b + next(d for d in "0123456789" if luhn(b + d)) for b in bodies]
+    ways = [lambda c: [c], lambda c: ["-".join(c[k : k + 4] for k in range(0, len(c), 4))], lambda c: [c[k : k + 4] for k in range(0, len(c), 4)]]
+    for k in range(VARIED):
+        first, second = cards[k], cards[(k + 1) % len(cards)]
+        broken = first[:-1] + str((int(first[-1]) + 1 + k % 8) % 10)
+        for way in ways:
+            for words in ([(way(first), "card")], [(way(first), "card"), (way(second), "card")], [([f"x{k % 10}"], ""), (way(first), "card")], [([str(1900 + k)], ""), (way(first), "card")], [(way(broken), "")]):
+                run: list[str] = []
+                cuts: list[tuple[int, int, str]] = []
+                for own, kind in words:
+                    n = len(run)
+                    cuts += [(n, n + len(own), kind)] if kind else [(n + j, n + j + 1, "") for j in range(len(own))]
+                    run += own
+                out.append((" ".join(run), cuts))
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for k in range(VARIED):
+        token = "".join(rng.choices(alphabet if k % 2 else alphabet[:26] + alphabet[52:], k=20 + k % 30))
+        kind = "secret" if "token=True" in span_features(token, 1) else ""
+        out.append((token, [(0, 1, kind)]))
+        out.append(("".join(rng.choices(alphabet[26:52], k=18 + k % 20)) + str(k), [(0, 1, "")]))
+        out.append((str(rng.randrange(10 ** (6 + k % 8))), [(0, 1, "")]))
+    return out
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SemiMarkov:
-    """A model fitted on word runs of at most ``TRAIN_DOCS`` documents; only their short runs reach the driver."""
+    """A model fitted on word runs of at most ``TRAIN_DOCS`` documents, and on ``varied`` ones; only their short runs reach the driver."""
     hashed = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("h"), F.col(id_col).alias("i")).where("text IS NOT NULL")
     share = min(1.0, 2 * TRAIN_DOCS / max(1, docs.count()))  # a first cut by hash, so that tasks don't each offer as many
     some = hashed.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("h", "i").limit(TRAIN_DOCS)
@@ -269,6 +320,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Semi
         base = [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)]
         if 0 < len(words) <= 12:
             ready.append((model.lattice(r["run"], words), len(words), told_cuts(r["run"], words, base)))
+    for run, told in varied():
+        words = [m.span() for m in re.finditer(r"\S+", run)]
+        ready.append((model.lattice(run, words), len(words), told))
     for epoch in range(EPOCHS):
         for lattice, n, told in ready:
             model.learn(lattice, n, told, RATE / (1 + epoch))
@@ -278,26 +332,36 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Semi
 def find_spans(text: str, runs: list[list[tuple[int, int]]], model: SemiMarkov) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Spans of the patterns, and spans that the model adds; those touch none of the former."""
     base = base_spans(text)
-    taken = sorted((a, b) for _, a, b in base)
+    starts, ends = [], []  # what the patterns take, joined where it overlaps
+    for a, b in sorted((a, b) for _, a, b in base):
+        if starts and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def is_free(a: int, b: int) -> bool:
+        k = bisect.bisect_right(ends, a)
+        return k == len(starts) or starts[k] >= b
+
     added = []
     for run in runs:
-        free = [w for w in run if not any(a < w[1] and b > w[0] for a, b in taken)] if taken else run
-        if not free:
+        if starts and not any(is_free(a, b) for a, b in run):
             continue
-        lattice = model.lattice(text, run)
-        for i, j, label in model.best(lattice, len(run)):
-            if label and model.score(label, lattice[i, j]) > MARGIN + sum(model.score("", lattice[k, k + 1]) for k in range(i, j)):
+        features = model.features(text, run)
+        for i, j, label in model.best(features, len(run)):
+            if label and model.score(label, features(i, j)) > MARGIN + sum(model.score("", features(k, k + 1)) for k in range(i, j)):
                 a, b = _core(text, run[i][0], run[j - 1][1])
-                if a < b and not any(s < b and e > a for s, e in taken):
+                if a < b and is_free(a, b):
                     added.append((label, a, b))
     return base, added
 
 
 def find_personal_data(docs: DataFrame, model: SemiMarkov | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans.
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_spans, the number of those.
 
-    Whole texts, each row alone and without a shuffle; null and empty texts have no spans, repeated rows are searched each, other
-    columns are not read; an empty table gives none. The model is a few hundred weights, fitted on a bounded sample.
+    Whole texts, each row alone and without a shuffle; null and empty texts have no spans, repeated rows and rows
+    without an id are searched each, other columns are not read; an empty table gives none. Of base spans that overlap all stay. The model is a few hundred weights, fitted on a bounded sample.
     """
     model = model or fit(docs, id_col, text_col)
 
@@ -306,10 +370,10 @@ def find_personal_data(docs: DataFrame, model: SemiMarkov | None = None, id_col:
             runs, texts = word_runs(batch["text"]), batch["text"].fill_null("").to_pylist()
             both = [find_spans(t, runs.get(k, []), model) for k, t in enumerate(texts)]
             counts = {f"n_{kind}": pa.array([sum(s[0] == kind for s in base) for base, _ in both], pa.int64()) for kind in BASE_KINDS}
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], **counts, "base_sha256": pa.array([hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in both]), "spans": pa.array([_joined(base + more) for base, more in both])})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], **counts, "base_sha256": pa.array([hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in both]), "spans": pa.array([_joined(base + more) for base, more in both]), "n_spans": pa.array([len(base) + len(more) for base, more in both], pa.int64())})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return mapped(docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text"), found, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return mapped(docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text"), found, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
 def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -325,7 +389,11 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def mask_personal_data(docs: DataFrame, model: SemiMarkov | None = None, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
-    """The documents with all spans masked; ``length_col``, if given, becomes the new length. Nulls stay null."""
+    """The documents with all spans masked; ``length_col``, if given, becomes the new length.
+
+    Each row is masked by itself, whatever its id, repeated or none; null texts and their lengths are null, empty ones
+    stay; an empty table gives none; of spans that overlap the first names the mask. Other columns stay, whatever their names.
+    """
     model = model or fit(docs, id_col, text_col)
     names = docs.columns
 

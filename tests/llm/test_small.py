@@ -287,6 +287,9 @@ def test_base_patterns():
 
 def test_personal_data(spark, docs, texts, nothing):
     more = [(20_000, "mail bob@example.com or 10.0.0.1, card 4111111111111111 4465758382889437, call +1 (212) 555-0199"), (20_001, "Version 2.0. of 2019"), (20_002, "1" * 30_000 + "." * 3000), (20_003, 'token = "0123456789abcdef0123456789abcdef01234567"')]
+    more += [(20_004, "pay 4111 1111 1111 1111 4465 7583 8288 9437 now"), (20_005, "x9 4111 1111 1111 1111"), (20_006, "key AKx7Qm2ZpL9vT4sRw8Bn1C, done"), (20_007, " ".join(str(k) for k in range(100_000, 140_000)) + " 4111 1111 1111 1111 4465 7583 8288 9437")]
+    more += [(20_008, "ab" * 300 + "1 and " + "c" * 400 + "0123456789abcdef0123456789abcdef01234567")]
+    more += [(20_009, " ".join(["7"] * k + ["4111-1111-1111-1111 4465-7583-8288-9437"])) for k in (0,)] + [(20_010, "mail a@b.cd"), (20_010, "mail a@b.cd"), (None, "mail a@b.cd")]
     all_docs = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
     model = pii.fit(spark.read.parquet(f"{SF}/documents.parquet"))
     by_id = dict(texts + more)
@@ -298,7 +301,18 @@ def test_personal_data(spark, docs, texts, nothing):
         found = [s.split(":") for s in r.spans.split(",") if s]
         assert {(k, int(a), int(b)) for k, a, b in found} >= set(base)
         assert r.doc_id != 20_001 or not found
-    masked = {r.doc_id: r.text for r in pii.mask_personal_data(all_docs, model).collect()}
+        assert r.n_spans == len(found)
+        text = by_id[r.doc_id] or ""
+        told = {(k, text[int(a) : int(b)]) for k, a, b in found}
+        two = {("card", "4111 1111 1111 1111"), ("card", "4465 7583 8288 9437")}
+        assert r.doc_id not in (20_004, 20_007) or told >= two, told
+        assert r.doc_id != 20_005 or ("card", "4111 1111 1111 1111") in told, told
+        assert r.doc_id != 20_006 or told == {("secret", "AKx7Qm2ZpL9vT4sRw8Bn1C")}, told
+        assert r.doc_id != 20_009 or len([k for k, _ in told if k == "card"]) == 2, told
+    masked_docs = pii.mask_personal_data(all_docs, model)
+    assert masked_docs.columns == all_docs.columns and masked_docs.count() == all_docs.count()
+    masked = {r.doc_id: r.text for r in masked_docs.collect()}
+    assert masked[None] == masked[20_010] == "mail [EMAIL]"
     assert masked[20_000].startswith("mail [EMAIL] or [IP], card ") and masked[20_000].endswith("call [PHONE]") and "4111" not in masked[20_000]
     assert masked[10_000] is None and masked[20_001] == by_id[20_001]
     assert pii.find_personal_data(nothing, model).count() == 0 and pii.find_personal_data(nothing).count() == 0
@@ -329,7 +343,7 @@ def test_segments_are_the_best_of_all():
                 if label or end == at + 1:
                     yield from ([(at, end, label), *rest] for rest in every(end))
 
-    assert total(model.best(lattice, len(run))) == pytest.approx(max(map(total, every(0))))
+    assert total(model.best(model.features("+1 (2) 55 abcd", run), len(run))) == pytest.approx(max(map(total, every(0))))
 
 
 # --- tokens
