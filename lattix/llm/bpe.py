@@ -280,7 +280,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     """One row per document: doc_id, n_bytes, n_tokens by the byte-level BPE file at ``path``, over_limit.
 
     Special strings inside texts are one token each, none is added. Each row is counted alone, without a shuffle: null and empty texts have 0,
-    repeated rows are counted each, other columns are not read.
+    repeated rows and rows without an id are counted each, other columns are not read; an empty table gives none. Of
+    pairs with one rank the leftmost merges first.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,8 +330,9 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and if asked the ids (little-endian, 4 bytes each).
 
     Each match of the pattern is merged separately, without special tokens; the ids are decoded again from the
-    vocabulary. Each row alone, without a shuffle: null and empty texts have no ids, repeated rows are encoded each,
-    other columns are not read.
+    vocabulary. Each row alone, without a shuffle: null and empty texts have no ids, repeated rows and rows without an
+    id are encoded each, other columns are not read; an empty table gives none. Of pairs with one rank the leftmost
+    merges first. Matches of over 1,024 bytes leave the matrices for a heap of their pairs, which gives the same ids.
     """
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

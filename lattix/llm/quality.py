@@ -91,7 +91,8 @@ def measure_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rolling hashes give every window of 5, 7 and 10 words and every line; those that a text holds more than once
     are marked and their characters counted. Works on each row alone: no shuffle, repeated rows and ids are measured
     each, null and empty texts have no words and fail, other columns are not read. A text is held whole, in pieces with its
-    neighbours of at most ``PIECE`` bytes. Equality is that of 64-bit hashes within one text.
+    neighbours of at most ``PIECE`` bytes. Equality is that of 64-bit hashes within one text. An empty table gives none;
+    there are no ties, as a threshold that is just met doesn't fail.
     """
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +108,10 @@ def measure_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that the rules keep, with all their columns as they are (whatever their names)."""
+    """The documents that the rules keep, with all their columns as they are, whatever their names.
+
+    Each row is judged by its own text, whatever its id, repeated or none; null and empty texts go; an empty table gives none.
+    """
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text_col):

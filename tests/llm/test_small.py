@@ -218,6 +218,8 @@ def test_repeats(docs, texts, nothing, window, hot, monkeypatch):
     monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(docs, window=window).collect()}
     assert got == plain_repeats(texts, window)
+    again = suffixes.remove_repeats(docs.unionAll(docs), window=window).distinct()  # every row is a copy
+    assert {r.doc_id: (r.n_bytes, r.n_removed) for r in again.collect()} == {k: (len(b), len(b) * (len(b) >= window)) for k, t in texts for b in [(t or "").encode()]}
     assert suffixes.remove_repeats(nothing).count() == 0
 
 
@@ -255,6 +257,17 @@ def test_groups_are_compared_byte_for_byte(depth):
     assert suffixes._same_bytes(data, starts, group, depth).tolist() == [True, True, True, False, True, False, False, False]
 
 
+def test_long_texts_and_repeated_rows(spark):
+    rng = random.Random(21)
+    text = " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60_000))
+    rows = [(1, text), (2, "start " + text[1_000:300_000]), (2, "start " + text[1_000:300_000]), (3, text[100_000:100_350])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    four, ten = passages.remove_passages(df).collect(), suffixes.remove_repeats(df).collect()
+    assert len(four) == len(ten) == 4
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in four} == plain_passages(rows, 20)
+    assert {r.doc_id: r.n_removed for r in ten} == {1: 299_000, 2: 299_006, 3: 0}  # the repeated row is a copy of itself
+
+
 def test_anchors_are_told_by_content():
     units = repeats.Units(8, 3, True)
     base = " ".join(random.Random(5).choice("abcdefgh") for _ in range(60))
@@ -349,13 +362,16 @@ def test_segments_are_the_best_of_all():
 # --- tokens
 
 
-def test_tokens(docs, texts, nothing):
+def test_tokens(spark, docs, texts, nothing):
     import base64
 
     import public_tokenizers as public
     import tiktoken
     from tokenizers import Tokenizer
 
+    more = [(30_000, " ".join(f"w{k % 977}x{k % 13}" for k in range(40_000))), (30_001, "9" * 70_000), (30_002, "same"), (30_002, "same")]
+    docs, texts = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True), texts + more
+    assert bpe.count_tokens(docs, public.path("byte_bpe_50k.json")).count() == bpe.encode_and_decode(docs, public.path("byte_bpe_multi_50k.tiktoken")).count() == len(texts)
     whole = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
     got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in bpe.count_tokens(docs, public.path("byte_bpe_50k.json")).collect()}
     want = {k: (len((t or "").encode()), len(whole.encode(t or "", add_special_tokens=False).ids)) for k, t in texts}
