@@ -45,7 +45,7 @@ class Graph:
         number = labid or max([2, *(lab.labid for lab in self.labels)]) + 1
         shape = "id long, properties string" if kind == "v" else "id long, start long, end long, properties string"
         held = frame if frame is not None else self.spark.createDataFrame([], shape)
-        return replace(self, labels=(*self.labels, Label(number, name, kind, parent)), frames=self.frames | {name: held})
+        return replace(self, labels=(*self.labels, Label(number, name, kind, parent)), frames=self.frames | {name: held}, version=self.version + (frame is not None))
 
     def with_frame(self, name: str, frame: DataFrame) -> Graph:
         return replace(self, frames=self.frames | {name: frame}, version=self.version + 1)
@@ -95,7 +95,10 @@ class Graph:
         return df.join(F.broadcast(names), ids.labid(F.col(id_)) == F.col("__lab"), "left").drop("__lab")
 
     def save(self, path: str) -> None:
-        """Each label's frame as Parquet in a directory of its own under ``label=``."""
+        """Each label's frame as Parquet in a directory of its own under ``label=``, beside the catalog and the constraints."""
+        rows = [(c.name, c.label, c.kind, list(c.keys), c.condition) for c in self.constraints]
+        state = self.spark.createDataFrame([(self.version, self.triples_version, rows)], "version int, triples_version int, constraints array<struct<name:string,label:string,kind:string,keys:array<string>,condition:string>>")
+        state.coalesce(1).write.mode("overwrite").parquet(f"{path}/state")
         self.catalog().where("NOT built_in").coalesce(1).write.mode("overwrite").parquet(f"{path}/catalog")
         for name, frame in self.frames.items():
             frame.write.mode("overwrite").parquet(f"{path}/elements/label={name}")
@@ -104,4 +107,8 @@ class Graph:
     def load(spark: SparkSession, name: str, path: str) -> Graph:
         rows = spark.read.parquet(f"{path}/catalog").orderBy("labid").collect()  # at most 65,535 labels
         labels = tuple(Label(r["labid"], r["name"], r["kind"], None if r["parent"] in BUILT_IN else r["parent"]) for r in rows)
-        return Graph(spark, name, labels, {lab.name: spark.read.parquet(f"{path}/elements/label={lab.name}") for lab in labels})
+        state = spark.read.parquet(f"{path}/state").first()
+        from lattix.operators.constraints import Constraint
+
+        kept = tuple(Constraint(c["name"], c["label"], c["kind"], tuple(c["keys"]), c["condition"]) for c in state["constraints"])
+        return Graph(spark, name, labels, {lab.name: spark.read.parquet(f"{path}/elements/label={lab.name}") for lab in labels}, kept, state["version"], state["triples_version"])

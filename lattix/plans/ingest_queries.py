@@ -54,8 +54,11 @@ def identity_map(spark, sf):
 
 @query("identity_map_keys", f"SELECT c_custkey::VARCHAR AS key, {sid('customer', 'c_custkey')} AS id FROM customer WHERE c_custkey IN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def identity_map_keys(spark, sf):
-    asked = table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey").cast("string")).otherwise(F.col("o_custkey").cast("string")).alias("key"))
-    return ingest.identity_map_keys(graph(spark, sf, "customer"), "customer", asked.unionAll(asked.select(F.lit(None).cast("string"))), "c_custkey")
+    asked = table(spark, sf, "orders").where("o_orderstatus = 'P'")
+    texts = asked.where("o_orderkey % 3 <> 0").select(F.col("o_custkey").cast("string").alias("key"))
+    numbers = asked.where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("key"))
+    found = [ingest.identity_map_keys(graph(spark, sf, "customer"), "customer", some, "c_custkey") for some in (texts.unionAll(texts.select(F.lit(None).cast("string"))), numbers)]
+    return found[0].unionAll(found[1]).distinct()
 
 
 @query("identity_map_promoted", f"SELECT p_name AS key, min({sid('part', 'p_partkey')}) AS id FROM part GROUP BY p_name HAVING count(*) = 1")

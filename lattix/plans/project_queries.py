@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lattix.functions import props
 from lattix.operators import match, project
+from lattix.sources import ingest
 from lattix.plans.commerce import edges, sid, table, vertices
 from lattix.plans.registry import query
 
@@ -47,30 +48,29 @@ def with_chain(spark, sf):
     return top.where("c_acctbal > 9000").groupBy("c_mktsegment").agg(F.count("*").alias("rich"))
 
 
-_ORDERED = "SELECT doc_id, quality::INT AS quality, row_number() OVER (ORDER BY quality {}, doc_id) AS place FROM (SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)) ORDER BY place LIMIT {}"
+_ORDERED = "SELECT doc_id, quality::INT AS quality, row_number() OVER (ORDER BY quality {}, doc_id) AS place FROM documents LEFT JOIN labels USING (doc_id)"
 
 
-@query("order_by_property", _ORDERED.format("ASC NULLS LAST", 50))
+@query("order_by_property", _ORDERED.format("ASC NULLS LAST"))
 def order_by_property(spark, sf):
-    return _placed(spark, project.order_by(vertices(spark, sf, "doc"), ("quality", False), ("doc_id", False)).limit(50), [F.col("quality").asc_nulls_last(), F.col("doc_id")])
+    return _placed(project.order_by(vertices(spark, sf, "doc"), ("quality", False), ("doc_id", False))).select("doc_id", F.col("quality").cast("int").alias("quality"), "place")
 
 
-@query("order_by_property_desc", _ORDERED.format("DESC NULLS FIRST", 50))
+@query("order_by_property_desc", _ORDERED.format("DESC NULLS FIRST"))
 def order_by_property_desc(spark, sf):
-    return _placed(spark, project.order_by(vertices(spark, sf, "doc"), ("quality", True), ("doc_id", False)).limit(50), [F.col("quality").desc_nulls_first(), F.col("doc_id")])
+    return _placed(project.order_by(vertices(spark, sf, "doc"), ("quality", True), ("doc_id", False))).select("doc_id", F.col("quality").cast("int").alias("quality"), "place")
 
 
-def _placed(spark, top, order):
-    """The place of each of a few rows, so that their order shows in a comparison without one."""
-    from pyspark.sql.window import Window
+def _placed(ordered):
+    """The place of every row, so that their order shows in a comparison without one."""
+    numbered = ingest.with_serials(ordered.withColumn("at", F.monotonically_increasing_id()), ["at"], "place")
+    return numbered.withColumn("place", F.col("place").cast("long"))
 
-    return top.select("doc_id", F.col("quality").cast("int").alias("quality"), F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))
 
-
-@query("order_by_element", f"SELECT id FROM (SELECT {sid('region', 'r_regionkey')} AS id, 3 AS lab, r_regionkey AS k FROM region UNION ALL SELECT {sid('nation', 'n_nationkey')}, 4, n_nationkey FROM nation) ORDER BY lab DESC, k DESC LIMIT 10")
+@query("order_by_element", f"SELECT id, row_number() OVER (ORDER BY lab DESC, k DESC) AS place FROM (SELECT {sid('part', 'p_partkey')} AS id, 7 AS lab, p_partkey AS k FROM part UNION ALL SELECT {sid('supplier', 's_suppkey')}, 6, s_suppkey FROM supplier)")
 def order_by_element(spark, sf):
-    both = vertices(spark, sf, "region").select("id").unionAll(vertices(spark, sf, "nation").select("id"))
-    return match.order_by_element(both, "id", True).limit(10)
+    both = vertices(spark, sf, "part").select("id").unionAll(vertices(spark, sf, "supplier").select("id"))
+    return _placed(match.order_by_element(both, "id", True)).select("id", "place")
 
 
 @query("skip_limit", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 15 OFFSET 20")
@@ -78,9 +78,9 @@ def skip_limit(spark, sf):
     return project.skip_limit(vertices(spark, sf, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey"), 20, 15).select("o_orderkey", "o_totalprice")
 
 
-@query("unwind", "SELECT vec_id, i::INT - 1 AS place, embedding[i]::DOUBLE AS x FROM (SELECT *, unnest(range(1, 5)) AS i FROM embeddings)")
+@query("unwind", "SELECT vec_id, i::INT - 1 AS place, embedding[i]::DOUBLE AS x FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
 def unwind(spark, sf):
-    return project.unwind(vertices(spark, sf, "emb").withColumn("some", F.slice("embedding", 1, 4)), F.col("some"), "x", "place").select("vec_id", "place", F.col("x").cast("double").alias("x"))
+    return project.unwind(vertices(spark, sf, "emb"), F.col("embedding"), "x", "place").select("vec_id", "place", F.col("x").cast("double").alias("x"))
 
 
 @query("unwind_keys", "SELECT key, count(*)::BIGINT AS n FROM (SELECT unnest(json_keys(props)) AS key FROM events) GROUP BY key")
@@ -114,10 +114,10 @@ def logic_ops(spark, sf):
 
 def _two_reads(spark, sf):
     c = vertices(spark, sf, "customer")
-    return c.where("c_acctbal > 5000").select("c_nationkey", "c_mktsegment"), c.where("c_custkey < 300").select("c_nationkey", "c_mktsegment")
+    return c.where("c_acctbal > 5000").select("c_nationkey", "c_mktsegment"), c.where("c_mktsegment IN ('BUILDING', 'MACHINERY')").select("c_nationkey", "c_mktsegment")
 
 
-_TWO = "SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 5000 {} SELECT c_nationkey, c_mktsegment FROM customer WHERE c_custkey < 300"
+_TWO = "SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 5000 {} SELECT c_nationkey, c_mktsegment FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')"
 
 
 @query("union_reads", _TWO.format("UNION"))

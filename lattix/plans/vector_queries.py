@@ -121,23 +121,24 @@ def sparse_from_text(spark, sf):
     return again.select("vec_id", F.size("t.indices").alias("n"), ((F.col("t.indices") == F.col("s.indices")) & (F.col("t.values") == F.col("s.values"))).alias("same"))
 
 
-@query("sparse_validate", "SELECT vec_id, vec_id % 3 = 0 AS valid FROM embeddings")
+@query("sparse_validate", _SPARSE + "SELECT vec_id, vec_id % 3 = 0 OR len(pos) = 0 AS valid FROM s")
 def sparse_validate(spark, sf):
-    one = F.lit(1).cast("float")
-    made = F.when(F.col("vec_id") % 3 == 0, F.struct(F.lit(4).alias("dimensions"), F.array(F.lit(0), F.lit(3)).alias("indices"), F.array(one, one).alias("values"))).when(
-        F.col("vec_id") % 3 == 1, F.struct(F.lit(4).alias("dimensions"), F.array(F.lit(1), F.lit(1)).alias("indices"), F.array(one, one).alias("values"))).otherwise(
-        F.struct(F.lit(4).alias("dimensions"), F.array(F.lit(0), F.lit(4)).alias("indices"), F.array(one, one).alias("values")))
-    return vertices(spark, sf, "emb").select("vec_id", vectors.sparse_is_valid(made).alias("valid"))
+    """Of the table's own vectors every third as it is, one with its last component twice, one with that beyond its dimensions."""
+    s = F.col("s")
+    twice = F.struct(s["dimensions"].alias("dimensions"), F.concat(s["indices"], F.slice(s["indices"], -1, 1)).alias("indices"), F.concat(s["values"], F.slice(s["values"], -1, 1)).alias("values"))
+    beyond = F.struct(F.element_at(s["indices"], -1).alias("dimensions"), s["indices"].alias("indices"), s["values"].alias("values"))
+    made = F.when((F.col("vec_id") % 3 == 0) | (F.size(s["indices"]) == 0), s).when(F.col("vec_id") % 3 == 1, twice).otherwise(beyond)
+    return _sparse(spark, sf).select("vec_id", vectors.sparse_is_valid(made).alias("valid"))
 
 
 _S = "list_sum(list_transform(range(1, 65), lambda i: {}))"
 
 
-@query("sparse_distance", _SPARSE.rstrip() + ", p AS (SELECT vec_id, list_transform(d, lambda x: x::DOUBLE) AS a, (SELECT list_transform(d, lambda x: x::DOUBLE) FROM s WHERE vec_id = 0) AS b FROM s) " + f"SELECT vec_id, round(sqrt({_S.format('(a[i] - b[i]) * (a[i] - b[i])')}), 5) AS l2, round(0.0 - {_S.format('a[i] * b[i]')}, 5) AS inner_product, round({_S.format('abs(a[i] - b[i])')}, 5) AS l1 FROM p")
+@query("sparse_distance", _SPARSE.rstrip() + ", p AS (SELECT vec_id, list_transform(d, lambda x: x::DOUBLE) AS a, (SELECT list_transform(d, lambda x: x::DOUBLE) FROM s WHERE vec_id = 0) AS b FROM s) " + f"SELECT vec_id, round(sqrt({_S.format('(a[i] - b[i]) * (a[i] - b[i])')}), 5) AS l2, round(0.0 - {_S.format('a[i] * b[i]')}, 5) AS inner_product, round({_S.format('abs(a[i] - b[i])')}, 5) AS l1, round(1 - {_S.format('a[i] * b[i]')} / (sqrt({_S.format('a[i] * a[i]')}) * sqrt({_S.format('b[i] * b[i]')})), 5) AS cosine FROM p")
 def sparse_distance(spark, sf):
     s = _sparse(spark, sf)
     pairs = s.select("vec_id", "s").crossJoin(F.broadcast(s.where("vec_id = 0").select(F.col("s").alias("q"))))
-    return nearest.sparse_distance(pairs, "vec_id", "s", "q").select("vec_id", F.round("l2", 5).alias("l2"), F.round("inner_product", 5).alias("inner_product"), F.round("l1", 5).alias("l1"))
+    return nearest.sparse_distance(pairs, "vec_id", "s", "q").select("vec_id", F.round("l2", 5).alias("l2"), F.round("inner_product", 5).alias("inner_product"), F.round("l1", 5).alias("l1"), F.round("cosine", 5).alias("cosine"))
 
 
 @query("vector_sequence_ops", "SELECT vec_id, 64::INT AS dimension, embedding[2]::DOUBLE AS second, embedding[64]::DOUBLE AS last, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 5) AS total, list_contains(embedding, embedding[5]) AS holds, list_position(embedding, embedding[5])::BIGINT AS place, len(list_filter(embedding, lambda x: x = embedding[5]))::INT AS times FROM embeddings")

@@ -21,7 +21,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The frame, computed once; it outlives the loss of any executor."""
+    """The frame, computed once; it outlives the loss of any executor. Its folder goes when the session ends."""
     folder = shared_folder(df.sparkSession)
     df.write.parquet(folder)
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(path)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
