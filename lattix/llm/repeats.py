@@ -237,12 +237,11 @@ def _hot_windows(units: Units, hot: np.ndarray) -> Callable:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", 200_000):
             cut = units.cut(batch["text"])
-            runs = _wanted(cut, batch)
-            of, first, (a, b) = cut.windows(runs[np.isin(cut.anchor[runs], hot)], units.window)
+            of, first, (a, b) = cut.windows(np.flatnonzero(np.isin(cut.anchor, hot)), units.window)
             rows = pa.array(cut.row[of])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(RollingHash(cut.flat)(a, b).view(np.int64)), pa.array(RollingHash(cut.flat, MORE_CODES)(a, b).view(np.int64)), batch["doc_id"].take(rows), batch["th"].take(rows), batch["copied"].take(rows), pa.array(first - cut.first[cut.row[of]])],
-                ["one", "two", "doc_id", "th", "copied", "at"],
+                [pa.array(RollingHash(cut.flat)(a, b).view(np.int64)), pa.array(RollingHash(cut.flat, MORE_CODES)(a, b).view(np.int64)), batch["doc_id"].take(rows), batch["th"].take(rows), pa.array(first - cut.first[cut.row[of]])],
+                ["one", "two", "doc_id", "th", "at"],
             )
 
     return each
@@ -297,14 +296,15 @@ def repeated_spans(docs: DataFrame, units: Units, find: Callable, first_stays: b
     wanted = wanted.where("doc_id IS NOT NULL").join(copies, "th", "left").where("one IS NULL OR doc_id = one").select("doc_id", "th", "anchors", F.col("one").isNotNull().alias("copied"))
 
     texts = keyed.select("doc_id", "th", "text").repartition(parts, "doc_id", "th")
-    asking = texts.where("text IS NOT NULL").join(wanted, ["doc_id", "th"])
-    cut = mapped(asking, _segments(units, shards, hot), "shard int, anchor long, doc_id long, th long, copied boolean, at long, segment binary")
+    cut = mapped(texts.where("text IS NOT NULL").join(wanted, ["doc_id", "th"]), _segments(units, shards, hot), "shard int, anchor long, doc_id long, th long, copied boolean, at long, segment binary")
     spans = mapped(cut.repartition(parts, "shard").sortWithinPartitions("shard"), _by_shard(find), "doc_id long, th long, a long, b long")
-    if len(hot):
-        windows = written(mapped(asking, _hot_windows(units, hot), "one long, two long, doc_id long, th long, copied boolean, at long").distinct())
+    if len(hot):  # here copies take part as they are: those that go, go as a whole anyway
+        windows = written(mapped(keyed.where("text IS NOT NULL").select("doc_id", "th", "text"), _hot_windows(units, hot), "one long, two long, doc_id long, th long, at long"))
         own = F.struct("doc_id", "th", "at")
-        counts = written(windows.groupBy("one", "two").agg(F.min(own).alias("first"), F.count("*").alias("n"), F.max("copied").alias("twice")).where("n > 1 OR twice"))
-        again = told_by(windows, counts, ["one", "two"]).where(own > F.col("first") if first_stays else "NOT copied")
+        counts = written(windows.groupBy("one", "two").agg(F.min(own).alias("first"), F.count("*").alias("n")).where("n > 1"))
+        again = told_by(windows, counts, ["one", "two"])
+        if first_stays:
+            again = again.where(own > F.col("first"))
         spans = spans.unionAll(again.select("doc_id", "th", F.col("at").alias("a"), (F.col("at") + units.window).alias("b")))
     whole = told_by(ids, copies, ["th", "digest"]).where("doc_id > one" if first_stays else "true").select("doc_id", "th", F.lit(0).cast("long").alias("a"), F.lit(WHOLE).alias("b")).distinct()
     return texts, spans.unionAll(whole).groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
