@@ -32,9 +32,8 @@ def format_id(id_: Column) -> Column:
 def parse_id(text: Column) -> Column:
     """The packed identity of ``labid.locid``: whole text, ASCII digits, within bounds; else null."""
     shaped = text.rlike(r"\A0*[0-9]{1,5}\.0*[0-9]{1,15}\z")
-    lab = F.when(shaped, F.substring_index(text, ".", 1)).try_cast("long")
-    loc = F.when(shaped, F.substring_index(text, ".", -1)).try_cast("long")
-    return F.when((lab <= MAX_LABID) & (loc <= MAX_LOCID), pack(lab, loc))
+    lab, loc = (F.substring_index(text, ".", n).try_cast("long") for n in (1, -1))
+    return F.when(shaped & (lab <= MAX_LABID) & (loc <= MAX_LOCID), pack(lab, loc))
 
 
 def unsigned(id_: Column) -> Column:

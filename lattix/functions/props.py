@@ -11,15 +11,28 @@ def fields(properties: Column) -> Column:
     return F.from_json(properties, "map<string,string>")
 
 
+def _own_level(properties: Column) -> Column:
+    """The map's text without what its nested values hold."""
+    tokens = F.regexp_extract_all(properties, F.lit(r'("(?:[^"\\]++|\\.)*+"|[{}\[\]]|[^"{}\[\]]++)'), F.lit(1))
+
+    def step(a: Column, t: Column) -> Column:
+        depth = a["d"] + F.when(t.isin("{", "["), 1).when(t.isin("}", "]"), -1).otherwise(0)
+        return F.struct(depth.alias("d"), F.when(depth <= 1, F.concat(a["t"], t)).otherwise(a["t"]).alias("t"))
+
+    return F.aggregate(tokens, F.struct(F.lit(0).alias("d"), F.lit("").alias("t")), step, lambda a: a["t"])
+
+
 def _as_written(properties: Column, key: Column, text: Column) -> Column:
     """A number's own digits, where reading it as a double changed them; exponents are written out.
 
-    The map's text is searched for a number of that key and the same value, so a nested key of the same name and value
-    may lend its digits.
+    The map's text is searched for a number of that key and the same value. If nested maps spell it in other ways, the
+    map's own level alone is searched.
     """
     pattern = F.concat(F.lit('"\\Q'), key, F.lit('\\E"\\s*:\\s*(-?[0-9][0-9.eE+-]*)'))
     value = text.try_cast("double")
-    raw = F.get(F.filter(F.regexp_extract_all(properties, pattern, F.lit(1)), lambda s: s.try_cast("double") == value), F.lit(0))
+    spellings = lambda held: F.array_distinct(F.filter(F.regexp_extract_all(held, pattern, F.lit(1)), lambda s: s.try_cast("double") == value))
+    found = spellings(properties)
+    raw = F.get(F.when(F.size(found) > 1, spellings(_own_level(properties))).otherwise(found), F.lit(0))
     plain = F.regexp_replace(raw.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
     spelled = F.when(raw.rlike("[eE]") & (plain.try_cast("double") == value), plain).otherwise(raw)
     return F.when(text.rlike(r"[.]|Infinity"), F.coalesce(spelled, text)).otherwise(text)
@@ -106,8 +119,22 @@ def without_nulls(properties: Column) -> Column:
     return _object(F.filter(_raw_entries(properties), lambda e: e["value"] != "null"))
 
 
+_END = "\u0001end"
+
+
 def is_object(text: Column) -> Column:
-    """One complete JSON object and nothing after it."""
+    """One complete JSON object and nothing after it.
+
+    The text is parsed as the first item of a list whose second is a mark, which is only found if the first ends where
+    the text does; a text that holds the mark itself is judged by its brackets.
+    """
+    braced = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"\\u0001end"]')))
+    marked = F.try_variant_get(listed, "$[1]", "string") == _END
+    return F.coalesce(F.when(F.contains(text, F.lit("u0001")), _closed_once(text)).otherwise(braced & marked), F.lit(False))
+
+
+def _closed_once(text: Column) -> Column:
     blank = F.regexp_replace(text, r'"(?:[^"\\]++|\\.)*+"', "")
     brackets = F.split(F.regexp_replace(blank, r"[^{}\[\]]", ""), "")
     start = F.struct(F.lit(0).alias("d"), F.lit(0).alias("z"))
@@ -117,7 +144,7 @@ def is_object(text: Column) -> Column:
         return F.struct((a["d"] + F.when(c.isin("{", "["), 1).when(closes, -1).otherwise(0)).alias("d"), (a["z"] + F.when(closes & (a["d"] == 1), 1).otherwise(0)).alias("z"))
 
     balanced = F.aggregate(brackets, start, step, lambda a: (a["d"] == 0) & (a["z"] == 1))
-    return F.coalesce(F.try_parse_json(text).isNotNull() & F.startswith(text, F.lit("{")) & F.endswith(blank, F.lit("}")) & balanced, F.lit(False))
+    return F.try_parse_json(text).isNotNull() & F.startswith(text, F.lit("{")) & F.endswith(blank, F.lit("}")) & balanced
 
 
 def exact_number(properties: Column, key: str, scale: int = 18) -> Column:

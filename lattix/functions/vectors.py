@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _fold(values: Column) -> Column:
@@ -76,10 +73,15 @@ def vector_of(text: Column, dimensions: int) -> Column:
     return F.when(text.isNull(), None).when(F.size(values) == dimensions, values).otherwise(F.raise_error(F.concat(F.lit(f"not a vector of {dimensions}: "), F.substring(text, 1, 40))))
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def half_precision(vectors: pd.Series) -> pd.Series:
-    """Narrowed to 16-bit floats and back."""
-    return vectors.map(lambda v: None if v is None else np.asarray(v, np.float16).astype(np.float32))
+def half_precision(vector: Column) -> Column:
+    """Narrowed to 16-bit floats and back: 11 binary digits, half to even; from 65,520 on infinite."""
+    def half(x: Column) -> Column:
+        wide = x.cast("double")
+        step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.abs(wide))), F.lit(-14)) - 10)
+        kept = F.when((wide == 0) | F.isnan(wide), wide).when(F.abs(wide) >= 65520, F.signum(wide) * float("inf"))
+        return kept.otherwise(F.rint(wide / step) * step).cast("float")
+
+    return F.transform(vector, half)
 
 
 def declare_vector(df: DataFrame, name: str, dimensions: int) -> DataFrame:

@@ -113,17 +113,49 @@ def write_chunked(df: DataFrame, path: str, rows: int = 8192, mode: str = "error
     df.write.mode(mode).option("maxRecordsPerFile", rows).parquet(path)
 
 
+def _json_text(c: Column) -> Column:
+    return F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
+
+
+def _element_json(id_: Column, label: Column, properties: Column, ends: tuple[Column, ...] = ()) -> Column:
+    parts = [F.lit('{"id":"'), ids.format_id(id_), F.lit('","label":'), _json_text(label)]
+    for name, end in zip(("start", "end"), ends):
+        parts += [F.lit(f',"{name}":"'), ids.format_id(end), F.lit('"')]
+    return F.concat(*parts, F.lit(',"properties":'), F.coalesce(properties, F.lit("{}")), F.lit("}"))
+
+
 def json_record(edge: bool = False) -> Column:
     """One line of JSON an element; the map goes in as it is."""
-    quoted = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
-    parts = [F.lit('{"id":"'), ids.format_id(F.col("id")), F.lit('","label":'), quoted(F.col("label"))]
-    if edge:
-        parts += [F.lit(',"start":"'), ids.format_id(F.col("start")), F.lit('","end":"'), ids.format_id(F.col("end")), F.lit('"')]
-    return F.concat(*parts, F.lit(',"properties":'), F.coalesce("properties", F.lit("{}")), F.lit("}"))
+    return _element_json(F.col("id"), F.col("label"), F.col("properties"), (F.col("start"), F.col("end")) if edge else ())
+
+
+def path_json(vertices: Column, edges: Column) -> Column:
+    """A path of element lists as JSON; an empty slot is null, a path without lists too."""
+    def listed(elements: Column, edge: bool) -> Column:
+        one = lambda e: F.coalesce(_element_json(e["id"], e["label"], e["properties"], (e["start"], e["end"]) if edge else ()), F.lit("null"))
+        return F.array_join(F.transform(elements, one), ",")
+
+    return F.concat(F.lit('{"vertices":['), listed(vertices, False), F.lit('],"edges":['), listed(edges, True), F.lit("]}"))
+
+
+def vector_json(vector: Column) -> Column:
+    """A list of numbers."""
+    return F.to_json(vector)
+
+
+def sparse_json(sparse: Column) -> Column:
+    """Dimensions, zero-based indices and values."""
+    return F.to_json(F.struct(*[sparse[n].alias(n) for n in ("dimensions", "indices", "values")]))
 
 
-def to_json_records(df: DataFrame, edge: bool = False) -> DataFrame:
-    return df.select(json_record(edge).alias("value"))
+def to_json_records(df: DataFrame, edge: bool = False, kind: str = "element", column: str | None = None) -> DataFrame:
+    """A line of JSON a row: an element's, a path's (columns vertices, edges), or a vector's or sparse vector's."""
+    if kind == "element":
+        return df.select(json_record(edge).alias("value"))
+    if kind == "path":
+        return df.select(path_json(F.col("vertices"), F.col("edges")).alias("value"))
+    made = {"vector": vector_json, "sparse": sparse_json}[kind]
+    return df.select(made(F.col(column)).alias("value"))
 
 
 def column_lists(df: DataFrame) -> DataFrame:

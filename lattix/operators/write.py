@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lattix.functions import ids, props
 from lattix.model import Graph
-from lattix.sources.ingest import as_properties, key_problems, next_serial, with_serials
+from lattix.sources.ingest import as_properties, key_problems, next_serial, numbered
 from lattix.tables import written
 
 
@@ -34,9 +34,9 @@ class Counts:
 def create_vertices(g: Graph, label: str, df: DataFrame, order: list[str]) -> tuple[Graph, Counts]:
     """New vertices; a property given as null is not stored."""
     lab = g.label(label)
-    numbered = with_serials(df, order, "__serial", next_serial(g, label))
-    fresh = written(numbered.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), F.to_json(F.struct(*df.columns)).alias("properties")))
-    return g.with_frame(label, g.frames[label].unionByName(fresh, allowMissingColumns=True)), Counts(inserted_vertices=fresh.count())
+    rows, count = numbered(df, order, "__serial", next_serial(g, label))
+    fresh = rows.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), F.to_json(F.struct(*df.columns)).alias("properties"))
+    return g.with_frame(label, g.frames[label].unionByName(fresh, allowMissingColumns=True)), Counts(inserted_vertices=count)
 
 
 def unique_on(g: Graph, label: str, *keys: str) -> bool:
@@ -67,26 +67,27 @@ def upsert_vertices(g: Graph, label: str, df: DataFrame, key: str, order: list[s
     guard(g, label, (key,), on_existing, require_unique)
     if key not in df.columns:
         raise ValueError(f"no column {key}")
-    _null_key(df, key)
     lab, frame = g.label(label), g.frames[label]
     if not key_problems(frame, key).isEmpty():
         raise ValueError(f"{key} of {label}: a key is held twice, or an element has none")
     held = frame.select(props.key_text(props.prop(frame, key)).alias("__key"), F.col("id").alias("__id"))
-    rows = df.withColumn("__key", props.key_text(F.col(key)))
+    # the rows meet the stored keys once; what follows reads that table
+    met = written(df.withColumn("__key", props.key_text(F.col(key))).join(held, "__key", "left"))
+    lacking, known = met.agg(F.count_if(F.col("__key").isNull()), F.count("__id")).first()
+    if lacking:
+        raise ValueError(f"rows without {key}")
     promoted = [c for c in frame.columns if c not in ("id", "properties")]
     rest = [c for c in df.columns if c not in promoted]
-    new = rows.join(held, "__key", "left_anti")
-    numbered = with_serials(new, order, "__serial", next_serial(g, label))
-    fresh = written(numbered.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), as_properties(df, rest).alias("properties"), *[c for c in promoted if c in df.columns]))
+    rows, inserted = numbered(met.where("__id IS NULL").select(df.columns), order, "__serial", next_serial(g, label))
+    fresh = rows.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), as_properties(df, rest).alias("properties"), *[c for c in promoted if c in df.columns])
     updated, result = 0, frame
-    if on_existing == "update":
-        over = rows.join(held, "__key")
-        updated = over.count()
+    if on_existing == "update" and known:
+        over, updated = met.where("__id IS NOT NULL"), known
         last = over.groupBy("__id").agg(F.max_by(as_properties(df, rest), F.struct(*order)).alias("__new"), *[F.max_by(F.struct(F.col(c)), F.struct(*order))[c].alias(f"__p_{c}") for c in promoted if c in df.columns])
         both = frame.join(last, frame["id"] == last["__id"], "left")
         values = [F.when(F.col("__id").isNotNull(), props.map_merge(F.col("properties"), F.col("__new"))).otherwise(F.col("properties")).alias("properties") if c == "properties" else F.when(F.col("__id").isNotNull(), F.col(f"__p_{c}")).otherwise(F.col(c)).alias(c) if c in promoted and c in df.columns else F.col(c) for c in frame.columns]
         result = both.select(values)
-    return g.with_frame(label, result.unionByName(fresh, allowMissingColumns=True)), fresh.count(), updated
+    return g.with_frame(label, result.unionByName(fresh, allowMissingColumns=True)), inserted, updated
 
 
 def upsert_edges(g: Graph, label: str, df: DataFrame, order: list[str], on_existing: str = "skip", require_unique: bool = True) -> tuple[Graph, int, int]:
@@ -98,8 +99,8 @@ def upsert_edges(g: Graph, label: str, df: DataFrame, order: list[str], on_exist
     held = frame.select("start", "end", F.col("id").alias("__id"))
     first = df.groupBy("start", "end").agg(F.min_by(F.struct("properties"), F.struct(*order))["properties"].alias("properties"))
     new = first.join(held, ["start", "end"], "left_anti")
-    numbered = with_serials(new, ["start", "end"], "__serial", next_serial(g, label))
-    fresh = written(numbered.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), "start", "end", F.coalesce("properties", F.lit("{}")).alias("properties")))
+    rows, inserted = numbered(new, ["start", "end"], "__serial", next_serial(g, label))
+    fresh = rows.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), "start", "end", F.coalesce("properties", F.lit("{}")).alias("properties"))
     updated, result = 0, frame
     if on_existing == "update":
         over = df.where("properties IS NOT NULL AND properties <> '{}'").join(held, ["start", "end"])
@@ -107,7 +108,7 @@ def upsert_edges(g: Graph, label: str, df: DataFrame, order: list[str], on_exist
         last = over.groupBy("__id").agg(F.max_by("properties", F.struct(*order)).alias("__new"))
         both = frame.join(last, frame["id"] == last["__id"], "left")
         result = both.select([F.when(F.col("__new").isNotNull(), props.map_merge(F.col("properties"), F.col("__new"))).otherwise(F.col("properties")).alias("properties") if c == "properties" else F.col(c) for c in frame.columns])
-    return g.with_frame(label, result.unionByName(fresh, allowMissingColumns=True)), fresh.count(), updated
+    return g.with_frame(label, result.unionByName(fresh, allowMissingColumns=True)), inserted, updated
 
 
 def merge_vertices(g: Graph, label: str, df: DataFrame, key: str, order: list[str]) -> tuple[Graph, Counts]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lattix.model import Graph
 from lattix.operators import constraints, describe
-from lattix.plans.commerce import EDGE_LABELS, LABID, TRADES_SQL, VERTEX_LABELS, graph, sid
+from lattix.plans.commerce import EDGE_LABELS, FOLLOWS_SQL, LABID, VERTEX_LABELS, graph, sid
 from lattix.plans.registry import query
 from lattix.tables import shared_folder
 
@@ -56,9 +56,9 @@ def element_counts(spark, sf):
 
 
 @query("triples", f"""
-WITH {TRADES_SQL} SELECT 'nation' AS start, 'in_region' AS edge, 'region' AS "end", count(*)::BIGINT AS edge_count FROM nation UNION ALL SELECT 'customer', 'lives_in', 'nation', count(*) FROM customer UNION ALL SELECT 'supplier', 'based_in', 'nation', count(*) FROM supplier
+WITH {FOLLOWS_SQL} SELECT 'nation' AS start, 'in_region' AS edge, 'region' AS "end", count(*)::BIGINT AS edge_count FROM nation UNION ALL SELECT 'customer', 'lives_in', 'nation', count(*) FROM customer UNION ALL SELECT 'supplier', 'based_in', 'nation', count(*) FROM supplier
 UNION ALL SELECT 'customer', 'placed', 'orders', count(*) FROM orders UNION ALL SELECT 'orders', 'contains', 'part', count(*) FROM lineitem UNION ALL SELECT 'part', 'supplied_by', 'supplier', count(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
-UNION ALL SELECT 'nation', 'trades', 'nation', count(*) FROM trades UNION ALL SELECT 'user', 'did', 'event', count(*) FROM events""")
+UNION ALL SELECT 'user', 'follows', 'user', count(*) FROM follows UNION ALL SELECT 'user', 'did', 'event', count(*) FROM events""")
 def triples(spark, sf):
     return describe.triples(graph(spark, sf, *VERTEX_LABELS, *EDGE_LABELS))
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lattix.functions import ids
 from lattix.model import Graph
 
-LABID = {"region": 3, "nation": 4, "customer": 5, "supplier": 6, "part": 7, "orders": 8, "in_region": 9, "lives_in": 10, "based_in": 11, "placed": 12, "contains": 13, "supplied_by": 14, "trades": 15, "emb": 16, "user": 17, "event": 18, "did": 19, "doc": 20}
+LABID = {"region": 3, "nation": 4, "customer": 5, "supplier": 6, "part": 7, "orders": 8, "in_region": 9, "lives_in": 10, "based_in": 11, "placed": 12, "contains": 13, "supplied_by": 14, "follows": 15, "emb": 16, "user": 17, "event": 18, "did": 19, "doc": 20}
 
 
 def sid(label: str, key: str) -> str:
@@ -58,21 +57,20 @@ def edges(spark: SparkSession, sf: str, label: str) -> DataFrame:
         return t("lineitem").select("l_partkey", "l_suppkey").distinct().select(ids.pack(LABID[label], F.col("l_partkey") * 1_000_000 + F.col("l_suppkey") + 1).alias("id"), _id("part", "l_partkey").alias("start"), _id("supplier", "l_suppkey").alias("end"))
     if label == "did":
         return t("events").select(_id(label, "event_id").alias("id"), _id("user", "user_id").alias("start"), _id("event", "event_id").alias("end"))
-    sold = (
-        t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("c_nationkey", "s_nationkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
-    )
-    top = sold.withColumn("r", F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.desc("revenue"), "s_nationkey"))).where("r <= 3")
-    return top.select(ids.pack(LABID["trades"], F.col("c_nationkey") * 100 + F.col("s_nationkey") + 1).alias("id"), _id("nation", "c_nationkey").alias("start"), _id("nation", "s_nationkey").alias("end"), "revenue")
+    # one user's view, then another's purchase: a graph over all events that grows with them, with few edges a user
+    seen = t("events").where("event_type = 'view'").select("event_id", F.col("user_id").alias("a"))
+    bought = t("events").where("event_type = 'purchase'").select((F.col("event_id") - 1).alias("event_id"), F.col("user_id").alias("b"))
+    pairs = seen.join(bought, "event_id").groupBy("a", "b").agg(F.min("event_id").alias("first"))
+    return pairs.select(_id(label, "first").alias("id"), _id("user", "a").alias("start"), _id("user", "b").alias("end"))
 
 
-TRADES_SQL = f"""
-sold AS (SELECT c_nationkey AS a, s_nationkey AS b, round(sum(l_extendedprice), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
-trades AS (SELECT {LABID['trades'] << 48} + a * 100 + b + 1 AS id, {sid('nation', 'a')} AS s, {sid('nation', 'b')} AS e FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY revenue DESC, b) AS r FROM sold) WHERE r <= 3)
+FOLLOWS_SQL = f"""
+follows AS (SELECT {sid('follows', 'min(x.event_id)')} AS id, {sid('user', 'x.user_id')} AS s, {sid('user', 'y.user_id')} AS e FROM events x JOIN events y ON y.event_id = x.event_id + 1 WHERE x.event_type = 'view' AND y.event_type = 'purchase' GROUP BY x.user_id, y.user_id),
+users AS (SELECT DISTINCT user_id, {sid('user', 'user_id')} AS id FROM events)
 """
 
 VERTEX_LABELS = ("region", "nation", "customer", "supplier", "part", "orders", "emb", "user", "event", "doc")
-EDGE_LABELS = ("in_region", "lives_in", "based_in", "placed", "contains", "supplied_by", "trades", "did")
+EDGE_LABELS = ("in_region", "lives_in", "based_in", "placed", "contains", "supplied_by", "follows", "did")
 
 
 def graph(spark: SparkSession, sf: str, *labels: str) -> Graph:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lattix.functions import vectors
 from lattix.operators import export, match
 from lattix.plans.commerce import LABID, edges, graph, sid, vertices
 from lattix.plans.registry import query
@@ -106,6 +107,28 @@ def to_json_records(spark, sf):
     return export.to_json_records(_did(spark, sf), edge=True).unionAll(export.to_json_records(_events(spark, sf)))
 
 
+_NATION, _REGION, _IN = _TEXT("nation", "n_nationkey"), _TEXT("region", "n_regionkey"), _TEXT("in_region", "n_nationkey")
+
+
+@query("path_json_records", f"""
+SELECT '{{"vertices":[{{"id":"' || {_NATION} || '","label":"nation","properties":' || to_json({{'n_name': n_name}}) || '}},{{"id":"' || {_REGION} || '","label":"region","properties":' || to_json({{'r_name': r_name}})
+|| '}}],"edges":[{{"id":"' || {_IN} || '","label":"in_region","start":"' || {_NATION} || '","end":"' || {_REGION} || '","properties":{{}}}}]}}' AS value FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def path_json_records(spark, sf):
+    return export.to_json_records(_paths(spark, sf), kind="path")
+
+
+@query("vector_json_records", "SELECT '[' || array_to_string(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1.5' ELSE '-0.5' END), ',') || ']' AS value FROM embeddings")
+def vector_json_records(spark, sf):
+    signs = F.transform("embedding", lambda x: F.when(x > 0, F.lit(1.5)).otherwise(F.lit(-0.5)).cast("float"))
+    return export.to_json_records(vertices(spark, sf, "emb").select(signs.alias("v")), kind="vector", column="v")
+
+
+@query("sparse_json_records", "SELECT '{\"dimensions\":64,\"indices\":[' || array_to_string(list_transform(pos, lambda i: i - 1), ',') || '],\"values\":[' || array_to_string(list_transform(pos, lambda i: '1.5'), ',') || ']}' AS value FROM (SELECT list_filter(range(1, 65), lambda i: embedding[i] > 0) AS pos FROM embeddings)")
+def sparse_json_records(spark, sf):
+    kept = F.transform("embedding", lambda x: F.when(x > 0, F.lit(1.5)).otherwise(F.lit(0.0)).cast("float"))
+    return export.to_json_records(vertices(spark, sf, "emb").select(vectors.sparse_from_dense(kept).alias("s")), kind="sparse", column="s")
+
+
 @query("column_lists", f"SELECT {_TEXT('event', 'event_id')} AS id, 'event' AS label, props->>'k' AS k FROM events")
 def column_lists(spark, sf):
     made = export.column_lists(graph(spark, sf, "event").frame("event", columns=["id", "properties"]))

@@ -64,7 +64,7 @@ def identity_map_keys(spark, sf):
 @query("identity_map_promoted", f"SELECT p_name AS key, min({sid('part', 'p_partkey')}) AS id FROM part GROUP BY p_name HAVING count(*) = 1")
 def identity_map_promoted(spark, sf):
     g = graph(spark, sf, "part")
-    keyed = ingest._keyed(g.frame("part"), "p_name")
+    keyed = ingest.keyed(g.frame("part"), "p_name")
     return keyed.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").select("key", "id")
 
 

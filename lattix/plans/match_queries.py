@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lattix.functions import ids, props
 from lattix.operators import match
-from lattix.plans.commerce import LABID, TRADES_SQL, edges, graph, sid, table, vertices
+from lattix.plans.commerce import FOLLOWS_SQL, LABID, edges, graph, sid, table, vertices
 from lattix.plans.registry import query
 
 
@@ -69,9 +69,9 @@ def expand_in(spark, sf):
     return hop.select(F.col("a_n_name").alias("n_name"), F.col("b_c_name").alias("c_name"))
 
 
-@query("expand_both", f"WITH {TRADES_SQL} SELECT s AS a, e AS b, id AS r FROM trades UNION ALL SELECT e, s, id FROM trades WHERE s <> e")
+@query("expand_both", f"WITH {FOLLOWS_SQL} SELECT s AS a, e AS b, id AS r FROM follows UNION ALL SELECT e, s, id FROM follows WHERE s <> e")
 def expand_both(spark, sf):
-    return match.expand(edges(spark, sf, "trades"), None, None, "both").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col("r_id").alias("r"))
+    return match.expand(edges(spark, sf, "follows"), None, None, "both").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col("r_id").alias("r"))
 
 
 @query("expand_untyped", "SELECT 'customer' AS a, 'lives_in' AS r, 'nation' AS b, count(*)::BIGINT AS n FROM customer UNION ALL SELECT 'supplier', 'based_in', 'nation', count(*) FROM supplier UNION ALL SELECT 'customer', 'placed', 'orders', count(*) FROM orders")
@@ -83,9 +83,9 @@ def expand_untyped(spark, sf):
     return match.label_of(g, named, "y", "b").select("a", "r", "b", "n")
 
 
-@query("multi_hop", f"WITH {TRADES_SQL} SELECT t1.s AS a, t1.e AS b, t2.e AS c FROM trades t1 JOIN trades t2 ON t1.e = t2.s WHERE t1.id <> t2.id")
+@query("multi_hop", f"WITH {FOLLOWS_SQL} SELECT t1.s AS a, t1.e AS b, t2.e AS c FROM follows t1 JOIN follows t2 ON t1.e = t2.s WHERE t1.id <> t2.id")
 def multi_hop(spark, sf):
-    t = edges(spark, sf, "trades").select("id", "start", "end")
+    t = edges(spark, sf, "follows").select("id", "start", "end")
     one = match.expand(t, None, None).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), F.col("r_id").alias("e1"))
     two = match.expand(t, None, None).select(F.col("a_id").alias("b"), F.col("b_id").alias("c"), F.col("r_id").alias("e2"))
     return one.join(two, "b").where("e1 <> e2").select("a", "b", "c")
@@ -104,39 +104,39 @@ def pattern_product(spark, sf):
 
 
 @query("walk", f"""
-WITH RECURSIVE {TRADES_SQL}, w(a, b, hops, used) AS (
-  SELECT {sid('nation', 'n_nationkey')}, {sid('nation', 'n_nationkey')}, 0, []::BIGINT[] FROM nation
-  UNION ALL SELECT w.a, t.e, w.hops + 1, list_append(w.used, t.id) FROM w JOIN trades t ON w.b = t.s WHERE w.hops < 3 AND NOT list_contains(w.used, t.id))
+WITH RECURSIVE {FOLLOWS_SQL}, w(a, b, hops, used) AS (
+  SELECT id, id, 0, []::BIGINT[] FROM users
+  UNION ALL SELECT w.a, t.e, w.hops + 1, list_append(w.used, t.id) FROM w JOIN follows t ON w.b = t.s WHERE w.hops < 3 AND NOT list_contains(w.used, t.id))
 SELECT a AS start_id, b AS end_id, hops::INT AS hops, array_to_string(used, ',') AS used FROM w""")
 def walk(spark, sf):
-    return match.walk(vertices(spark, sf, "nation").select("id"), edges(spark, sf, "trades"), 0, 3).select("start_id", "end_id", "hops", F.array_join(F.col("edge_ids").cast("array<string>"), ",").alias("used"))
+    return match.walk(vertices(spark, sf, "user").select("id"), edges(spark, sf, "follows"), 0, 3).select("start_id", "end_id", "hops", F.array_join(F.col("edge_ids").cast("array<string>"), ",").alias("used"))
 
 
-@query("reachable", f"WITH RECURSIVE {TRADES_SQL}, w(a, b) AS (SELECT {sid('nation', 'n_nationkey')}, {sid('nation', 'n_nationkey')} FROM nation UNION SELECT w.a, t.e FROM w JOIN trades t ON w.b = t.s) SELECT a AS start_id, b AS end_id FROM w")
+@query("reachable", f"WITH RECURSIVE {FOLLOWS_SQL}, w(a, b) AS (SELECT id, id FROM users UNION SELECT w.a, t.e FROM w JOIN follows t ON w.b = t.s) SELECT a AS start_id, b AS end_id FROM w")
 def reachable(spark, sf):
-    return match.reachable(vertices(spark, sf, "nation").select("id"), edges(spark, sf, "trades"))
+    return match.reachable(vertices(spark, sf, "user").select("id"), edges(spark, sf, "follows"))
 
 
 @query("shortest_path", f"""
-WITH RECURSIVE {TRADES_SQL}, w(a, b, hops, used) AS (
-  SELECT {sid('nation', 'n_nationkey')}, {sid('nation', 'n_nationkey')}, 0, [{sid('nation', 'n_nationkey')}]::BIGINT[] FROM nation
-  UNION ALL SELECT w.a, t.e, w.hops + 1, list_append(w.used, t.e) FROM w JOIN trades t ON w.b = t.s WHERE w.hops < 4 AND NOT list_contains(w.used, t.e))
+WITH RECURSIVE {FOLLOWS_SQL}, w(a, b, hops, used) AS (
+  SELECT id, id, 0, [id]::BIGINT[] FROM users
+  UNION ALL SELECT w.a, t.e, w.hops + 1, list_append(w.used, t.e) FROM w JOIN follows t ON w.b = t.s WHERE w.hops < 4 AND NOT list_contains(w.used, t.e))
 SELECT a AS start_id, b AS end_id, hops::INT AS hops, array_to_string(used, ',') AS vertices FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY hops, used) AS r FROM w) WHERE r = 1""")
 def shortest_path(spark, sf):
-    n = vertices(spark, sf, "nation").select("id")
-    return match.shortest_path(n, n, edges(spark, sf, "trades"), 4).select("start_id", "end_id", "hops", F.array_join(F.col("vertex_ids").cast("array<string>"), ",").alias("vertices"))
+    n = vertices(spark, sf, "user").select("id")
+    return match.shortest_path(n, n, edges(spark, sf, "follows"), 4).select("start_id", "end_id", "hops", F.array_join(F.col("vertex_ids").cast("array<string>"), ",").alias("vertices"))
 
 
 @query("path_parts", f"""
-WITH {TRADES_SQL} SELECT t1.id AS first_edge, t2.id AS second_edge, 2::INT AS length, 5::INT AS elements, t1.s AS start_id, t2.e AS end_id, t1.e AS middle_id, a.n_name AS start_name
-FROM trades t1 JOIN trades t2 ON t1.e = t2.s AND t1.id <> t2.id JOIN nation a ON {sid('nation', 'a.n_nationkey')} = t1.s""")
+WITH {FOLLOWS_SQL} SELECT t1.id AS first_edge, t2.id AS second_edge, 2::INT AS length, 5::INT AS elements, t1.s AS start_id, t2.e AS end_id, t1.e AS middle_id, a.user_id::VARCHAR AS start_name
+FROM follows t1 JOIN follows t2 ON t1.e = t2.s AND t1.id <> t2.id JOIN users a ON a.id = t1.s""")
 def path_parts(spark, sf):
-    n = vertices(spark, sf, "nation").select("id", F.lit("nation").alias("label"), F.to_json(F.struct("n_name")).alias("properties"))
-    t = edges(spark, sf, "trades").select("id", F.lit("trades").alias("label"), "start", "end", F.lit("{}").alias("properties"))
+    n = vertices(spark, sf, "user").select("id", F.lit("user").alias("label"), F.to_json(F.struct("user_id")).alias("properties"))
+    t = edges(spark, sf, "follows").select("id", F.lit("follows").alias("label"), "start", "end", F.lit("{}").alias("properties"))
     p = match.walk(n, t, 2, 2).withColumn("key", F.xxhash64("edge_ids"))
     full = match.path_elements(p, n, t, "key")
     v, e = F.col("vertices"), F.col("edges")
-    return full.select(e[0]["id"].alias("first_edge"), e[1]["id"].alias("second_edge"), match.path_length(e).alias("length"), (F.size(v) + F.size(e)).alias("elements"), v[0]["id"].alias("start_id"), F.element_at(v, -1)["id"].alias("end_id"), v[1]["id"].alias("middle_id"), props.property_text(v[0]["properties"], "n_name").alias("start_name"))
+    return full.select(e[0]["id"].alias("first_edge"), e[1]["id"].alias("second_edge"), match.path_length(e).alias("length"), (F.size(v) + F.size(e)).alias("elements"), v[0]["id"].alias("start_id"), F.element_at(v, -1)["id"].alias("end_id"), v[1]["id"].alias("middle_id"), props.property_text(v[0]["properties"], "user_id").alias("start_name"))
 
 
 @query("exists_subquery", "SELECT c_custkey, TRUE AS has_order FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') UNION ALL SELECT c_custkey, FALSE FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")

@@ -83,9 +83,12 @@ def declare_vector(spark, sf):
     return vectors.declare_vector(raw, "v", 64).select("vec_id", F.col("v")[0].cast("double").alias("first"))
 
 
-@query("half_precision")
+@query("half_precision", """
+WITH e AS (SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), s AS (SELECT *, pow(2.0, greatest(floor(log2(abs(x))), -14) - 10) AS step FROM e WHERE x <> 0)
+SELECT vec_id, i::INT AS place, round_even(x / step, 0) * step AS half FROM s UNION ALL SELECT vec_id, i::INT, 0.0 FROM e WHERE x = 0""")
 def half_precision(spark, sf):
-    return vertices(spark, sf, "emb").select("vec_id", vectors.half_precision("embedding").alias("half"))
+    halves = vertices(spark, sf, "emb").select("vec_id", F.posexplode(vectors.half_precision(F.col("embedding"))).alias("place", "half"))
+    return halves.select("vec_id", (F.col("place") + 1).alias("place"), F.col("half").cast("double").alias("half"))
 
 
 def _sparse(spark, sf):

@@ -10,22 +10,29 @@ from lattix.functions import ids, props
 from lattix.model import Graph
 from lattix.tables import written
 
+#: Promoted columns of these types read as the map's text would; others are no keys.
+_KEY_TYPES = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DoubleType, T.FloatType, T.BooleanType)
 
-def with_serials(df: DataFrame, order: list[str], name: str = "serial", start: int = 1) -> DataFrame:
-    """Gap-free numbers in the order of the columns, without gathering the rows in one task.
+
+def numbered(df: DataFrame, order: list[str], name: str = "serial", start: int = 1) -> tuple[DataFrame, int]:
+    """(rows with gap-free numbers in the order of the columns, how many there are); no task gathers the rows.
 
     Rows are dealt by range and numbered within their part; only the parts' sizes pass through the driver, one number each.
     The dealt rows are written first, so that sizes and numbers are of the same dealing.
     """
-    spark = df.sparkSession
     dealt = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id()))
-    sizes = dealt.groupBy(F.shiftright("__m", 33).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()
-    offsets, total = [], start
-    for r in sizes:
-        offsets.append((r["p"], total))
-        total += r["n"]
-    starts = spark.createDataFrame(offsets, "__p long, __start long")
-    return dealt.join(F.broadcast(starts), F.shiftright("__m", 33) == F.col("__p")).withColumn(name, F.col("__start") + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))).drop("__m", "__p", "__start")
+    sizes = {r["p"]: r["n"] for r in dealt.groupBy(F.shiftright("__m", 33).alias("p")).agg(F.count("*").alias("n")).collect()}
+    firsts, total = [], start
+    for part in range(max(sizes, default=-1) + 1):
+        firsts.append(str(total))
+        total += sizes.get(part, 0)
+    first = F.get(F.split(F.lit(",".join(firsts)), ",").cast("array<bigint>"), F.shiftright("__m", 33).cast("int"))  # a constant
+    return dealt.withColumn(name, first + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))).drop("__m"), total - start
+
+
+def with_serials(df: DataFrame, order: list[str], name: str = "serial", start: int = 1) -> DataFrame:
+    """The rows of ``numbered``."""
+    return numbered(df, order, name, start)[0]
 
 
 def as_properties(df: DataFrame, columns: list[str] | None = None) -> Column:
@@ -50,20 +57,18 @@ def _append(g: Graph, label: str, fresh: DataFrame, count: int) -> tuple[Graph,
 def load_vertices(g: Graph, label: str, df: DataFrame, order: list[str], promoted: list[str] = ()) -> tuple[Graph, int]:
     """Appends one vertex per row; promoted columns stay typed, the rest goes into the map. An empty input gives 0."""
     lab = g.label(label)
-    numbered = with_serials(df, order, "__serial", next_serial(g, label))
+    rows, count = numbered(df, order, "__serial", next_serial(g, label))
     rest = [c for c in df.columns if c not in promoted]
-    fresh = numbered.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), as_properties(df, rest).alias("properties"), *promoted)
-    fresh = written(fresh)
-    return _append(g, label, fresh, fresh.count())
+    return _append(g, label, rows.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), as_properties(df, rest).alias("properties"), *promoted), count)
 
 
 def load_edges(g: Graph, label: str, df: DataFrame, order: list[str]) -> tuple[Graph, int]:
     """Appends edges from start, end and properties; null properties become {}, a null endpoint fails."""
     lab = g.label(label)
-    numbered = with_serials(df, order, "__serial", next_serial(g, label))
     ends = [F.coalesce(F.col(c), F.raise_error(F.lit(f"{c}: an edge needs both ends"))).alias(c) for c in ("start", "end")]
-    fresh = written(numbered.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), *ends, F.coalesce("properties", F.lit("{}")).alias("properties")))
-    return _append(g, label, fresh, fresh.count())
+    ready = df.select(*ends, F.coalesce("properties", F.lit("{}")).alias("properties"), *[F.col(c).alias(f"__by{k}") for k, c in enumerate(order)])
+    rows, count = numbered(ready, [f"__by{k}" for k in range(len(order))], "__serial", next_serial(g, label))
+    return _append(g, label, rows.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), "start", "end", "properties"), count)
 
 
 def load_vertex_frame(g: Graph, label: str, df: DataFrame, order: list[str]) -> tuple[Graph, int]:
@@ -91,13 +96,16 @@ def load_edge_frame(g: Graph, label: str, df: DataFrame, order: list[str], start
     return load_edges(g, label, ready, [f"__{k}" for k in range(len(order))])
 
 
-def _keyed(frame: DataFrame, key: str) -> DataFrame:
+def keyed(frame: DataFrame, key: str) -> DataFrame:
+    """(key as text, id) of each element; a promoted key of a type that a map can't hold is refused."""
+    if props.has_property(frame, key) and not isinstance(frame.schema[key].dataType, _KEY_TYPES):
+        raise TypeError(f"{key}: a key is text, a number or a boolean, not {frame.schema[key].dataType.simpleString()}")
     return frame.select(props.key_text(props.prop(frame, key)).alias("key"), "id")
 
 
 def key_problems(frame: DataFrame, key: str) -> DataFrame:
     """One row per key held twice or more, and one, with a null key, for elements that lack it."""
-    return _keyed(frame, key).groupBy("key").agg(F.count("*").alias("n")).where("n > 1 OR key IS NULL")
+    return keyed(frame, key).groupBy("key").agg(F.count("*").alias("n")).where("n > 1 OR key IS NULL")
 
 
 def identity_map(g: Graph, label: str, key: str) -> DataFrame:
@@ -106,13 +114,13 @@ def identity_map(g: Graph, label: str, key: str) -> DataFrame:
     bad = key_problems(frame, key).groupBy(F.col("key").isNull().alias("lacking")).agg(F.sum("n").alias("elements"), F.count("*").alias("keys"), F.slice(F.sort_array(F.collect_set("key")), 1, 5).alias("some")).collect()
     if bad:
         raise ValueError("; ".join(f"{r['elements']} elements lack {key}" if r["lacking"] else f"{r['keys']} keys are held more than once, such as {r['some']}" for r in bad))
-    return _keyed(frame, key)
+    return keyed(frame, key)
 
 
 def identity_map_keys(g: Graph, label: str, asked: DataFrame, key: str) -> DataFrame:
     """Only the asked keys (column ``key``, any type): 1 and "1" both match, nulls and unknown keys are absent."""
     wanted = asked.select(props.key_text(F.col("key")).alias("key")).where("key IS NOT NULL")
-    return _keyed(g.frame(label), key).join(wanted, "key", "left_semi")
+    return keyed(g.frame(label), key).join(wanted, "key", "left_semi")
 
 
 def resolve_edges(edges: DataFrame, sources: DataFrame, targets: DataFrame, src: str = "src_key", dst: str = "dst_key") -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from lattix.functions import ids, props
 
 _ID = r"\[([0-9]+\.[0-9]+)\]"
+_OUTSIDE = re.compile(r"\]\{|,")  # opens a map, may part two elements
+_INSIDE = re.compile(r'[{}]|"(?:[^"\\]++|\\.)*+', re.DOTALL)  # a brace, or a string up to its closing quote
 _EDGE = r"\[([0-9]+\.[0-9]+)\]\[([0-9]+\.[0-9]+),([0-9]+\.[0-9]+)\]"
 
 
@@ -36,34 +38,64 @@ def _first_good(raw: Column, middle: str) -> Column:
     return F.get(F.filter(_candidates(raw, middle), lambda c: (c["label"] != "") & props.is_object(c["map"])), F.lit(0))
 
 
-def _fast(raw: Column, middle: str, groups: int) -> Column:
-    shape = rf"(?s)^(.+?){middle}(\{{.*\}})$"
-    return F.struct(F.regexp_extract(raw, shape, 1).alias("label"), *[F.regexp_extract(raw, shape, 2 + k).alias(f"g{k}") for k in range(groups)], F.regexp_extract(raw, shape, 2 + groups).alias("map"))
+def _decoded(raws: Column, middle: str, names: list[str]) -> Column:
+    """The elements of a list of texts, null for those that are none.
 
+    First the reading that is right for nearly all texts, a map that starts at the first brace; only texts that it fails
+    try the others. Each step is a pass of its own over the list, so that nothing is computed twice.
+    """
+    shape = rf"(?s)^(.+?){middle}$"
+
+    def cut(raw: Column) -> Column:
+        head = F.substring_index(raw, "{", 1)
+        return F.struct(raw.alias("raw"), head.alias("head"), F.substring(raw, F.length(head) + 1, F.length(raw)).alias("map"))
+
+    def labelled(c: Column) -> Column:
+        return F.struct(*_fields(c, "raw", "head", "map"), F.regexp_extract(c["head"], shape, 1).alias("label"))
+
+    def judged(c: Column) -> Column:
+        return F.struct(*_fields(c, "raw", "head", "map", "label"), F.coalesce((c["label"] != "") & props.is_object(c["map"]), F.lit(False)).alias("ok"))
+
+    def searched(c: Column) -> Column:
+        own = F.struct(c["label"].alias("label"), F.substring(c["head"], F.length(c["label"]) + 1, F.length(c["head"])).alias("group"), c["map"].alias("map"))
+        return F.when(c["ok"], own).otherwise(_first_good(c["raw"], middle))
+
+    def numbered(c: Column) -> Column:
+        return F.struct(c["label"].alias("label"), F.regexp_extract_all(c["group"], F.lit(r"([0-9.]+)"), F.lit(1)).alias("ids"), c["map"].alias("properties"))
+
+    def chosen(c: Column) -> Column:
+        return F.struct(c["label"].alias("label"), *[ids.parse_id(c["ids"][k]).alias(n) for k, n in enumerate(names)], c["properties"].alias("properties"))
 
-def _decoded(df: DataFrame, raw: str, middle: str, names: list[str]) -> tuple[DataFrame, DataFrame]:
-    """First the reading that is right for nearly all texts; only rows that it fails try the others."""
-    quick = df.withColumn("__f", _fast(F.col(raw), middle, len(names)))
-    ok = props.is_object(F.col("__f.map")) & (F.col("__f.label") != "")
-    slow = F.when(~ok, _first_good(F.col(raw), middle))
-    both = quick.withColumn("__ok", ok).withColumn("__s", slow)
-    group = lambda k: F.when(F.col("__ok"), F.col(f"__f.g{k}")).otherwise(F.regexp_extract(F.col("__s.group"), middle, k + 1))
-    out = both.select(
-        *df.columns, F.when(F.col("__ok"), F.col("__f.label")).otherwise(F.col("__s.label")).alias("label"),
-        *[ids.parse_id(group(k)).alias(n) for k, n in enumerate(names)], F.when(F.col("__ok"), F.col("__f.map")).otherwise(F.col("__s.map")).alias("properties"),
-    )
-    good = " AND ".join(f"`{n}` IS NOT NULL" for n in ["label", *names, "properties"])
-    return out.where(good), out.where(f"NOT ({good})").select(df.columns)
+    def whole(c: Column) -> Column:
+        fit = c["label"].isNotNull() & c["properties"].isNotNull()
+        for n in names:
+            fit = fit & c[n].isNotNull()
+        return F.when(fit, c)
+
+    steps = raws
+    for step in (cut, labelled, judged, searched, numbered, chosen, whole):
+        steps = F.transform(steps, step)
+    return steps
+
+
+def _fields(c: Column, *names: str) -> list[Column]:
+    return [c[n].alias(n) for n in names]
+
+
+def _split(df: DataFrame, raw: str, middle: str, names: list[str]) -> tuple[DataFrame, DataFrame]:
+    # a generated column is computed once; a filter upon it is not pushed below it, where it would be computed again
+    held = df.select(*df.columns, F.explode(_decoded(F.array(F.col(raw)), middle, names)).alias("__d"))
+    return held.where("__d IS NOT NULL").select(*df.columns, "__d.*"), held.where("__d IS NULL").select(df.columns)
 
 
 def decode_vertices(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
     """(rows with label, id and properties; rows that are no vertex)."""
-    return _decoded(df, raw, _ID, ["id"])
+    return _split(df, raw, _ID, ["id"])
 
 
 def decode_edges(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
     """(rows with label, id, start, end and properties; rows that are no edge)."""
-    return _decoded(df, raw, _EDGE, ["id", "start", "end"])
+    return _split(df, raw, _EDGE, ["id", "start", "end"])
 
 
 def split_elements(text: str | None) -> list[str | None] | None:
@@ -71,30 +103,32 @@ def split_elements(text: str | None) -> list[str | None] | None:
 
     A label may hold commas, brackets and quotes; a map opens after an identity group alone.
     """
-    if text is None or not (text.startswith("[") and text.endswith("]")):
+    if text is None or len(text) < 2 or not (text.startswith("[") and text.endswith("]")):
         return None
     body = text[1:-1]
     if not body:
         return []
-    out, depth, quoted, escaped, last, closed = [], 0, False, False, 0, -1
-    for k, c in enumerate(body):
-        if quoted:
-            escaped, quoted = (c == "\\" and not escaped), not (c == '"' and not escaped)
-        elif depth:
-            if c == '"':
-                quoted, escaped = True, False
-            elif c == "{":
-                depth += 1
-            elif c == "}":
-                depth -= 1
-                closed = k + 1
-        elif c == "{" and body[k - 1 : k] == "]":
-            depth = 1
-        elif c == "," and (closed == k or body[last:k] == "NULL"):
-            out.append(body[last:k])
-            last = k + 1
-    if depth or quoted:
-        return None
+    out, last, at, closed = [], 0, 0, -1
+    while found := _OUTSIDE.search(body, at):
+        at = found.end()
+        if found[0] == ",":
+            if closed == at - 1 or (at - last == 5 and body.startswith("NULL", last)):
+                out.append(body[last : at - 1])
+                last = at
+            continue
+        depth = 1
+        while depth:
+            inner = _INSIDE.search(body, at)
+            if not inner:
+                return None
+            at = inner.end()
+            if inner[0][0] == '"':
+                if not body.startswith('"', at):
+                    return None
+                at += 1
+            else:
+                depth += 1 if inner[0] == "{" else -1
+        closed = at
     out.append(body[last:])
     return [None if e == "NULL" else e for e in out]
 
@@ -107,18 +141,15 @@ def element_texts(raw: pd.Series) -> pd.Series:
 def decode_paths(df: DataFrame, raw: str = "raw", key: str = "row") -> tuple[DataFrame, DataFrame]:
     """Paths as (key, vertices, edges), and the rows that are none: an even count, an empty slot or a bad element.
 
-    Only the cutting of the text runs in Python, in Arrow batches; the elements are decoded as in the other readers.
+    Only the cutting of the text runs in Python, in Arrow batches; the elements are decoded as in the other readers, each
+    path in its own row, so nothing is shuffled.
     """
-    cut = df.withColumn("__e", element_texts(F.col(raw)))
+    texts = df.select("*", element_texts(F.col(raw)).alias("__e"))
+    even, odd = (F.filter("__e", lambda _, k: k % 2 == 0), F.filter("__e", lambda _, k: k % 2 == 1))
     sized = (F.size("__e") == 0) | (F.size("__e") % 2 == 1)
-    fit = F.coalesce(F.col("__e").isNotNull() & sized & ~F.exists("__e", lambda e: e.isNull()), F.lit(False))
-    each = cut.where(fit).select(key, F.posexplode("__e").alias("at", "element"))
-    vertices, bad_v = decode_vertices(each.where("at % 2 = 0"), "element")
-    edges, bad_e = decode_edges(each.where("at % 2 = 1"), "element")
-    broken = bad_v.select(key).unionAll(bad_e.select(key)).distinct()
-    v = vertices.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "id", "label", "properties"))), lambda x: F.struct(x["id"].alias("id"), x["label"].alias("label"), x["properties"].alias("properties"))).alias("vertices"))
-    e = edges.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "id", "label", "start", "end", "properties"))), lambda x: F.struct(x["id"].alias("id"), x["label"].alias("label"), x["start"].alias("start"), x["end"].alias("end"), x["properties"].alias("properties"))).alias("edges"))
-    good = cut.where(fit).select(key).join(broken, key, "left_anti").join(v, key, "left").join(e, key, "left")
-    empty_v, empty_e = F.array().cast(v.schema["vertices"].dataType), F.array().cast(e.schema["edges"].dataType)
-    rejects = cut.where(~fit).select(df.columns).unionAll(df.join(broken, key, "left_semi").select(df.columns))
-    return good.select(key, F.coalesce("vertices", empty_v).alias("vertices"), F.coalesce("edges", empty_e).alias("edges")), rejects
+    read = F.when(F.coalesce(sized & F.col("__e").isNotNull(), F.lit(False)), F.struct(_decoded(even, _ID, ["id"]).alias("v"), _decoded(odd, _EDGE, ["id", "start", "end"]).alias("e")))
+    held = texts.select(*df.columns, F.explode(F.array(read)).alias("__d"))
+    fit = F.coalesce(F.col("__d").isNotNull() & ~F.exists("__d.v", lambda x: x.isNull()) & ~F.exists("__d.e", lambda x: x.isNull()), F.lit(False))
+    ordered = lambda c, *names: F.transform(c, lambda x: F.struct(*_fields(x, *names)))
+    good = held.where(fit).select(key, ordered("__d.v", "id", "label", "properties").alias("vertices"), ordered("__d.e", "id", "label", "start", "end", "properties").alias("edges"))
+    return good, held.where(~fit).select(df.columns)

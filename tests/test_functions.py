@@ -1,10 +1,14 @@
 """Identities, property maps, rendered text and vectors on hand-made rows."""
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lattix.functions import ids, props, vectors
-from lattix.sources import rendered
+from lattix.operators import export
+from lattix.sources import ingest, rendered
 
 
 def one(spark, expression, **values):
@@ -109,3 +113,57 @@ def test_zero_vectors_have_no_cosine(spark):
     import math
 
     assert math.isnan(df.select(vectors.cosine(F.col("a"), F.col("b"))).first()[0])
+
+
+def test_a_nested_value_lends_no_digits(spark):
+    p = '{"o": {"a": 1.5, "s": "}{\\""}, "a": 1.50, "l": [{"a": 15e-1}], "b": 2.0}'
+    assert one(spark, props.property_text(F.col("p"), "a"), p=p) == "1.50"
+    assert one(spark, props.property_text(F.col("p"), "b"), p=p) == "2.0"
+
+
+def test_one_object_and_nothing_after_it(spark):
+    whole = ["{}", '{"a": {"b": [1, "}"]}}', '{"a": "\\u0001end"}', '{"x": "u0001"}']
+    other = ["", "[]", "{", '{"a":1}!', "{}{}", "{},{}", "{}],[{}", '{},"\u0001end"],[{}', '{},"\\u0001end"],[{}', '{},"\\u0001\\u0065nd"],[{}', " {}", "{} ", '{"a"}', None]
+    rows = spark.createDataFrame([(t,) for t in whole + other], "t string")
+    assert [r[0] for r in rows.select(props.is_object(F.col("t"))).collect()] == [True] * len(whole) + [False] * len(other)
+
+
+def test_unclosed_lists_are_no_paths():
+    assert rendered.split_elements("[") is None
+    assert rendered.split_elements("[]") == []
+    for text in ('[a[1.1]{"x":"}]', '[a[1.1]{"x":"\\"}]', "[a[1.1]{{}]"):
+        assert rendered.split_elements(text) is None
+    assert rendered.split_elements("[NULL,aNULL,b[1.2]{},NULL]") == [None, "aNULL,b[1.2]{}", None]
+
+
+def test_a_path_with_an_odd_element_is_rejected(spark):
+    rows = [(1, "[]"), (2, "[a[3.1]{}]"), (3, "[a[3.1]{},b[4.1][3.1,3.2]{},a[3.2]{}]"), (4, "[a[3.1]{},a[3.2]{},a[3.2]{}]"), (5, "[a[3.1]{},NULL,a[3.2]{}]"), (6, "[a[3.1]{},b[4.1][3.1,3.2]{}]"), (7, None)]
+    good, bad = rendered.decode_paths(spark.createDataFrame(rows, "row int, raw string"))
+    told = {r.row: (len(r.vertices), len(r.edges)) for r in good.collect()}
+    assert told == {1: (0, 0), 2: (1, 0), 3: (2, 1)}
+    assert sorted(r.row for r in bad.collect()) == [4, 5, 6, 7]
+
+
+def test_half_precision_is_that_of_numpy(spark):
+    rng = np.random.default_rng(3)
+    wide = np.concatenate([rng.normal(size=300), rng.normal(size=300) * 1e-6, rng.normal(size=300) * 3e4, [0.0, 65504, 65519, 65520, -70000, 2**-24, 2**-25, 3 * 2**-26, 1 + 2**-11, 1 + 3 * 2**-11, math.inf, math.nan]]).astype(np.float32)
+    rows = spark.createDataFrame([([float(x) for x in wide],)], "v array<float>")
+    got = rows.select(vectors.half_precision(F.col("v"))).first()[0]
+    with np.errstate(over="ignore"):
+        assert np.array_equal(np.array(got, np.float32), wide.astype(np.float16).astype(np.float32), equal_nan=True)
+
+
+def test_json_of_paths_and_vectors(spark):
+    row = spark.range(1).select(F.expr("array(named_struct('id', 844424930131969L, 'label', 'a\"b', 'properties', '{\"k\":1.50}'), null)").alias("vertices"), F.expr("array(named_struct('id', 1125899906842625L, 'label', 'e', 'start', 844424930131969L, 'end', 844424930131970L, 'properties', cast(null as string)))").alias("edges"))
+    assert export.to_json_records(row, kind="path").first()[0] == '{"vertices":[{"id":"3.1","label":"a\\"b","properties":{"k":1.50}},null],"edges":[{"id":"4.1","label":"e","start":"3.1","end":"3.2","properties":{}}]}'
+    v = spark.range(1).select(F.expr("array(1.5f, -2f, null)").alias("v"))
+    assert export.to_json_records(v, kind="vector", column="v").first()[0] == "[1.5,-2.0,null]"
+    sparse = v.select(vectors.sparse_from_dense(F.expr("array(0f, 2f)")).alias("s"))
+    assert export.to_json_records(sparse, kind="sparse", column="s").first()[0] == '{"dimensions":2,"indices":[1],"values":[2.0]}'
+
+
+def test_keys_are_of_types_that_maps_hold(spark):
+    frame = spark.sql("SELECT 1L AS id, current_date() AS d, TRUE AS b")
+    assert ingest.keyed(frame, "b").first()["key"] == "true"
+    with pytest.raises(TypeError):
+        ingest.keyed(frame, "d")
