@@ -26,7 +26,7 @@ def numbered(df: DataFrame, order: list[str], name: str = "serial", start: int =
     for part in range(max(sizes, default=-1) + 1):
         firsts.append(str(total))
         total += sizes.get(part, 0)
-    first = F.get(F.split(F.lit(",".join(firsts)), ",").cast("array<bigint>"), F.shiftright("__m", 33).cast("int"))  # a constant
+    first = F.get(F.split(F.lit(",".join(firsts or ["0"])), ",").cast("array<bigint>"), F.shiftright("__m", 33).cast("int"))  # a constant
     return dealt.withColumn(name, first + F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))).drop("__m"), total - start
 
 
