@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,8 @@ from pyspark.sql.window import Window
 from lattix.functions import vectors
 from lattix.tables import written
 
+_BROADCAST = 64 << 20  # bytes of query vectors that travel to the tasks at once
+
 
 def nearest(df: DataFrame, vector: str, query: Column | list[float], k: int, distance: str = "l2", id_: str = "id") -> DataFrame:
     """The k nearest rows with their distance; ties by id, NaN last. A top-k: no row is sorted beyond it."""
@@ -20,16 +24,21 @@ def nearest(df: DataFrame, vector: str, query: Column | list[float], k: int, dis
 def nearest_join(queries: DataFrame, df: DataFrame, vector: str, k: int, distance: str = "l2", id_: str = "id", block: int = 256) -> DataFrame:
     """(query_id, id, distance, rank) of the k nearest rows of each query (columns query_id, query).
 
-    Queries travel in blocks of at most ``block``: a stated set against all rows. A task keeps k candidates a query of
+    Queries travel in blocks of about ``block``, at most 64 MB of them in one reading of the rows: a stated set against all rows. A task keeps k candidates a query of
     its part before anything is shuffled, so only parts * k rows a query meet.
     """
-    n = queries.count()
-    blocks = queries.withColumn("__b", F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-n // block)))))
-    packed = blocks.groupBy("__b").agg(F.collect_list(F.struct("query_id", "query")).alias("__q"))
+    n, width = queries.agg(F.count("*"), F.max(F.size("query"))).first()
+    at_once = max(block, _BROADCAST // (8 * max(1, width or 1)))
+    rounds = max(1, -(-n // at_once))
     held = df.select(F.col(id_).alias("id"), F.col(vector).alias("__v")).withColumn("__part", F.spark_partition_id())
-    pairs = held.join(packed, F.lit(True)).select("id", "__v", "__part", F.explode("__q").alias("__q")).select("__q.query_id", "id", "__part", vectors.DISTANCES[distance](F.col("__v"), F.col("__q.query")).alias("distance"))
     order = (F.col("distance").asc_nulls_last(), F.col("id"))
-    own = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "__part").orderBy(*order))).where(F.col("rank") <= k)
+
+    def found(asked: DataFrame) -> DataFrame:
+        packed = asked.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-n // block)))).alias("__b")).agg(F.collect_list(F.struct("query_id", "query")).alias("__q"))
+        pairs = held.crossJoin(F.broadcast(packed)).select("id", "__v", "__part", F.explode("__q").alias("__q")).select("__q.query_id", "id", "__part", vectors.DISTANCES[distance](F.col("__v"), F.col("__q.query")).alias("distance"))
+        return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "__part").orderBy(*order))).where(F.col("rank") <= k)
+
+    own = reduce(DataFrame.unionAll, [found(queries.where(F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(rounds)) == r)) for r in range(rounds)])
     return own.drop("__part", "rank").withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k)
 
 

@@ -57,10 +57,13 @@ def _queries(spark, sf):
     return table(spark, sf, "embeddings").where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
 
 
-@query("nearest_join", """
+_NEAREST = """
 WITH q AS (SELECT vec_id AS query_id, list_transform(embedding, lambda x: x::DOUBLE) AS b FROM embeddings WHERE vec_id % 50 = 0), p AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS a FROM embeddings),
 d AS (SELECT query_id, vec_id, """ + f"sqrt({_ZIP.format('(a[i] - b[i]) * (a[i] - b[i])')})" + f""" AS d FROM q, p)
-SELECT query_id, {sid('emb', 'vec_id')} AS id, r::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS r FROM d) WHERE r <= 5""")
+SELECT query_id, {sid('emb', 'vec_id')} AS id, r::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS r FROM d) WHERE r <= 5"""
+
+
+@query("nearest_join", _NEAREST)
 def nearest_join(spark, sf):
     return nearest.nearest_join(_queries(spark, sf), vertices(spark, sf, "emb"), "embedding", 5).select("query_id", "id", "rank")
 
@@ -71,6 +74,13 @@ def nearest_ivf(spark, sf):
     return cells.search(_queries(spark, sf), 5, probes=5)
 
 
+@query("nearest_ivf_all_cells", _NEAREST)
+def nearest_ivf_all_cells(spark, sf):
+    """With every cell probed the index gives the exact rows."""
+    cells = nearest.Cells(vertices(spark, sf, "emb").select(F.col("id"), "embedding"), "embedding", lists=8)
+    return cells.search(_queries(spark, sf), 5, probes=8).select("query_id", "id", "rank")
+
+
 @query("vector_from_property", "SELECT vec_id, len(embedding)::INT AS width, embedding[3]::DOUBLE AS third FROM embeddings")
 def vector_from_property(spark, sf):
     v = vertices(spark, sf, "emb").select("vec_id", F.to_json("embedding").alias("p")).withColumn("v", vectors.vector_of(F.col("p"), 64))

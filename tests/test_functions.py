@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lattix.functions import ids, props, vectors
-from lattix.operators import export
+from lattix.operators import export, nearest
 from lattix.sources import ingest, rendered
 
 
@@ -167,3 +167,14 @@ def test_keys_are_of_types_that_maps_hold(spark):
     assert ingest.keyed(frame, "b").first()["key"] == "true"
     with pytest.raises(TypeError):
         ingest.keyed(frame, "d")
+
+
+def test_queries_in_several_rounds_find_the_same(spark, monkeypatch):
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
+    asked = e.where("id % 5 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
+    found = lambda: sorted((r.query_id, r.rank, r.id) for r in nearest.nearest_join(asked, e, "embedding", 3, block=4).collect())
+    at_once = found()
+    monkeypatch.setattr(nearest, "_BROADCAST", 5 * 8 * 64)
+    assert found() == at_once
+    assert len(at_once) == 3 * asked.count()
+    assert nearest.nearest_join(asked.limit(0), e, "embedding", 3).count() == 0
