@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lattix.llm.bpe import op6_token_counts, op8_bpe_encode_decode
 from lattix.llm.decontaminate import OP7_SQL, op7_benchmark_decontamination
+from lattix.llm.divergence import OP13_SQL, op13_source_divergence
 from lattix.llm.passages import OP4_SQL, op4_substring_dedup
 from lattix.llm.pii import op5_pii
 from lattix.llm.quality import OP2_SQL, op2_quality_rules
@@ -27,5 +28,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
-ORACLE_SQL: dict[str, str] = {"op1_url_filters": OP1_SQL, "op2_quality_rules": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op7_benchmark_decontamination": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_url_filters": OP1_SQL, "op2_quality_rules": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op7_benchmark_decontamination": OP7_SQL, "op13_source_divergence": OP13_SQL}
