@@ -89,14 +89,18 @@ class BitPlanes:
 
 
 def _alike(sets: list[np.ndarray], sizes: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
-    """Those of ``others`` whose sorted sets share 0.8 or more of all their members with set ``i``: whole numbers decide."""
+    """Those of ``others`` whose sorted sets share 0.8 or more of all their members with set ``i``: whole numbers decide.
+
+    Two of their least hashes must be shared as well, so that a link is found or not whether whole groups meet or buckets alone.
+    """
     own, n = sets[i], int(sizes[i])
     others = others[(SHARE[0] * sizes[others] <= SHARE[1] * n) & (SHARE[0] * n <= SHARE[1] * sizes[others])]
     if not n or not len(others):
         return others
     flat = np.concatenate([sets[j] for j in others.tolist()])
     both = np.add.reduceat(own[np.minimum(np.searchsorted(own, flat), n - 1)] == flat, np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
-    return others[SHARE[1] * both >= SHARE[0] * (n + sizes[others] - both)]
+    others = others[SHARE[1] * both >= SHARE[0] * (n + sizes[others] - both)]
+    return others[[np.isin(sets[j][:LEAST_HASHES], own[:LEAST_HASHES]).sum() > 1 for j in others.tolist()]] if len(others) else others
 
 
 def _links(nodes: np.ndarray, prints: np.ndarray, radius: int, coarse: int, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
@@ -261,16 +265,16 @@ _PRINTS = [f"p{k}" for k in range(LONG)]
 def _alike_links(texts: DataFrame, size: int) -> DataFrame:
     """Links (a, b) between candidates of one group that share 0.8 of their shingles: enough of them to connect all such.
 
-    ``texts`` has (node, whole, text, keys, tiles): the groups that a node is compared in and how many tiles each is cut into.
-    A row whose text is not the one that ``whole`` tells is another text of the same id.
+    ``texts`` has (node, text, keys, tiles): the groups that a node is compared in and how many tiles each is cut into.
+    A row whose text is not the one that its node tells is another text of the same id.
     """
-    kept = ["node", "whole", "keys", "tiles"]
-    names = ["bucket", "one", "two", "node", "whole", *_PRINTS]
+    kept = ["node", "keys", "tiles"]
+    names = ["bucket", "one", "two", "node", *_PRINTS]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             sets = [shingle_set(x, size) for x in batch["text"].to_pylist()]
-            mine = np.flatnonzero(np.array([_whole(x) for x in sets], np.int64) == batch["whole"].to_numpy())
+            mine = np.flatnonzero(np.array([_whole(x) for x in sets], np.int64) == batch["node"].to_numpy())
             prints = [long_print(sets[k]) for k in mine.tolist()]
             columns = [batch[c].take(pa.array(mine)) for c in kept] + [pa.array([p[k] for p in prints], pa.int64()) for k in range(LONG)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([sets[k].tobytes() for k in mine.tolist()], pa.binary())], [*kept, *_PRINTS, "shingles"])
@@ -280,9 +284,9 @@ def _alike_links(texts: DataFrame, size: int) -> DataFrame:
 
         def close() -> None:
             rows, sets = np.concatenate([r for r, _ in held]), [np.frombuffer(x, np.uint64) for _, part in held for x in part.to_pylist()]
-            _, first = np.unique(rows[:, 3:5], axis=0, return_index=True)  # repeated rows
+            _, first = np.unique(rows[:, 3], return_index=True)  # repeated rows
             if len(first) > 1:
-                found.extend(_links(rows[first, 3], rows[first, 5:], LONG_RADIUS, LONG_COARSE, [sets[k] for k in first.tolist()]))
+                found.extend(_links(rows[first, 3], rows[first, 4:], LONG_RADIUS, LONG_COARSE, [sets[k] for k in first.tolist()]))
 
         def out() -> pa.RecordBatch:
             columns = list(zip(*found, strict=True)) if found else [[], []]
@@ -302,17 +306,20 @@ def _alike_links(texts: DataFrame, size: int) -> DataFrame:
             close()
         yield out()
 
-    sets = mapped(texts, hashed, f"node long, whole long, keys array<bigint>, tiles array<int>, {', '.join(f'{n} long' for n in _PRINTS)}, shingles binary")
-    each = sets.withColumn("k", F.explode(F.arrays_zip("keys", "tiles"))).select(F.col("k.keys").alias("bucket"), F.col("k.tiles").alias("t"), "node", "whole", *_PRINTS, "shingles")
+    sets = mapped(texts, hashed, f"node long, keys array<bigint>, tiles array<int>, {', '.join(f'{n} long' for n in _PRINTS)}, shingles binary")
+    each = sets.withColumn("k", F.explode(F.arrays_zip("keys", "tiles"))).select(F.col("k.keys").alias("bucket"), F.col("k.tiles").alias("t"), "node", *_PRINTS, "shingles")
     dealt = (
         each.withColumn("tile", F.expr("cast(pmod(xxhash64(node, 7), t) AS int)")).withColumn("other", F.expr("explode(sequence(0, t - 1))"))
-        .select("bucket", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"), "node", "whole", *_PRINTS, "shingles")
+        .select("bucket", F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"), "node", *_PRINTS, "shingles")
     )
     return mapped(dealt.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two"), linked, "a long, b long")
 
 
 def _linked_texts(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(doc_id, digest, component_id): of each row the digest of its text and the smallest id of the texts that links join."""
+    """(doc_id, digest, component_id, stays): of each row the digest of its text, the smallest id of the texts that links join, and whether it is the one to keep.
+
+    A node is a text, told by the hash of its shingle set, and not an id, which other texts may have as well.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -324,23 +331,26 @@ def _linked_texts(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
 
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, digest binary, whole long, size long, {', '.join(f'{n} long' for n in _PRINTS)}, least array<bigint>"
     prints = written(mapped(docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("digest"), F.col(text_col).alias("text")), hashed, schema))
-    nodes = written(prints.where("doc_id IS NOT NULL").groupBy("whole", *_PRINTS).agg(F.min("doc_id").cast("long").alias("node"), F.min("size").alias("size"), F.min("least").alias("least"), F.count("*").alias("n")))
+    nodes = written(prints.where("doc_id IS NOT NULL").groupBy("whole", *_PRINTS).agg(F.min("doc_id").cast("long").alias("id"), F.min("size").alias("size"), F.min("least").alias("least"), F.count("*").alias("n")).withColumn("node", F.col("whole")))
     twos = F.transform("least", lambda a, i: F.transform(F.slice("least", i + 2, LEAST_HASHES), lambda b: F.xxhash64(a, b)))
     buckets = F.when(F.size("least") > 1, F.array_distinct(F.flatten(twos))).otherwise(F.col("least"))
     near = components(_bucket_links(nodes.select(F.explode(buckets).alias("bucket"), "node", *_PRINTS), _PRINTS, LONG_RADIUS, LONG_COARSE))
 
     tiles = F.ceil(F.greatest(F.count("*") / (TILE // 2), F.sum("size") / TILE_SHINGLES)).cast("int").alias("t")
-    met = written(nodes.join(near, "node").select("node", "whole", "size", F.col("component").alias("key"), buckets.alias("buckets")))
+    met = written(nodes.join(near, "node").select("node", "id", "size", F.col("component").alias("key"), buckets.alias("buckets")))
     cut = met.join(met.groupBy("key").agg(tiles), "key")
-    parts = cut.where(f"t > {MOST_TILES}").select("node", "whole", "size", "key", F.explode("buckets").alias("b")).select("node", "whole", "size", F.xxhash64("key", "b").alias("key"))
+    parts = cut.where(f"t > {MOST_TILES}").select("node", "id", "size", "key", F.explode("buckets").alias("b")).select("node", "id", "size", F.xxhash64("key", "b").alias("key"))
     parts = parts.join(parts.groupBy("key").agg(tiles, F.count("*").alias("all")).where("all > 1"), "key")
-    groups = cut.where(f"t <= {MOST_TILES}").select("node", "whole", "key", "t").unionAll(parts.select("node", "whole", "key", "t"))
-    groups = groups.groupBy("node", "whole").agg(F.collect_list(F.struct("key", "t")).alias("k")).select("node", "whole", F.col("k.key").alias("keys"), F.col("k.t").alias("tiles"))
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(groups, "node").select("node", "whole", "text", "keys", "tiles")
-    named = written(nodes.join(components(_alike_links(texts, size)), "node", "left").select("whole", *_PRINTS, "n", F.coalesce("component", "node").alias("component_id")))
+    groups = cut.where(f"t <= {MOST_TILES}").select("node", "id", "key", "t").unionAll(parts.select("node", "id", "key", "t"))
+    groups = groups.groupBy("node", "id").agg(F.collect_list(F.struct("key", "t")).alias("k")).select("node", "id", F.col("k.key").alias("keys"), F.col("k.t").alias("tiles"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(groups, "id").select("node", "text", "keys", "tiles")
+    joined = written(nodes.join(components(_alike_links(texts, size)), "node", "left").select("whole", *_PRINTS, "n", "id", "node", F.coalesce("component", "node").alias("group")))
+    first = joined.groupBy("group").agg(F.min(F.struct("id", "node")).alias("first"))
+    named = written(joined.join(first, "group").select("whole", *_PRINTS, "n", F.col("first.id").alias("component_id"), (F.col("first.node") == F.col("node")).alias("leads")))
     some = prints.select("doc_id", "digest", "whole", *_PRINTS)
-    without = some.where("doc_id IS NULL").select("doc_id", "digest", F.lit(None).cast("long").alias("component_id"))
-    return told_by(some.where("doc_id IS NOT NULL"), named, ["whole", *_PRINTS]).select("doc_id", "digest", "component_id").unionAll(without)
+    without = some.where("doc_id IS NULL").select("doc_id", "digest", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("stays"))
+    told = told_by(some.where("doc_id IS NOT NULL"), named, ["whole", *_PRINTS])
+    return told.select("doc_id", "digest", "component_id", (F.col("leads") & (F.col("doc_id") == F.col("component_id"))).alias("stays")).unionAll(without)
 
 
 def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
@@ -348,8 +358,8 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Such texts share most of their least shingle hashes, so every two of a text's are a bucket: of texts that share
     0.8, one pair in 12,000 meets in none. In a bucket long fingerprints are compared as in ``near_links``, which gives groups
-    of candidates; each group's shingle sets meet once, in tiles, and are counted exactly there. Only very large groups are compared by
-    bucket. Ids are integers. Null texts and texts without words are alike; a row without an id is linked to none and
+    of candidates; each group's shingle sets meet once, in tiles, and are counted exactly there; very large groups meet by
+    bucket, which gives the same links. Ids are integers. Null texts and texts without words are alike; a row without an id is linked to none and
     has a null component; repeated rows stay; an empty table gives none; other columns are not read.
     """
     return _linked_texts(docs, id_col, text_col, size).select("doc_id", "component_id")
@@ -358,10 +368,11 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
     """The document with the smallest id of each group of similar texts, with all its columns, whatever those are named.
 
-    Rows of one id with other texts are each judged by their own; repeated rows stay or go together; every row without
-    an id stays, as it is linked to none; of texts without words the one with the smallest id stays; an empty table gives none.
+    Rows of one id with other texts are each judged by their own: of similar ones one text stays, unlike ones stay all.
+    Repeated rows stay or go together; every row without an id stays, as it is linked to none; of texts without words
+    the one with the smallest id stays; an empty table gives none.
     """
-    other = _linked_texts(docs, id_col, text_col, size).where("doc_id <> component_id").select("doc_id", "digest").distinct()
+    other = _linked_texts(docs, id_col, text_col, size).where("NOT stays").select("doc_id", "digest").distinct()
     own = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("digest"))
     return own.join(other, ["doc_id", "digest"], "left_anti").select("doc.*")
 

@@ -633,6 +633,44 @@ def test_one_of_each_of_odd_rows(spark):
     assert simhash.similar_texts(df).count() == len(rows) and simhash.keep_one_of_each(df.where("false")).count() == 0
 
 
+def plain_texts(rows, size=5):
+    """Which of the rows (id, text) stay: of similar texts the one of the smallest id, whatever other texts have that id."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append(frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset())
+    top = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if top[a] != top[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                top = [top[a] if v == top[b] else v for v in top]
+    groups = defaultdict(list)
+    for k, g in enumerate(top):
+        groups[g].append(k)
+    return groups, sets
+
+
+@pytest.mark.parametrize("most", [16, 0])
+def test_unlike_texts_of_one_id_are_kept(spark, most, monkeypatch):
+    monkeypatch.setattr(simhash, "MOST_TILES", most)
+    random.seed(15)
+    word = lambda: "".join(random.choices("abcdefghijklmnop", k=7))
+    text = lambda: [word() for _ in range(120)]
+    a, b = text(), text()
+    near = lambda t: t[:50] + [word()] + t[51:]
+    three = [(3, " ".join(near(b))), (5, " ".join(b)), (5, " ".join(a))]
+    df = spark.createDataFrame(three, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one_of_each(df).collect())) == sorted([three[0], three[2]])
+    base = [text() for _ in range(12)]
+    rows = [(random.randrange(15), " ".join(t)) for t in base] + [(random.randrange(15), " ".join(near(random.choice(base)))) for _ in range(60)]
+    kept = list(map(tuple, simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()))
+    groups, _ = plain_texts(rows)
+    assert len(kept) == len(groups)
+    for members in groups.values():  # one text of each group, of its smallest id
+        own = [r for r in kept if r in {rows[k] for k in members}]
+        assert [r[0] for r in own] == [min(rows[k][0] for k in members)]
+
+
 def plain_components(rows, size=5):
     sets = {}
     for k, t in rows:
