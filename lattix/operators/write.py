@@ -123,20 +123,25 @@ def merge_edges(g: Graph, label: str, pairs: DataFrame) -> tuple[Graph, Counts]:
     return g, Counts(inserted_edges=inserted)
 
 
+def _with_properties(frame: DataFrame, properties: Column) -> DataFrame:
+    """The frame with another map. A generated column is computed once, however many writes come after it."""
+    return frame.select(*[F.explode(F.array(properties)).alias(c) if c == "properties" else F.col(c) for c in frame.columns])
+
+
 def set_properties(g: Graph, label: str, where: Column, values: Column, replace_all: bool = False) -> tuple[Graph, Counts]:
     """``+=`` a map, or with ``replace_all`` ``=`` it, where the condition holds."""
     frame = g.frames[label]
     hit = F.coalesce(where, F.lit(False))
     new = values if replace_all else props.map_merge(F.col("properties"), values)
     n = frame.where(hit).count()
-    return g.with_frame(label, frame.withColumn("properties", F.when(hit, new).otherwise(F.col("properties")))), Counts(updated_properties=n)
+    return g.with_frame(label, _with_properties(frame, F.when(hit, new).otherwise(F.col("properties")))), Counts(updated_properties=n)
 
 
 def remove_property(g: Graph, label: str, where: Column, key: str) -> tuple[Graph, Counts]:
     frame = g.frames[label]
     hit = F.coalesce(where, F.lit(False)) & F.array_contains(props.keys(F.col("properties")), key)
     n = frame.where(hit).count()
-    return g.with_frame(label, frame.withColumn("properties", F.when(hit, props.without_key(F.col("properties"), key)).otherwise(F.col("properties")))), Counts(updated_properties=n)
+    return g.with_frame(label, _with_properties(frame, F.when(hit, props.without_key(F.col("properties"), key)).otherwise(F.col("properties")))), Counts(updated_properties=n)
 
 
 def delete_vertices(g: Graph, label: str, doomed: DataFrame, detach: bool = False) -> tuple[Graph, Counts]:

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lattix.functions import ids
 from lattix.model import Graph
-from lattix.operators import write
+from lattix.operators import stored, write
+from lattix.sources.store import LabelStore
 from lattix.tables import written
 
 
@@ -46,6 +47,36 @@ def edge_feed(g: Graph, label: str, order: list[str], on_existing: str = "skip")
     return GraphFeed(g, lambda held, batch: write.upsert_edges(held, label, batch, order, on_existing, require_unique=False), label, 1 if on_existing == "update" else 16)
 
 
+class StoredFeed:
+    """Writes a stream into a stored label. Each batch is one version of the store that bears its number.
+
+    A batch that was stored, but not yet marked as done by the stream, comes again after a restart: the store knows it and
+    nothing is written. One that ended before its version was in place comes again and is written once. So a new
+    driver with the same store and checkpoint gets each row once. Changes are joined into a new base every ``compact_every`` versions.
+    """
+
+    def __init__(self, store: LabelStore, upsert: Callable[[LabelStore, DataFrame, int], tuple[int, int]], name: str, compact_every: int = 32):
+        self.store, self.upsert, self.name, self.compact_every = store, upsert, name, compact_every
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        if self.store.written_by(self.name, number) is not None:
+            return
+        self.upsert(self.store, batch, number)
+        if len(self.store.state.inserts) + len(self.store.state.changes) >= self.compact_every:
+            self.store.compact()
+
+    def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+        return stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stored_vertex_feed(store: LabelStore, key: str, order: list[str], on_existing: str = "update", name: str = "vertices", compact_every: int = 32) -> StoredFeed:
+    return StoredFeed(store, lambda held, batch, n: stored.upsert_vertices(held, batch, key, order, on_existing, name, n), name, compact_every)
+
+
+def stored_edge_feed(store: LabelStore, order: list[str], on_existing: str = "skip", name: str = "edges", compact_every: int = 32) -> StoredFeed:
+    return StoredFeed(store, lambda held, batch, n: stored.upsert_edges(held, batch, order, on_existing, name, n), name, compact_every)
+
+
 def element_counts(stream: DataFrame) -> DataFrame:
     """(labid, elements), kept as elements arrive: one row of state a label."""
     return stream.groupBy(ids.labid(F.col("id")).alias("labid")).agg(F.count("*").alias("elements"))
