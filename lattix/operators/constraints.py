@@ -57,8 +57,14 @@ def check_referential(g: Graph) -> DataFrame:
     return reduce(DataFrame.unionAll, ends).join(known, "missing", "left_anti").select("id", "side", "missing")
 
 
+#: Labels that identities have numbers for.
+MOST_LABELS = 65_535
+
+
 def ensure_labels(g: Graph, wanted: list[tuple[str, str]], dry_run: bool = False) -> tuple[Graph, list[str]]:
-    """Declares (name, kind) pairs that are new; drops none, refuses another kind; again, it does nothing."""
+    """Declares (name, kind) pairs that are new; drops none, refuses another kind or more labels than there are numbers; again, it does nothing."""
+    if len({lab.name for lab in g.labels} | {name for name, _ in wanted}) > MOST_LABELS - 2:
+        raise ValueError(f"a graph has at most {MOST_LABELS - 2} labels of its own")
     made = []
     for name, kind in wanted:
         known = next((lab for lab in g.labels if lab.name == name), None)

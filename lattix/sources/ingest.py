@@ -111,9 +111,11 @@ def key_problems(frame: DataFrame, key: str) -> DataFrame:
 def identity_map(g: Graph, label: str, key: str) -> DataFrame:
     """(key as text, id); refuses keys held twice and elements without one, naming how many and up to five."""
     frame = g.frame(label)
-    bad = key_problems(frame, key).groupBy(F.col("key").isNull().alias("lacking")).agg(F.sum("n").alias("elements"), F.count("*").alias("keys"), F.slice(F.sort_array(F.collect_set("key")), 1, 5).alias("some")).collect()
+    found = key_problems(frame, key)
+    bad = found.groupBy(F.col("key").isNull().alias("lacking")).agg(F.sum("n").alias("elements"), F.count("*").alias("keys")).collect()
     if bad:
-        raise ValueError("; ".join(f"{r['elements']} elements lack {key}" if r["lacking"] else f"{r['keys']} keys are held more than once, such as {r['some']}" for r in bad))
+        some = [r["key"] for r in found.where("key IS NOT NULL").orderBy("key").limit(5).collect()]
+        raise ValueError("; ".join(f"{r['elements']} elements lack {key}" if r["lacking"] else f"{r['keys']} keys are held more than once, such as {some}" for r in bad))
     return keyed(frame, key)
 
 

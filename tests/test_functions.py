@@ -1,13 +1,14 @@
 """Identities, property maps, rendered text and vectors on hand-made rows."""
 
 import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lattix.functions import ids, props, vectors
-from lattix.operators import export, nearest
+from lattix.operators import export, logs, nearest
 from lattix.sources import ingest, rendered
 
 
@@ -178,3 +179,46 @@ def test_queries_in_several_rounds_find_the_same(spark, monkeypatch):
     assert found() == at_once
     assert len(at_once) == 3 * asked.count()
     assert nearest.nearest_join(asked.limit(0), e, "embedding", 3).count() == 0
+
+
+#: Lists of elements that are easily misread, and how many elements they have: own cases, labels with brackets, braces, commas and quotes.
+LISTS = [
+    ("[a]{b[3.1]{}]", ["a]{b[3.1]{}"]), ('[x]{"[3.1]{"k":"]{"},NULL]', ['x]{"[3.1]{"k":"]{"}', None]), ("[{},{[3.1]{}]", ["{},{[3.1]{}"]), ("[a[3.1]{x},b[3.2]{}]", ["a[3.1]{x},b[3.2]{}"]),
+    ("[a[3.1]{}[b[3.2]{}]", ["a[3.1]{}[b[3.2]{}"]), ('[q"[3.1]{},q"[3.2]{}]', ['q"[3.1]{}', 'q"[3.2]{}']), ("[[[3.1]{}]", ["[[3.1]{}"]), ('[v[5.1]{"a":"},{"},e[6.1][5.1,5.5]{},v[5.5]{}]', ['v[5.1]{"a":"},{"}', "e[6.1][5.1,5.5]{}", "v[5.5]{}"]),
+    ('[a\\\\[3.1]{"k":"\\\\"},b[3.2]{"k":"\\\\\\""}]', ['a\\\\[3.1]{"k":"\\\\"}', 'b[3.2]{"k":"\\\\\\""}']), ("[NULLx[3.1]{},NULL,NULL]", ["NULLx[3.1]{}", None, None]), ("[é,ß[3.1]{\"ü\":\"]\"}]", ['é,ß[3.1]{"ü":"]"}']), ("[,a[3.1]{}]", [",a[3.1]{}"]), ("[]", []), ("[NULL]", [None]),
+]
+NO_LISTS = ["", "[", "]", "[[]", "[]]", "a[3.1]{}", "[a[3.1]{},]", "[a[3.1]{}", "[a[3.1]{}x]", "[a[3.1]]", "[a{}]", "[[3.1]{}]", '[a[3.1]{"k":"}]', "[a[3.1]{}},b[3.2]{}", "[l[1][3.1]{},[4.1][3.1,3.2]{}]", "[NULL,]", "[null]"]
+
+
+def test_elements_of_lists_one_by_one_and_all_at_once(spark):
+    lists = LISTS + [(text, None) for text in NO_LISTS]
+    for text, want in lists:
+        assert rendered.split_elements(text) == want, text
+    rng = random.Random(4)
+    label = lambda: "".join(rng.choices("ab,[]{}\"\\.1NUL é", k=rng.randrange(1, 5))) if rng.random() < 0.4 else "person"
+    value = lambda: rng.choice(["{}", '{"k":1}', '{"k":"},{"}', '{"a":[1,{"b":"]"}],"c":"\\""}', '{"é":"[3.1]{}"}', "{x}", "{"])
+    element = lambda: "NULL" if rng.random() < 0.1 else f"{label()}[{rng.randrange(9)}.{rng.randrange(99)}]{rng.choice(['', '[3.1,4.22]', '[3.1]'])}{value()}"
+    made = ["[" + ",".join(element() for _ in range(rng.randrange(6))) + "]" for _ in range(3000)] + [text for text, _ in lists]
+    rows = list(enumerate([*made, None]))
+    rng.shuffle(rows)
+    got = spark.createDataFrame(rows, "k int, raw string").repartition(3).select("raw", rendered.element_texts("raw").alias("e")).collect()
+    assert all(r.e == rendered.split_elements(r.raw) for r in got)
+    assert sum(r.e is not None for r in got) > 1000
+
+
+def test_paths_with_any_label(spark):
+    rows = [(1, "[a]{b[3.1]{}]"), (2, '[x,y[3.1]{"k":1.50},r]{[4.1][3.1,3.2]{},"z[3.2]{}]'), (3, "[a[3.1]{},]")]
+    good, bad = rendered.decode_paths(spark.createDataFrame(rows, "row int, raw string"))
+    told = {r.row: [x.label for x in r.vertices] + [x.label for x in r.edges] for r in good.collect()}
+    assert told == {1: ["a]{b"], 2: ["x,y", '"z', "r]{"]} and [r.row for r in bad.collect()] == [3]
+
+
+def test_quantiles_by_histograms_are_exact(spark):
+    rng = np.random.default_rng(8)
+    values = {"even": rng.normal(0, 1, 3001), "tail": np.exp(rng.normal(0, 9, 2000)), "ties": np.repeat([1.0, 2.0, 7.5], [500, 1, 99]), "one": np.array([4.25]), "two": np.array([-1.0, 3.0]), None: np.array([5.0, 6.0, 9.0])}
+    rows = [(k, float(x)) for k, v in values.items() for x in v] + [("even", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    shares = [0.0, 0.1, 0.5, 0.95, 1.0]
+    got = {(r.g, r.share): r.quantile for r in logs.exact_quantiles(df, "g", "v", shares, bins=50).collect()}
+    assert set(got) == {(k, s) for k in values for s in shares}
+    assert all(math.isclose(got[k, s], np.quantile(v, s), rel_tol=1e-12) for k, v in values.items() for s in shares)
