@@ -42,6 +42,12 @@ def nearest_join(queries: DataFrame, df: DataFrame, vector: str, k: int, distanc
     return own.drop("__part", "rank").withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k)
 
 
+def bounded_sample(asked: DataFrame, sample: int) -> DataFrame:
+    """At most ``sample`` rows (id, v) that have a vector, chosen by hash of the id; rows are cut by hash first, so that tasks don't each offer as many."""
+    share = min(1.0, 2 * sample / max(1, asked.count()))
+    return asked.where("v IS NOT NULL").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("id"), "id").limit(sample)
+
+
 class Cells:
     """An index of ``lists`` cells around k-means centres: fitted on a bounded sample, every row assigned to a cell."""
 
@@ -51,8 +57,7 @@ class Cells:
 
         self.vector, self.id = vector, id_
         asked = df.select(F.col(id_).alias("id"), F.col(vector).alias("v"))
-        share = min(1.0, 2 * sample / max(1, asked.count()))  # a first cut by hash, so that tasks don't each offer as many
-        some = asked.where("v IS NOT NULL").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("id"), "id").limit(sample).select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
+        some = bounded_sample(asked, sample).select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
         centers = KMeans(k=lists, seed=seed, maxIter=15).fit(some).clusterCenters()
         shape = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("center", T.ArrayType(T.FloatType()))])
         self.centers = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]

@@ -113,7 +113,7 @@ def ensure_labels(spark, sf):
     """A label for each priority that the orders have, and one that is there already."""
     g = graph(spark, sf, "orders")
     held = g.frames["orders"].groupBy("o_orderpriority").agg(F.count("*").alias("elements")).withColumnRenamed("o_orderpriority", "name")
-    wanted = [(r["name"], "v") for r in held.orderBy("name").limit(65_000).collect()] + [("orders", "v")]  # a graph has at most 65,535 labels
+    wanted = [(r["name"], "v") for r in held.orderBy("name").limit(constraints.MOST_LABELS + 1).collect()] + [("orders", "v")]  # more than that many are refused
     g, made = constraints.ensure_labels(g, wanted)
     _, again = constraints.ensure_labels(g, wanted)
     assert not again

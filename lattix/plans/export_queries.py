@@ -49,12 +49,13 @@ def export_vectors(spark, sf):
     return e.select("vec_id", F.when(F.col("v").isNotNull(), F.size("v")).alias("width"), F.round(F.col("v")[63].cast("double"), 6).alias("last"))
 
 
-@query("export_sparse", "SELECT vec_id, '{' || (vec_id % 4 + 1) || ':9}/5' AS text, vec_id % 4 AS at, array_to_string(list_transform(range(0, 5), lambda i: CASE WHEN i = vec_id % 4 THEN '9' ELSE '0' END), ',') AS dense FROM embeddings")
+@query("export_sparse", "WITH s AS (SELECT vec_id, embedding, list_filter(range(1, len(embedding) + 1), lambda i: abs(embedding[i]) > 0.1::FLOAT) AS pos FROM embeddings) SELECT vec_id, '{' || array_to_string(list_transform(pos, lambda i: i || CASE WHEN embedding[i] > 0 THEN ':9' ELSE ':-9' END), ',') || '}/64' AS text, pos[1] - 1 AS at, array_to_string(list_transform(embedding, lambda x: CASE WHEN abs(x) <= 0.1::FLOAT THEN '0' WHEN x > 0 THEN '9' ELSE '-9' END), ',') AS dense FROM s")
 def export_sparse(spark, sf):
-    s = F.struct(F.lit(5).alias("dimensions"), F.array((F.col("vec_id") % 4).cast("int")).alias("indices"), F.array(F.lit(9).cast("float")).alias("values"))
-    e = vertices(spark, sf, "emb").select("vec_id", s.alias("s"))
+    """The signs of components beyond a tenth in size; the rest are zeros."""
+    signs = F.transform("embedding", lambda x: F.when(F.abs(x) > F.lit(0.1).cast("float"), F.signum(x) * 9).otherwise(0).cast("float"))
+    e = vertices(spark, sf, "emb").select("vec_id", vectors.sparse_from_dense(signs).alias("s"))
     dense = F.array_join(F.transform(export.export_sparse(F.col("s"), "dense"), lambda x: x.cast("int").cast("string")), ",")
-    return e.select("vec_id", export.export_sparse(F.col("s"), "text").alias("text"), export.export_sparse(F.col("s"))["indices"][0].cast("long").alias("at"), dense.alias("dense"))
+    return e.select("vec_id", export.export_sparse(F.col("s"), "text").alias("text"), F.get(export.export_sparse(F.col("s"))["indices"], F.lit(0)).cast("long").alias("at"), dense.alias("dense"))
 
 
 def _paths(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lattix.functions import ids, props
-from lattix.operators import match
+from lattix.operators import match, reach
 from lattix.plans.commerce import FOLLOWS_SQL, LABID, edges, graph, sid, table, vertices
 from lattix.plans.registry import query
 
@@ -114,7 +114,44 @@ def walk(spark, sf):
 
 @query("reachable", f"WITH RECURSIVE {FOLLOWS_SQL}, w(a, b) AS (SELECT id, id FROM users UNION SELECT w.a, t.e FROM w JOIN follows t ON w.b = t.s) SELECT a AS start_id, b AS end_id FROM w")
 def reachable(spark, sf):
-    return match.reachable(vertices(spark, sf, "user").select("id"), edges(spark, sf, "follows"))
+    return reach.reachable_by_class(vertices(spark, sf, "user").select("id"), edges(spark, sf, "follows"))
+
+
+_CLASSES = f"WITH RECURSIVE {FOLLOWS_SQL}, w(a, b) AS (SELECT id, id FROM users UNION SELECT w.a, t.e FROM w JOIN follows t ON w.b = t.s), c AS (SELECT x.a AS id, min(x.b) AS class FROM w x JOIN w y ON x.a = y.b AND x.b = y.a GROUP BY x.a) "
+
+
+@query("strong_classes", _CLASSES + "SELECT id, class, count(*) OVER (PARTITION BY class)::BIGINT AS members FROM c")
+def strong_classes(spark, sf):
+    classes = reach.strong_classes(vertices(spark, sf, "user"), edges(spark, sf, "follows"))
+    return classes.join(classes.groupBy("class").agg(F.count("*").alias("members")), "class").select("id", "class", "members")
+
+
+@query("class_links", _CLASSES + "SELECT x.class AS from_class, y.class AS to_class, count(*)::BIGINT AS edges FROM follows JOIN c x ON x.id = s JOIN c y ON y.id = e WHERE x.class <> y.class GROUP BY x.class, y.class")
+def class_links(spark, sf):
+    t = edges(spark, sf, "follows")
+    return reach.class_links(t, reach.strong_classes(vertices(spark, sf, "user"), t))
+
+
+@query("hop_distance", f"""
+WITH RECURSIVE {FOLLOWS_SQL}, w(a, b, hops) AS (SELECT id, id, 0 FROM users WHERE user_id % 50 = 0 UNION SELECT w.a, t.e, w.hops + 1 FROM w JOIN follows t ON w.b = t.s WHERE w.hops < 8)
+SELECT a AS start_id, b AS end_id, min(hops)::INT AS hops FROM w GROUP BY a, b""")
+def hop_distance(spark, sf):
+    """Hops, up to eight, from every user whose number is divisible by 50 to all users, told by labels of the whole graph."""
+    n = vertices(spark, sf, "user")
+    return reach.Landmarks(edges(spark, sf, "follows"), 8).distances_from(n.where("user_id % 50 = 0"), n)
+
+
+@query("landmark_path", f"""
+WITH RECURSIVE {FOLLOWS_SQL}, w(a, b, hops, used) AS (
+  SELECT id, id, 0, [id]::BIGINT[] FROM users WHERE user_id % 50 = 0
+  UNION ALL SELECT w.a, t.e, w.hops + 1, list_append(w.used, t.e) FROM w JOIN follows t ON w.b = t.s WHERE w.hops < 4 AND NOT list_contains(w.used, t.e))
+SELECT a AS start_id, b AS end_id, hops::INT AS hops, array_to_string(used, ',') AS vertices FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY hops, used) AS r FROM w) WHERE r = 1""")
+def landmark_path(spark, sf):
+    """The same rows as ``shortest_path`` for the same starts as above, each path found by labels alone."""
+    n = vertices(spark, sf, "user")
+    marks = reach.Landmarks(edges(spark, sf, "follows"), 4)
+    found = marks.distances_from(n.where("user_id % 50 = 0"), n)
+    return marks.paths(found).select("start_id", "end_id", "hops", F.array_join(F.col("vertex_ids").cast("array<string>"), ",").alias("vertices"))
 
 
 @query("shortest_path", f"""

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lattix.functions import ids, props
-from lattix.model import Graph
 from lattix.operators import describe, logs
 from lattix.plans.commerce import LABID, edges, graph, sid, table, vertices
 from lattix.plans.registry import query
+from lattix.sources.store import LabelStore
 from lattix.streaming import feeds
+from lattix.tables import shared_folder
 
 
 @query("graphid_parse", f"SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN {sid('customer', 'c_custkey')} WHEN 3 THEN 281474976710655 END AS id FROM customer")
@@ -48,18 +49,23 @@ def size_range(spark, sf):
     return n.select("n_nationkey", F.json_array_length("p").alias("tags"), F.array_join(F.sequence(F.lit(1), F.col("n_nationkey") + 1).cast("array<string>"), ",").alias("upto"))
 
 
-@query("property_text", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN '1.50' WHEN 1 THEN event_type WHEN 2 THEN '100' END AS text FROM events")
+@query("property_text", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN user_id || '.50' WHEN 1 THEN event_type WHEN 2 THEN ((user_id + 1) * 100)::VARCHAR END AS text FROM events")
 def property_text(spark, sf):
     e = table(spark, sf, "events")
-    p = F.when(F.col("event_id") % 4 == 0, '{"v":1.50}').when(F.col("event_id") % 4 == 1, F.to_json(F.struct(F.col("event_type").alias("v")))).when(F.col("event_id") % 4 == 2, '{"v":1e2}').otherwise('{"v":null}')
+    number = lambda tail, more: F.concat(F.lit('{"v":'), (F.col("user_id") + more).cast("string"), F.lit(tail))
+    p = F.when(F.col("event_id") % 4 == 0, number(".50}", 0)).when(F.col("event_id") % 4 == 1, F.to_json(F.struct(F.col("event_type").alias("v")))).when(F.col("event_id") % 4 == 2, number("e2}", 1)).otherwise('{"v":null}')
     return e.select("event_id", props.property_text(p, "v").alias("text"))
 
 
 @query("json_kind", "SELECT event_id, ['string', 'number', 'boolean', 'null', 'array', 'object', NULL][event_id % 7 + 1] AS kind FROM events")
 def json_kind(spark, sf):
-    forms = ['{"v":"1"}', '{"v":1}', '{"v":true}', '{"v":null}', '{"v":[1]}', '{"v":{"a":1}}', '{"w":1}']
-    p = F.get(F.array(*map(F.lit, forms)), (F.col("event_id") % 7).cast("int"))
-    return table(spark, sf, "events").select("event_id", props.json_kind(p, "v").alias("kind"))
+    """Of each event's own values as a map, one key by turns; the last is in no map."""
+    given = F.struct(F.col("event_type").alias("a"), F.col("value").alias("b"), (F.col("value") > 50).alias("c"), F.lit(None).cast("string").alias("d"), F.array("user_id").alias("e"), F.struct("user_id").alias("f"))
+    held = table(spark, sf, "events").select("event_id", F.to_json(given, {"ignoreNullFields": "false"}).alias("p"))
+    kind = F.lit(None).cast("string")
+    for k, key in enumerate("abcdefg"):
+        kind = F.when(F.col("event_id") % 7 == k, props.json_kind(F.col("p"), key)).otherwise(kind)
+    return held.select("event_id", kind.alias("kind"))
 
 
 @query("map_merge", "SELECT event_id, event_type AS t, 'new' AS k, user_id::VARCHAR AS u, 3::BIGINT AS n FROM events")
@@ -83,9 +89,9 @@ def refuse_non_finite(spark, sf):
     return props.refuse_non_finite(table(spark, sf, "events").select("event_id", "value"), "value")
 
 
-@query("numbers_exact", "SELECT event_id, (event_id::VARCHAR || '.123456789012345678')::DECIMAL(38,18)::VARCHAR AS v FROM events")
+@query("numbers_exact", "SELECT event_id, (user_id || '.' || lpad(event_id::VARCHAR, 18, '0'))::DECIMAL(38,18)::VARCHAR AS v FROM events")
 def numbers_exact(spark, sf):
-    p = F.concat(F.lit('{"v":'), F.col("event_id").cast("string"), F.lit(".123456789012345678}"))
+    p = F.concat(F.lit('{"v":'), F.col("user_id").cast("string"), F.lit("."), F.lpad(F.col("event_id").cast("string"), 18, "0"), F.lit("}"))
     return table(spark, sf, "events").select("event_id", props.exact_number(p, "v").cast("string").alias("v"))
 
 
@@ -99,8 +105,6 @@ def key_spellings(spark, sf):
 
 def _stream(spark, df, name: str):
     """A frame as a stream of files, a few a batch."""
-    from lattix.tables import shared_folder
-
     folder = shared_folder(spark)
     df.repartition(4).write.parquet(folder)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(folder), shared_folder(spark)
@@ -110,25 +114,23 @@ def _stream(spark, df, name: str):
 def stream_upsert_vertices(spark, sf):
     tops = table(spark, sf, "events").groupBy(F.col("user_id").alias("k")).agg(F.max("event_id").alias("top"))
     stream, checkpoint = _stream(spark, tops, "users")
-    feed = feeds.vertex_feed(Graph(spark, "g").with_label("user", "v"), "user", "k", ["k"])
-    feed.start(stream, checkpoint).awaitTermination()
+    store = LabelStore.create(spark, shared_folder(spark), 3, spark.createDataFrame([], "id long, properties string"))
+    feeds.stored_vertex_feed(store, "k", ["k"]).start(stream, checkpoint).awaitTermination()
     p = F.col("properties")
-    return feed.graph.frames["user"].select(props.property_text(p, "k").alias("k"), props.property_text(p, "top").alias("top"))
+    return store.frame().select(props.property_text(p, "k").alias("k"), props.property_text(p, "top").alias("top"))
 
 
 @query("stream_upsert_edges", f"SELECT DISTINCT {sid('part', 'l_partkey')} AS start, {sid('supplier', 'l_suppkey')} AS \"end\" FROM lineitem")
 def stream_upsert_edges(spark, sf):
     pairs = table(spark, sf, "lineitem").select(ids.pack(LABID["part"], F.col("l_partkey") + 1).alias("start"), ids.pack(LABID["supplier"], F.col("l_suppkey") + 1).alias("end"), F.lit(None).cast("string").alias("properties"))
     stream, checkpoint = _stream(spark, pairs, "pairs")
-    feed = feeds.edge_feed(Graph(spark, "g").with_label("supplied_by", "e"), "supplied_by", ["start", "end"])
-    feed.start(stream, checkpoint).awaitTermination()
-    return feed.graph.frames["supplied_by"].select("start", "end")
+    store = LabelStore.create(spark, shared_folder(spark), 3, spark.createDataFrame([], "id long, start long, end long, properties string"))
+    feeds.stored_edge_feed(store, ["start", "end"]).start(stream, checkpoint).awaitTermination()
+    return store.frame().select("start", "end")
 
 
 def _final(spark, counted, name: str):
     """The rows of a streaming count once all files are read."""
-    from lattix.tables import shared_folder
-
     table_name = f"{name}_{shared_folder(spark)[-8:]}"
     counted.writeStream.format("memory").queryName(table_name).outputMode("complete").option("checkpointLocation", shared_folder(spark)).trigger(availableNow=True).start().awaitTermination()
     return spark.table(table_name)
@@ -148,22 +150,25 @@ def stream_triples(spark, sf):
     return _final(spark, feeds.triples(stream), "triples")
 
 
-_CODES = ["40001", "57P01", "23505", "08006", "42P07", None, "22012"]
-_LISTED = ", ".join("NULL" if c is None else f"'{c}'" for c in _CODES)
+#: What a failure of each kind of event stands for; lost connections have no code.
+_CODES = {"view": "40001", "click": "57P01", "purchase": "23505", "signup": "08006", "error": "42P07"}
+_LISTED = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _CODES.items())
 
 
 @query("classify_failures", f"""
-WITH f AS (SELECT event_id, [{_LISTED}][event_id % 7 + 1] AS sqlstate, event_id % 2 = 0 AS wrote, event_id % 3 = 0 AS merging FROM events)
+WITH f AS (SELECT CASE WHEN value > 20 THEN CASE event_type {_LISTED} ELSE '22012' END END AS sqlstate, user_id % 2 = 0 AS wrote, value > 60 AS merging FROM events)
 SELECT recovery, count(*)::BIGINT AS n FROM (SELECT CASE
   WHEN sqlstate = '40001' THEN 'safe' WHEN sqlstate IS NULL OR sqlstate IN ('57P01', '08006') THEN CASE WHEN wrote THEN 'unknown' ELSE 'reconnect' END
   WHEN sqlstate IN ('23505', '42P07') AND merging THEN 'safe' ELSE 'fatal' END AS recovery FROM f) GROUP BY recovery""")
 def classify_failures(spark, sf):
-    state = F.get(F.array(*[F.lit(c).cast("string") for c in _CODES]), (F.col("event_id") % 7).cast("int"))
-    f = table(spark, sf, "events").select(state.alias("sqlstate"), (F.col("event_id") % 2 == 0).alias("wrote"), (F.col("event_id") % 3 == 0).alias("merging"))
+    state = F.lit("22012")
+    for kind, code in _CODES.items():
+        state = F.when(F.col("event_type") == kind, code).otherwise(state)
+    f = table(spark, sf, "events").select(F.when(F.col("value") > 20, state).alias("sqlstate"), (F.col("user_id") % 2 == 0).alias("wrote"), (F.col("value") > 60).alias("merging"))
     return logs.classify_failures(f).groupBy("recovery").agg(F.count("*").alias("n"))
 
 
-@query("statement_stats", "SELECT event_type AS statement, count(*)::BIGINT AS calls, count(*) FILTER (WHERE event_id % 10 = 0)::BIGINT AS failures, sum(event_id % 5)::BIGINT AS rows, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY event_type")
+@query("statement_stats", "SELECT event_type AS statement, count(*)::BIGINT AS calls, count(*) FILTER (WHERE value > 90)::BIGINT AS failures, sum(user_id)::BIGINT AS rows, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY event_type")
 def statement_stats(spark, sf):
-    e = table(spark, sf, "events").select(F.col("event_type").alias("statement"), F.col("value").alias("elapsed"), (F.col("event_id") % 5).alias("rows"), (F.col("event_id") % 10 == 0).alias("failed"))
+    e = table(spark, sf, "events").select(F.col("event_type").alias("statement"), F.col("value").alias("elapsed"), F.col("user_id").alias("rows"), (F.col("value") > 90).alias("failed"))
     return logs.statement_stats(e).select("statement", "calls", "failures", "rows", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lattix.functions import vectors
-from lattix.operators import constraints, nearest
+from lattix.operators import constraints, nearest, vector_index
 from lattix.plans.commerce import graph, sid, table, vertices
 from lattix.plans.registry import query
 
@@ -68,10 +68,17 @@ def nearest_join(spark, sf):
     return nearest.nearest_join(_queries(spark, sf), vertices(spark, sf, "emb"), "embedding", 5).select("query_id", "id", "rank")
 
 
+def residual_index(spark, sf):
+    """Eight rows a cell, up to 4,096 cells: vectors without any structure need many small ones."""
+    e = vertices(spark, sf, "emb")
+    lists = min(4096, max(8, e.count() // 8))
+    return vector_index.ResidualIndex(e, "embedding", lists), max(1, lists * 21 // 200)
+
+
 @query("nearest_ivf")
 def nearest_ivf(spark, sf):
-    cells = nearest.Cells(vertices(spark, sf, "emb"), "embedding", lists=8)
-    return cells.search(_queries(spark, sf), 5, probes=5)
+    index, probes = residual_index(spark, sf)
+    return index.search(_queries(spark, sf), 5, probes)
 
 
 @query("nearest_ivf_all_cells", _NEAREST)

@@ -6,14 +6,20 @@ from pyspark.sql import functions as F
 
 from lattix.functions import ids, props
 from lattix.model import Graph
-from lattix.operators import constraints, write
+from lattix.operators import constraints, stored, write
 from lattix.plans.commerce import LABID, graph, table, vertices
 from lattix.plans.registry import query
+from lattix.sources.store import LabelStore
+from lattix.tables import shared_folder
 
 
-def _people(spark, sf) -> Graph:
-    """The first half of the customers, with the balance in an open map."""
-    c = table(spark, sf, "customer").where("c_custkey % 2 = 0")
+#: Customers that are stored before a write; the rows that come are those of all customers.
+_HELD = "c_acctbal >= 3000"
+
+
+def _people(spark, sf, where: str = _HELD) -> Graph:
+    """Customers with their name and nation in an open map."""
+    c = table(spark, sf, "customer").where(where)
     frame = c.select(ids.pack(3, F.col("c_custkey") + 1).alias("id"), F.to_json(F.struct(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("n"))).alias("properties"))
     return Graph(spark, "people").with_label("person", "v", frame)
 
@@ -24,7 +30,7 @@ def _told(df):
 
 
 def _incoming(spark, sf):
-    return table(spark, sf, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("s"))
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("s"))
 
 
 @query("create_elements", "SELECT doc_id::VARCHAR AS doc_id, CASE WHEN quality IS NULL THEN 1 ELSE 2 END::BIGINT AS n_keys, quality::VARCHAR AS quality FROM documents LEFT JOIN labels USING (doc_id)")
@@ -35,24 +41,48 @@ def create_elements(spark, sf):
     return g.frames["doc"].select(props.property_text(p, "doc_id").alias("doc_id"), F.size(props.keys(p)).cast("long").alias("n_keys"), props.property_text(p, "quality").alias("quality"))
 
 
-@query("upsert_vertices_skip", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey::VARCHAR END AS n, CASE WHEN c_custkey % 2 <> 0 THEN c_mktsegment END AS s FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
+@query("upsert_vertices_skip", f"SELECT c_custkey::VARCHAR AS k, CASE WHEN {_HELD} THEN c_name END AS name, CASE WHEN {_HELD} THEN c_nationkey::VARCHAR END AS n, CASE WHEN NOT {_HELD} THEN c_mktsegment END AS s FROM customer")
 def upsert_vertices_skip(spark, sf):
     g, _, _ = write.upsert_vertices(_people(spark, sf), "person", _incoming(spark, sf), "k", ["k"], require_unique=False)
     return _told(g.frames["person"])
 
 
-@query("upsert_vertices_update", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey::VARCHAR END AS n, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS s FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
+_UPDATED = f"SELECT c_custkey::VARCHAR AS k, CASE WHEN {_HELD} THEN c_name END AS name, CASE WHEN {_HELD} THEN c_nationkey::VARCHAR END AS n, c_mktsegment AS s FROM customer"
+
+
+@query("upsert_vertices_update", _UPDATED)
 def upsert_vertices_update(spark, sf):
     g, _, _ = write.upsert_vertices(_people(spark, sf), "person", _incoming(spark, sf), "k", ["k"], "update", require_unique=False)
     return _told(g.frames["person"])
 
 
-@query("upsert_vertices_ids", f"SELECT {3 << 48} + max(CASE WHEN c_custkey % 2 = 0 THEN c_custkey + 1 END) OVER () + row_number() OVER (PARTITION BY c_custkey % 2 ORDER BY c_custkey) AS id, c_custkey::VARCHAR AS k FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0 QUALIFY c_custkey % 2 = 1")
+@query("upsert_vertices_ids", f"SELECT {3 << 48} + max(CASE WHEN {_HELD} THEN c_custkey + 1 END) OVER () + row_number() OVER (PARTITION BY {_HELD} ORDER BY c_custkey) AS id, c_custkey::VARCHAR AS k FROM customer QUALIFY NOT {_HELD}")
 def upsert_vertices_ids(spark, sf):
     """Identities of the new ones follow the greatest stored, without gaps."""
     g, _, _ = write.upsert_vertices(_people(spark, sf), "person", _incoming(spark, sf), "k", ["k"], require_unique=False)
-    p = g.frames["person"].withColumn("k", props.property_text(F.col("properties"), "k"))
-    return p.where(p.k.cast("long") % 2 == 1).select("id", "k")
+    p = F.col("properties")
+    return g.frames["person"].where(props.property_text(p, "name").isNull()).select("id", props.property_text(p, "k").alias("k"))
+
+
+@query("stored_upsert_vertices", _UPDATED)
+def stored_upsert_vertices(spark, sf):
+    """The same upsert into a stored label: only new and changed vertices are written, and the reader merges them."""
+    store = LabelStore.create(spark, shared_folder(spark), 3, _people(spark, sf).frames["person"])
+    stored.upsert_vertices(store, _incoming(spark, sf), "k", ["k"], "update")
+    return _told(store.frame())
+
+
+@query("stored_changes", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_nationkey < 6 THEN NULL ELSE c_name END AS name, c_nationkey::VARCHAR AS n, CASE WHEN c_nationkey > 12 THEN 'big' END AS s FROM customer WHERE c_acctbal >= 0")
+def stored_changes(spark, sf):
+    """Properties set and removed, vertices deleted, and all of it joined into a new base, each a version of the label."""
+    store = LabelStore.create(spark, shared_folder(spark), 3, _people(spark, sf, "true").frames["person"])
+    nation = props.property_text(F.col("properties"), "n").cast("int")
+    stored.set_properties(store, nation > 12, F.lit('{"s": "big"}'))
+    stored.remove_property(store, nation < 6, "name")
+    poor = table(spark, sf, "customer").where("c_acctbal < 0").select(ids.pack(3, F.col("c_custkey") + 1).alias("id"))
+    stored.delete_elements(store, poor)
+    store.compact()
+    return _told(store.frame())
 
 
 def _pairs(spark, sf):
@@ -91,7 +121,7 @@ def upsert_edges_update(spark, sf):
     return _told_pairs(g.frames["link"])
 
 
-@query("upsert_guard", "SELECT 'without a constraint' AS how, FALSE AS allowed, 0::BIGINT AS inserted UNION ALL SELECT 'with one', TRUE, count(*) FILTER (WHERE c_custkey % 2 = 1 AND c_custkey % 3 = 0) FROM customer")
+@query("upsert_guard", f"SELECT 'without a constraint' AS how, FALSE AS allowed, 0::BIGINT AS inserted UNION ALL SELECT 'with one', TRUE, count(*) FILTER (WHERE NOT {_HELD}) FROM customer")
 def upsert_guard(spark, sf):
     g, rows = _people(spark, sf), _incoming(spark, sf)
     try:
@@ -104,7 +134,7 @@ def upsert_guard(spark, sf):
     return spark.createDataFrame([("without a constraint", not refused, 0), ("with one", True, inserted)], "how string, allowed boolean, inserted long")
 
 
-@query("merge_pattern", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey::VARCHAR END AS n, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS s FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
+@query("merge_pattern", _UPDATED)
 def merge_pattern(spark, sf):
     g, _ = write.merge_vertices(_people(spark, sf), "person", _incoming(spark, sf), "k", ["k"])
     return _told(g.frames["person"])
@@ -116,17 +146,17 @@ def merge_edges(spark, sf):
     return g.frames["link"].select("start", "end")
 
 
-@query("set_properties", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_nationkey > 12 THEN 'big' ELSE c_name END AS name, c_nationkey::VARCHAR AS n, CASE WHEN c_nationkey > 12 THEN c_custkey::VARCHAR END AS s FROM customer WHERE c_custkey % 2 = 0")
+@query("set_properties", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_nationkey > 12 THEN 'big' ELSE c_name END AS name, c_nationkey::VARCHAR AS n, CASE WHEN c_nationkey > 12 THEN c_custkey::VARCHAR END AS s FROM customer")
 def set_properties(spark, sf):
     p = F.col("properties")
     given = F.to_json(F.struct(F.lit("big").alias("name"), props.property_text(p, "k").cast("long").alias("s")))
-    g, _ = write.set_properties(_people(spark, sf), "person", props.property_text(p, "n").cast("int") > 12, given)
+    g, _ = write.set_properties(_people(spark, sf, "true"), "person", props.property_text(p, "n").cast("int") > 12, given)
     return _told(g.frames["person"])
 
 
-@query("remove_property", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_custkey % 4 <> 0 THEN c_name END AS name, c_nationkey::VARCHAR AS n, NULL::VARCHAR AS s FROM customer WHERE c_custkey % 2 = 0")
+@query("remove_property", "SELECT c_custkey::VARCHAR AS k, CASE WHEN c_nationkey >= 6 THEN c_name END AS name, c_nationkey::VARCHAR AS n, NULL::VARCHAR AS s FROM customer")
 def remove_property(spark, sf):
-    g, _ = write.remove_property(_people(spark, sf), "person", props.property_text(F.col("properties"), "k").cast("long") % 4 == 0, "name")
+    g, _ = write.remove_property(_people(spark, sf, "true"), "person", props.property_text(F.col("properties"), "n").cast("int") < 6, "name")
     return _told(g.frames["person"])
 
 
@@ -146,8 +176,8 @@ def delete_edges(spark, sf):
     return g.frames["placed"].select((ids.locid(F.col("id")) - 1).alias("o_orderkey"))
 
 
-@query("write_counts", """
-SELECT 'merge' AS write, count(*) FILTER (WHERE c_custkey % 2 = 1)::BIGINT AS inserted_vertices, 0::BIGINT AS inserted_edges, 0::BIGINT AS deleted_vertices, 0::BIGINT AS deleted_edges, count(*) FILTER (WHERE c_custkey % 2 = 0)::BIGINT AS updated_properties FROM customer WHERE c_custkey % 3 = 0
+@query("write_counts", f"""
+SELECT 'merge' AS write, count(*) FILTER (WHERE NOT {_HELD})::BIGINT AS inserted_vertices, 0::BIGINT AS inserted_edges, 0::BIGINT AS deleted_vertices, 0::BIGINT AS deleted_edges, count(*) FILTER (WHERE {_HELD})::BIGINT AS updated_properties FROM customer
 UNION ALL SELECT 'delete', 0, 0, (SELECT count(*) FROM customer WHERE c_nationkey = 3), (SELECT count(*) FROM customer WHERE c_nationkey = 3) + (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = 3), 0""")
 def write_counts(spark, sf):
     g = _people(spark, sf)
