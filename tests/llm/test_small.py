@@ -502,27 +502,55 @@ def plain_scores(tokens, held):
     rare = {w: n for w, n in c.items() if w not in frequent}
     weight, rare_total = max(1, len(rare)), sum(rare.values())
     share = lambda s: ((rare_total if s == "rare" else c[s]) + 1) / (total + len(frequent) + 1)
-    after = defaultdict(Counter)
+
+    def histories(ws):
+        """The last words before each, a text's start as the oldest."""
+        own = ("start", *map(symbol, ws))
+        return [own[max(0, i + 1 - suffix_tree.LONGEST) : i + 1] for i in range(len(ws))]
+
+    after, candidates = {}, set()
     for ws in train:
-        for v, s in zip(["start", *map(symbol, ws)], map(symbol, ws)):
-            after[v][s] += 1
-    kept = {}
-    for v, nexts in after.items():
-        n = sum(nexts.values())
-        if sum(m * (math.log((m - 1 + prior * share(s)) / (n - 1 + prior)) - math.log(share(s))) for s, m in nexts.items()) >= suffix_tree.EVIDENCE:
-            kept[v] = n
+        candidates.update(h[-1:] for h in histories(ws))
+    kept, often, mass = {}, {}, {}
+
+    def told(context, s):
+        """The share that every task knows: frequent next words of the kept contexts, the rest as after one word less."""
+        if not context:
+            return share(s)
+        if context not in kept:
+            return told(context[1:], s)
+        return (often.get((*context, s), 0) + (kept[context] - mass[context] + prior) * told(context[1:], s)) / (kept[context] + prior)
+
+    for length in range(1, suffix_tree.LONGEST + 1):
+        for ws in train:
+            for h, w in zip(histories(ws), ws):
+                if h[-length:] in candidates and len(h) >= length:
+                    after.setdefault(h[-length:], Counter())[symbol(w)] += 1
+        fresh = {}
+        candidates = {v for v in candidates if v in after}  # nothing follows a text's end
+        for v in candidates:
+            n, nexts = sum(after[v].values()), after[v]
+            if sum(m * (math.log((m - 1 + prior * told(v[1:], s)) / (n - 1 + prior)) - math.log(told(v[1:], s))) for s, m in nexts.items()) >= suffix_tree.EVIDENCE:
+                fresh[v] = n
+        frequent_next = {(*v, s): n for v in candidates for s, n in after[v].items() if n >= max(2.0, suffix_tree.HOT * total)}
+        kept |= fresh
+        often |= {k: n for k, n in frequent_next.items() if k[:-1] in fresh}
+        mass |= {v: sum(often.get((*v, x), 0) for x in after[v]) for v in fresh}
+        candidates = set(frequent_next)
     spell, states = plain_spelling({w.strip(b"\n"): n for w, n in rare.items()})
-    out = {}
+    out, longest = {}, 0
     for k, ws in tokens.items():
         score = 0.0
-        for v, w in zip(["start", *map(symbol, ws)], ws):
+        for h, w in zip(histories(ws), ws):
             s = symbol(w)
-            score += math.log10((after[v][s] + prior * share(s)) / (kept[v] + prior) if v in kept else share(s))
+            v = next((h[-d:] for d in range(min(len(h), suffix_tree.LONGEST), 0, -1) if h[-d:] in kept), ())
+            longest = max(longest, len(v))
+            score += math.log10((after[v][s] + prior * told(v[1:], s)) / (kept[v] + prior) if v else share(s))
             if s == "rare":
                 spelled = math.log10(weight) + spell(w.strip(b"\n"))
                 score += (math.log10(c[w] + 10**spelled) if c[w] else spelled) - math.log10(rare_total + weight)
         out[k] = score
-    return out, len(kept), states
+    return out, len(kept), states, longest
 
 
 @pytest.mark.parametrize("hot", [1e-5, 0.002, 2.0])
@@ -533,7 +561,8 @@ def test_scores(spark, docs, texts, nothing, hot, monkeypatch):
     held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in tokens}
     c = Counter(w for k, ws in tokens.items() if not held[k] for w in ws)
     total, types = sum(c.values()), len(c)
-    want, contexts, states = plain_scores(tokens, held)
+    want, contexts, states, longest = plain_scores(tokens, held)
+    assert longest == (3 if hot < 1 else 0)
     rows = suffix_tree.score_texts(docs.unionByName(spark.createDataFrame(more + more[:1], "doc_id long, text string"), allowMissingColumns=True).where("doc_id <> 40000 OR text IS NULL").unionByName(spark.createDataFrame(more[:1], "doc_id long, text string"), allowMissingColumns=True)).collect()
     got = {r.doc_id: r for r in rows}
     assert len(rows) == len(tokens) and got.keys() == tokens.keys() and states > 20 * (hot > 1e-5) and contexts >= 4 * (hot < 1)
