@@ -71,18 +71,47 @@ def _steps(edges: DataFrame, direction: str) -> DataFrame:
     return hop.select(F.col("a_id").alias("__from"), F.col("r_id").alias("__edge"), F.col("b_id").alias("__to"))
 
 
-def walk(starts: DataFrame, edges: DataFrame, least: int, most: int, direction: str = "out") -> DataFrame:
+def hub_join(left: DataFrame, right: DataFrame, on: str, chunk_rows: int = 100_000) -> DataFrame:
+    """The inner join, with the rows of hubs cut into chunks, so that no task has more of a key than about two chunks.
+
+    Keys are counted on both sides first. A key with more than ``chunk_rows`` rows on a side is a hub: its rows there are
+    dealt to chunks, and its rows on the other side are copied to each of these. Where both sides are that
+    many, every two chunks meet once. Rows of all other keys are neither copied nor dealt, and no key is left out.
+    Equal rows go to one chunk.
+    """
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.where(F.col(on).isNotNull()).groupBy(on).agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias(name))
+
+    hubs = written(counted(left, "__l").join(counted(right, "__r"), on).where("__l > 1 OR __r > 1"))
+    if hubs.isEmpty():
+        return left.join(right, on)
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        some = df.join(hubs, on)  # the table of hubs is small: each stands for chunk_rows rows
+        mine = F.pmod(F.xxhash64(*[c for c in df.columns if c != on]), F.col(own)).cast("int")  # by what the row holds, so that a task that runs again deals alike
+        return some.withColumn(f"{own}k", mine).withColumn(f"{other}k", F.explode(F.expr(f"sequence(0, {other} - 1)"))).drop("__l", "__r")
+
+    light = left.join(hubs.select(on), on, "left_anti").join(right.join(hubs.select(on), on, "left_anti"), on)
+    heavy = dealt(left, "__l", "__r").join(dealt(right, "__r", "__l"), [on, "__lk", "__rk"]).drop("__lk", "__rk")
+    return light.unionByName(heavy)
+
+
+def walk(starts: DataFrame, edges: DataFrame, least: int, most: int, direction: str = "out", hubs: int | None = None) -> DataFrame:
     """Walks of least..most hops: start_id, end_id, hops, vertex_ids, edge_ids; an edge appears once in a walk.
 
-    One join a hop, in an unrolled plan; ``most`` is a constant, and the rows are as many as the walks.
+    One join a hop, in an unrolled plan; ``most`` is a constant, and the rows are as many as the walks. With ``hubs`` the
+    edges of vertices that have more than so many are met in chunks, at the cost of a count before each hop.
     """
     step = _steps(edges, direction)
+    if hubs:
+        step = written(step)
     none = F.array().cast("array<bigint>")
     level = starts.select(F.col("id").alias("start_id"), F.col("id").alias("end_id"), F.lit(0).alias("hops"), F.array("id").alias("vertex_ids"), none.alias("edge_ids"))
     out = [level] if least == 0 else []
     for n in range(1, most + 1):
+        met = hub_join(written(level).withColumnRenamed("end_id", "__from"), step, "__from", hubs) if hubs else level.join(step, F.col("end_id") == F.col("__from"))
         level = (
-            level.join(step, F.col("end_id") == F.col("__from")).where(~F.array_contains("edge_ids", F.col("__edge")))
+            met.where(~F.array_contains("edge_ids", F.col("__edge")))
             .select("start_id", F.col("__to").alias("end_id"), F.lit(n).alias("hops"), F.array_append("vertex_ids", F.col("__to")).alias("vertex_ids"), F.array_append("edge_ids", F.col("__edge")).alias("edge_ids"))
         )
         if n >= least:

@@ -98,7 +98,8 @@ def _changed(store: LabelStore, changed: DataFrame) -> int:
 
 def delete_elements(store: LabelStore, doomed: DataFrame) -> int:
     """How many elements of these ids went. Ids alone are written; edges of vertices are deleted from their own stores, or refused, by ``delete_vertices``."""
-    gone = written(store.frame().join(doomed.select("id"), "id", "left_semi").select("id"))
+    names = [c for c in ("id", "start", "end") if c in store.schema.names]
+    gone = written(store.frame().join(doomed.select("id"), "id", "left_semi").select(names))
     n = gone.count()
     if n:
         store.apply(gone=gone)
@@ -114,7 +115,7 @@ def delete_vertices(store: LabelStore, edges: list[LabelStore], doomed: DataFram
     lost = []
     for held in edges:
         frame = held.frame()
-        ends = frame.select("id", F.explode(F.array("start", "end")).alias("at")).join(gone.select(F.col("id").alias("at")), "at", "left_semi").select("id").distinct()
+        ends = frame.select("id", "start", "end", F.explode(F.array("start", "end")).alias("at")).join(gone.select(F.col("id").alias("at")), "at", "left_semi").select("id", "start", "end").distinct()
         lost.append(written(ends))
     counts = [rows.count() for rows in lost]
     if sum(counts) and not detach:

@@ -227,3 +227,16 @@ def ancestors(spark, sf):
     r = vertices(spark, sf, "region")
     found = match.ancestors(r.select("id"), up, 2).where("hops = 2")
     return found.join(r.select(F.col("id").alias("start_id"), "r_name"), "start_id").select("r_name", (ids.locid(F.col("ancestor_id")) - 1).alias("c_custkey"))
+
+
+_ORDER, _CUSTOMER, _NATION, _REGION = sid("orders", "o_orderkey"), sid("customer", "c_custkey"), sid("nation", "n_nationkey"), sid("region", "n_regionkey")
+
+
+@query("lineage", f"""
+WITH o AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+SELECT {_ORDER} AS start_id, {_CUSTOMER} AS ancestor_id, 1::BIGINT AS hops FROM o UNION ALL SELECT {_ORDER}, {_NATION}, 2 FROM o UNION ALL SELECT {_ORDER}, {_REGION}, 3 FROM o""")
+def lineage(spark, sf):
+    """Every order's customer, their nation and its region, without saying how deep to look."""
+    up = lambda label, a, b: edges(spark, sf, label).select(F.col(a).alias("id"), F.col(b).alias("to"))
+    parents = up("placed", "end", "start").unionAll(up("lives_in", "start", "end")).unionAll(up("in_region", "start", "end"))
+    return reach.lineage(vertices(spark, sf, "orders"), parents)

@@ -67,9 +67,11 @@ class LabelStore:
             return State()
         names = [str(f.getPath().getName()) for f in self._files.listStatus(self._log)]
         last = max((n for n in names if n.endswith(".json") and not n.startswith(".")), default=None)
-        if last is None:
-            return State()
-        stream = self._files.open(self._hadoop.Path(f"{self.path}/log/{last}"))
+        return State() if last is None else self.at(int(last[:-5]))
+
+    def at(self, version: int) -> State:
+        """What an earlier version consisted of."""
+        stream = self._files.open(self._hadoop.Path(f"{self.path}/log/{version:020d}.json"))
         try:
             text = bytes(stream.readAllBytes()).decode()
         finally:
@@ -128,7 +130,7 @@ class LabelStore:
         return held.join(changes.select("id"), "id", "left_anti").select(names).unionByName(changes.where("NOT gone").select("row.*").select(names))
 
     def apply(self, inserts: DataFrame | None = None, changed: DataFrame | None = None, gone: DataFrame | None = None, serial: int = 0, feed: str | None = None, batch: int = 0, counts: tuple[int, int] = (0, 0)) -> None:
-        """One version: new elements, elements as they are now, and ids of those that go. Files of other elements stay untouched."""
+        """One version: new elements, elements as they are now, and ids, of edges with their ends, of those that go. Files of other elements stay untouched."""
         state, names = self.state, self.schema.names
         new = replace(state, version=state.version + 1, serial=max(state.serial, serial))
         lay = lambda rows: rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(self.schema[c].dataType).alias(c) for c in names])
@@ -141,6 +143,23 @@ class LabelStore:
             new = replace(new, feeds=state.feeds | {feed: [batch, *counts]})
         self._commit(new)
 
+    def signed(self, since: int) -> DataFrame:
+        """Elements that came after version ``since``, with ``change`` 1, and those that went, with -1; of edges with their ends.
+
+        Only the files of the versions in between are read. An update is no change; who came and went has a row for each.
+        """
+        names = [c for c in ("id", "start", "end") if c in self.schema.names]
+        parts, before = [], self.at(since)
+        for version in range(since + 1, self.state.version + 1):
+            now = self.at(version)
+            for folder in (f for f in now.inserts if f not in before.inserts):
+                parts.append(self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}").select(*names, F.lit(1).cast("long").alias("change")))
+            for folder in (f for f in now.changes if f not in before.changes):
+                parts.append(self.spark.read.parquet(f"{self.path}/{folder}").where("__gone").select(*names, F.lit(-1).cast("long").alias("change")))
+            before = now
+        nothing = self.spark.createDataFrame([], T.StructType([*(self.schema[c] for c in names), T.StructField("change", T.LongType())]))
+        return reduce(DataFrame.unionByName, parts, nothing)
+
     def compact(self) -> None:
         """Base and changes joined into one base; readers of earlier versions still find their files."""
         base = self._put(self.frame())

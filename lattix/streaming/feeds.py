@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -77,11 +77,22 @@ def stored_edge_feed(store: LabelStore, order: list[str], on_existing: str = "sk
     return StoredFeed(store, lambda held, batch, n: stored.upsert_edges(held, batch, order, on_existing, name, n), name, compact_every)
 
 
-def element_counts(stream: DataFrame) -> DataFrame:
-    """(labid, elements), kept as elements arrive: one row of state a label."""
-    return stream.groupBy(ids.labid(F.col("id")).alias("labid")).agg(F.count("*").alias("elements"))
+def _total(change: str | None) -> Column:
+    return F.count("*") if change is None else F.sum(F.col(change).cast("long"))
 
 
-def triples(stream: DataFrame) -> DataFrame:
-    """(start_labid, edge_labid, end_labid, edge_count), kept as edges arrive."""
-    return stream.groupBy(*[ids.labid(F.col(c)).alias(f"{n}_labid") for c, n in (("start", "start"), ("id", "edge"), ("end", "end"))]).agg(F.count("*").alias("edge_count"))
+def element_counts(stream: DataFrame, change: str | None = None) -> DataFrame:
+    """(labid, elements), kept as elements arrive: one row of state a label. ``change`` is 1 for elements that come and -1 for those that go."""
+    return stream.groupBy(ids.labid(F.col("id")).alias("labid")).agg(_total(change).alias("elements"))
+
+
+def triples(stream: DataFrame, change: str | None = None) -> DataFrame:
+    """(start_labid, edge_labid, end_labid, edge_count), kept as edges arrive, and with ``change`` as they go."""
+    return stream.groupBy(*[ids.labid(F.col(c)).alias(f"{n}_labid") for c, n in (("start", "start"), ("id", "edge"), ("end", "end"))]).agg(_total(change).alias("edge_count"))
+
+
+def carried_on(counts: DataFrame, changes: DataFrame, count: str) -> DataFrame:
+    """Counts as they are after signed changes, in the same shape: what was counted before isn't read again; what falls to none goes."""
+    keys = [c for c in counts.columns if c != count]
+    now = triples(changes, "change") if "start_labid" in keys else element_counts(changes, "change")
+    return counts.unionByName(now).groupBy(*keys).agg(F.sum(count).alias(count)).where(F.col(count) != 0)

@@ -137,3 +137,24 @@ def test_one_of_two_writers_wins(spark, tmp_path):
     assert store.frame().where("properties LIKE '%\"a\":2%'").count() == 0
     with pytest.raises(ValueError, match="already"):
         LabelStore.create(spark, store.path, LABID, vertices(spark, 1))
+
+
+def test_counts_follow_deletes_and_updates(spark, tmp_path):
+    """Counts that are carried on by signed changes are those of a new gathering, after inserts, updates, deletes and a new base."""
+    start = F.when(F.col("id") % 3 == 0, F.lit(3 << 48)).otherwise(F.lit(5 << 48)) + F.col("id")
+    e = spark.range(300).select((F.lit(4 << 48) + F.col("id") + 1).alias("id"), start.alias("start"), (F.lit(6 << 48) + F.col("id") % 7).alias("end"), F.lit("{}").alias("properties"))
+    store = LabelStore.create(spark, str(tmp_path / "e"), 4, e)
+    counts, triples = feeds.element_counts(store.frame()), feeds.triples(store.frame())
+    told = lambda df: sorted(map(tuple, df.collect()))
+    since = store.state.version
+    assert told(feeds.carried_on(triples, store.signed(since), "edge_count")) == told(triples)
+    more = spark.range(40).select((F.lit(3 << 48) + F.col("id") + 5000).alias("start"), F.lit(6 << 48).alias("end"), F.lit('{"w":1}').alias("properties"))
+    assert stored.upsert_edges(store, more, ["start"]) == (40, 0)
+    assert stored.upsert_edges(store, more.limit(5), ["start"], "update") == (0, 5)
+    stored.set_properties(store, F.col("id") % 2 == 0, F.lit('{"z":1}'))
+    store.compact()
+    counts, triples, since = feeds.carried_on(counts, store.signed(since), "elements"), feeds.carried_on(triples, store.signed(since), "edge_count"), store.state.version
+    assert told(counts) == told(feeds.element_counts(store.frame())) and told(triples) == told(feeds.triples(store.frame()))
+    assert stored.delete_elements(store, store.frame().where(F.col("start") < F.lit(4 << 48)).select("id")) == 140
+    assert told(feeds.carried_on(triples, store.signed(since), "edge_count")) == told(feeds.triples(store.frame())) == [(5, 4, 6, 200)]
+    assert told(feeds.carried_on(counts, store.signed(since), "elements")) == [(4, 200)]
