@@ -536,7 +536,7 @@ def plain_scores(tokens, held):
         kept |= fresh
         often |= {k: n for k, n in frequent_next.items() if k[:-1] in fresh}
         mass |= {v: sum(often.get((*v, x), 0) for x in after[v]) for v in fresh}
-        candidates = set(frequent_next)
+        candidates = {v for v, n in frequent_next.items() if n >= suffix_tree.LONGER * suffix_tree.HOT * total}
     spell, states = plain_spelling({w.strip(b"\n"): n for w, n in rare.items()})
     out, longest = {}, 0
     for k, ws in tokens.items():
@@ -556,7 +556,9 @@ def plain_scores(tokens, held):
 @pytest.mark.parametrize("hot", [1e-5, 0.002, 2.0])
 def test_scores(spark, docs, texts, nothing, hot, monkeypatch):
     monkeypatch.setattr(suffix_tree, "HOT", hot)
+    monkeypatch.setattr(suffix_tree, "LONGEST", 3 if hot < 1 else 1)
     more = [(40_000 + k, "now this pair comes again and that pair too " * 30) for k in range(6)] + [(50_000, "some long text of words " * 20_000), (50_001, "x" * 150_000)]
+    more += [(50_002 + k, "red fox runs one blue fox runs two " * 6_000) for k in range(2)]
     tokens = {k: [*words(lower(t)), b"\n"] for k, t in texts + more}
     held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in tokens}
     c = Counter(w for k, ws in tokens.items() if not held[k] for w in ws)
