@@ -32,12 +32,11 @@ def load_edges(spark, sf):
     return g.frames["placed"]
 
 
-@query("load_vertex_frame", f"SELECT {3 << 48} + row_number() OVER (ORDER BY props, event_id) AS id, props AS properties FROM events WHERE event_type = 'click'")
+@query("load_vertex_frame", f"SELECT {3 << 48} + row_number() OVER (ORDER BY props, event_id) AS id, props AS properties FROM events")
 def load_vertex_frame(spark, sf):
-    e = table(spark, sf, "events").where("event_type = 'click'")
-    df = e.select(F.col("props").alias("properties"))
-    g, _ = ingest.load_vertex_frame(Graph(spark, "g").with_label("click", "v"), "click", df, ["properties"])
-    return g.frames["click"]
+    df = table(spark, sf, "events").select(F.col("props").alias("properties"))
+    g, _ = ingest.load_vertex_frame(Graph(spark, "g").with_label("event", "v"), "event", df, ["properties"])
+    return g.frames["event"]
 
 
 @query("load_edge_frame", f"SELECT {3 << 48} + row_number() OVER (ORDER BY s_suppkey) AS id, {sid('supplier', 's_suppkey')} AS start, {sid('nation', 's_nationkey')} AS \"end\", to_json({{'s_suppkey': s_suppkey}})::VARCHAR AS properties FROM supplier")
