@@ -35,14 +35,13 @@ def terms(text: Column) -> Column:
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs) from (lang, source, text): how often a term occurs there, and in how many documents.
 
-    Every occurrence is a row for n, and every different term of a text one for docs; both are summed before the shuffle.
+    Terms of a text are sorted, so that each different one is a row with its number of occurrences; rows are summed before the shuffle.
     """
-    found = docs.select("lang", "source", terms(F.col("text")).alias("ws"))
-    each = F.concat(
-        F.transform("ws", lambda w: F.struct(w.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("docs"))),
-        F.transform(F.array_distinct("ws"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("docs"))),
-    )
-    return found.select("lang", "source", F.explode(each).alias("e")).groupBy("lang", "source", "e.term").agg(F.sum("e.n").alias("n"), F.sum("e.docs").alias("docs"))
+    found = docs.select("lang", "source", terms(F.col("text")).alias("ws")).where("size(ws) > 0").withColumn("ws", F.sort_array("ws"))
+    first = F.filter(F.sequence(F.lit(0), F.size("ws") - 1), lambda i: (i == 0) | (F.get("ws", i) != F.get("ws", i - 1)))
+    runs = F.transform("at", lambda i, k: F.struct(F.get("ws", i).alias("term"), (F.coalesce(F.get("at", k + 1), F.size("ws")) - i).alias("n")))
+    each = found.withColumn("at", first).select("lang", "source", F.explode(runs).alias("e"))
+    return each.groupBy("lang", "source", "e.term").agg(F.sum("e.n").alias("n"), F.count("*").alias("docs"))
 
 
 def _share(count: str, total: str, kept: str) -> Column:
