@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lattix.operators import match, nearest, reach, vector_index
-from lattix.plans import vector_queries
+from lattix.plans import match_queries, vector_queries
 
 
 def tarjan(nodes, links):
@@ -93,6 +93,46 @@ def test_reachable_pairs_by_class(spark):
     assert {tuple(r) for r in reach.reachable_by_class(v, e).collect()} == want
 
 
+@pytest.mark.parametrize("direction", ["out", "in", "both"])
+def test_hops_from_many_starts_at_once(spark, direction):
+    rng = random.Random(8)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(500)] + [(k, k + 1) for k in range(400, 420)] + [(7, 7), (7, 8), (7, 8)]
+    ahead = defaultdict(set)
+    for a, b in links:
+        for x, y in {"out": [(a, b)], "in": [(b, a)], "both": [(a, b), (b, a)]}[direction]:
+            ahead[x].add(y)
+    starts = [*range(0, 300, 2), *range(400, 421), 999]
+    want = {}
+    for s in starts:
+        want[s, s], queue = 0, deque([s])
+        while queue:
+            v = queue.popleft()
+            for w in ahead[v]:
+                if (s, w) not in want:
+                    want[s, w] = want[s, v] + 1
+                    queue.append(w)
+    v, e = graph_of(spark, [*range(0, 410), 999], links)
+    some = spark.createDataFrame([(s,) for s in starts] + [(0,)], "id long")
+    told = lambda most: {(r.start_id, r.end_id): r.hops for r in reach.hops_from(some, v, e, most, direction).collect()}
+    ends = set(range(410)) | {999}
+    assert told(None) == {k: n for k, n in want.items() if k[1] in ends}
+    assert told(3) == {k: n for k, n in want.items() if k[1] in ends and n <= 3}
+    assert reach.hops_from(some.where("id < 0"), v, e, 3, direction).count() == 0
+
+
+def test_hop_distance_writes_less_than_it_tells(spark, monkeypatch):
+    """A graph in which labels are many: what is written between rounds is fewer rows than the pairs told."""
+    rng = random.Random(9)
+    links = sorted({(rng.randrange(1200), rng.randrange(1200)) for _ in range(3600)})
+    v, e = graph_of(spark, range(1200), links)
+    rows = []
+    monkeypatch.setattr(reach, "written", lambda df, keep=reach.written: [(out := keep(df)), rows.append(out.count())][0])
+    monkeypatch.setattr(match_queries, "vertices", lambda *a: v.withColumn("user_id", F.when(F.col("id") < 320, 50).otherwise(1)))
+    monkeypatch.setattr(match_queries, "edges", lambda *a: e)
+    told = match_queries.hop_distance(spark, "").count()
+    assert told > 100_000 and sum(rows) < told / 4
+
+
 def test_nothing_to_condense(spark):
     v, e = graph_of(spark, [], [])
     assert reach.strong_classes(v, e).count() == 0
