@@ -93,6 +93,17 @@ def test_reachable_pairs_by_class(spark):
     assert {tuple(r) for r in reach.reachable_by_class(v, e).collect()} == want
 
 
+def test_a_class_of_all_vertices_is_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(reach, "CHUNK", 64)
+    n = 1500
+    v, e = graph_of(spark, range(n), [(k, (k + 1) % n) for k in range(n)] + [(5, 5000), (6000, 7)])
+    v = v.unionAll(spark.createDataFrame([(5000,), (6000,)], "id long"))
+    found = reach.reachable_by_class(v, e)
+    per_task = [r["n"] for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(per_task) == n * n + n + 1 + n + 2 and found.distinct().count() == sum(per_task)
+    assert max(per_task) < 0.4 * sum(per_task)  # one task had all rows of the ring
+
+
 @pytest.mark.parametrize("direction", ["out", "in", "both"])
 def test_hops_from_many_starts_at_once(spark, direction):
     rng = random.Random(8)
