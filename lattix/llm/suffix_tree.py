@@ -15,9 +15,8 @@ from lattix.llm.batches import LOWER, SPACE, RollingHash, mapped, mixed, pieces,
 HOT = 1e-5
 #: Nats that a context must save on its own occurrences, each foretold by the others, before it is kept.
 EVIDENCE = 10.0
-#: Words of the longest contexts that are looked for, and how many times the share of ``HOT`` those of two words and more
-#: have. Three words give whole results too, but need more disk than the check allows.
-LONGEST, LONGER = 1, 10
+#: Words of the longest contexts that are looked for, and how many times the share of ``HOT`` those of two words and more have.
+LONGEST, LONGER = 3, 10
 #: Weight, in symbols, of a shorter context's distribution in a longer one's.
 PRIOR = 8.0
 #: Longest context of the tree that spells words, in symbols, and the least share of all symbols that its contexts
@@ -91,6 +90,15 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second bytes, and so on: high bytes of small numbers lie together and shrink in the shuffle."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _of_planes(blob: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
 def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text"):
         batch = batch.filter(pa.array(~np.asarray(batch["held_out"].to_numpy(zero_copy_only=False), np.bool_)))
@@ -331,8 +339,9 @@ def _fit_words(texts: DataFrame, counts: DataFrame, tokens: int, types: int) ->
             model.spelling = _fit_spelling(told)
         pairs = told.where("kind = 0").select("key", "n")
         each = mapped(pairs, foretold, "ctx long, n long, q double")
-        totals = pairs.groupBy(F.shiftright("key", 24).alias("ctx")).agg(F.sum("n").alias("all"))
-        saved = each.join(totals, "ctx").groupBy("ctx").agg(F.max("all").alias("all"), F.sum(F.expr(_saved(PRIOR))).alias("saved")).where(F.col("saved") >= EVIDENCE)
+        # the sum of ``_saved`` over a context's next words, its own count taken out of the sum, so that a context's rows are combined before the shuffle
+        sums = each.groupBy("ctx").agg(F.sum("n").alias("all"), F.sum(F.expr(f"n * (ln(n - 1 + {PRIOR} * q) - ln(q))")).alias("told"))
+        saved = sums.withColumn("saved", F.expr(f"told - `all` * ln(`all` - 1 + {PRIOR})")).where(F.col("saved") >= EVIDENCE)
         often = [(r["key"], r["n"]) for r in pairs.where(f"n >= {max(2.0, HOT * tokens)}").collect()]  # at most 1 / HOT
         level = model.levels[-1]
         level.keep([(r["ctx"], r["all"]) for r in saved.collect()], often)  # contexts of one word are as many as symbols, longer ones at most 1 / (LONGER * HOT)
@@ -417,8 +426,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             rows = np.concatenate([x.rows[~hot], of_rows]).astype(np.int32)
             kinds = train[rows] + np.concatenate([np.zeros(int((~hot).sum()), np.uint8), of_kinds])
             adds = np.concatenate([np.log10(model.rare_weight) + spelled[of], of_adds]).astype(np.float32)
+            counted = kinds >= 4  # in training texts alone; of these the count is all that is read
+            rows[counted], adds[counted] = 0, 0.0
             to = (rest.view(np.uint64) >> np.uint64(32)).astype(np.int64) % shards
-            order = np.argsort(to, kind="stable")
+            order = np.lexsort((counted, to))
             packed = dict(zip(blobs, (rest[order], rows[order], kinds[order], adds[order]), strict=True))
             to = to[order]
             spans = stretches(to)
@@ -430,7 +441,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             for name, values in told.items():
                 columns[name] = pa.ListArray.from_arrays(pa.array(one, pa.int32()), values, mask=valid)
             for name, values in packed.items():
-                columns[name] = pa.array([None] + [values[a:b].tobytes() for a, b in spans], pa.binary())
+                columns[name] = pa.array([None] + [_planes(values[a:b]) for a, b in spans], pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,7 +451,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         def out() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            h, _, k, a = (np.concatenate([np.frombuffer(p[i], d) for p in held]) for i, d in enumerate(blobs.values(), 1))
+            h, _, k, a = (np.concatenate([_of_planes(p[i], d) for p in held]) for i, d in enumerate(blobs.values(), 1))
             found, of = np.unique(h, return_inverse=True)
             c = np.bincount(of, k & 1, len(found))[of]
             word = k < 2
@@ -449,11 +460,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             score[k >= 4] = 0.0
             rows, at = [], 0
             for piece, _, r, _, _ in held:
-                local = np.frombuffer(r, np.int32)
+                local = _of_planes(r, np.int32)
                 which, index = np.unique(local, return_inverse=True)
                 mine = slice(at, at + len(local))
                 at += len(local)
-                rows.append((piece, which.tobytes(), np.bincount(index, seen[mine], len(which)).astype(np.int32).tobytes(), np.bincount(index, value[mine], len(which)).tobytes(), np.bincount(index, score[mine], len(which)).tobytes()))
+                rows.append((piece, _planes(which), _planes(np.bincount(index, seen[mine], len(which)).astype(np.int32)), *(_planes(np.bincount(index, x[mine], len(which))) for x in (value, score))))
             held.clear()
             m = len(rows)
             columns = {"piece": pa.array([r[0] for r in rows], pa.int64())} | {n: pa.nulls(m, types[n]) for n in lists}
@@ -483,10 +494,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 return
             known, logs, score = (own[n].flatten().to_numpy().copy() for n in ("known", "logs", "score"))
             for rows, k, v, w in more:
-                at = np.frombuffer(rows, np.int32)
-                known[at] += np.frombuffer(k, np.int32)
-                logs[at] += np.frombuffer(v, np.float64)
-                score[at] += np.frombuffer(w, np.float64)
+                at = _of_planes(rows, np.int32)
+                known[at] += _of_planes(k, np.int32)
+                logs[at] += _of_planes(v, np.float64)
+                score[at] += _of_planes(w, np.float64)
             yield pa.RecordBatch.from_pydict({n: own[n].flatten() for n in ("doc_id", "held_out", "n_tokens")} | {"n_known": pa.array(known), "logs": pa.array(logs), "score": pa.array(score)})
 
         for batch in batches:

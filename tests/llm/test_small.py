@@ -749,3 +749,12 @@ def test_shards_are_sorted_in_parts(at_once, monkeypatch):
         got |= {(doc, k) for k in range(a - 5, b - 5 - 19)}
     seen = Counter((s[10], s[k : k + 20]) for s in segments for k in range(11))
     assert got == {(d, k) for d, s in enumerate(segments) for k in range(11) if seen[s[10], s[k : k + 20]] > 1}
+
+
+def test_contexts_are_as_long_as_they_are_tested():
+    """One word alone left most of the tree out; numbers come back from their byte planes as they were."""
+    assert suffix_tree.LONGEST >= 3
+    for kind in (np.int64, np.int32, np.uint8, np.float32, np.float64):
+        for values in (np.arange(300).astype(kind), np.zeros(0, kind)):
+            back = suffix_tree._of_planes(suffix_tree._planes(values), kind)
+            assert back.dtype == kind and (back == values).all() and len(back) == len(values)
