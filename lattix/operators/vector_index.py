@@ -16,6 +16,15 @@ from lattix.tables import shared_folder, written
 
 #: Rows of a cell whose codes are compared in one task, and queries that meet them there.
 SLICE_ROWS, SLICE_QUERIES = 50_000, 1_000
+#: Rows whose distances to all centres are held at once: with 4,096 centres 8 MB a table.
+NEAR_ROWS = 256
+
+
+def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches in runs of at most ``NEAR_ROWS`` rows, none of them empty."""
+    for batch in batches:
+        for a in range(0, len(batch), NEAR_ROWS):
+            yield batch.iloc[a : a + NEAR_ROWS]
 
 
 def _squares(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -53,11 +62,10 @@ class ResidualIndex:
         key = df.schema[id_].dataType.simpleString()
 
         def residuals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if len(batch):
-                    v = np.stack(batch["v"])
-                    left = (v - centers[_squares(v, centers).argmin(1)]).reshape(len(v), parts, width)
-                    yield pd.DataFrame({"part": np.tile(np.arange(parts, dtype=np.int32), len(v)), "x": list(left.reshape(-1, width))})
+            for batch in _cut(batches):
+                v = np.stack(batch["v"])
+                left = (v - centers[_squares(v, centers).argmin(1)]).reshape(len(v), parts, width)
+                yield pd.DataFrame({"part": np.tile(np.arange(parts, dtype=np.int32), len(v)), "x": list(left.reshape(-1, width))})
 
         def fitted(own: pd.DataFrame) -> pd.DataFrame:
             found = _fitted(np.stack(own["x"]), entries)
@@ -70,14 +78,13 @@ class ResidualIndex:
         self.books = books
 
         def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if len(batch):
-                    v = np.stack(batch["v"])
-                    near = np.argsort(_squares(v, centers), 1, kind="stable")[:, :spill]
-                    for s in range(near.shape[1]):
-                        left = (v - centers[near[:, s]]).reshape(len(v), parts, width)
-                        code = np.stack([_squares(left[:, p], books[p]).argmin(1) for p in range(parts)], 1).astype(np.uint8)
-                        yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "code": [c.tobytes() for c in code], "cell": near[:, s].astype(np.int32)})
+            for batch in _cut(batches):
+                v = np.stack(batch["v"])
+                near = np.argsort(_squares(v, centers), 1, kind="stable")[:, :spill]
+                for s in range(near.shape[1]):
+                    left = (v - centers[near[:, s]]).reshape(len(v), parts, width)
+                    code = np.stack([_squares(left[:, p], books[p]).argmin(1) for p in range(parts)], 1).astype(np.uint8)
+                    yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "code": [c.tobytes() for c in code], "cell": near[:, s].astype(np.int32)})
 
         self.folder = shared_folder(df.sparkSession)
         schema = f"id {key}, v array<double>, code binary, cell int"
@@ -90,10 +97,9 @@ class ResidualIndex:
         centers = self.centers
 
         def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if len(batch):
-                    near = np.argsort(_squares(np.stack(batch["query"]), centers), 1, kind="stable")[:, :probes]
-                    yield pd.DataFrame({"query_id": np.repeat(batch["query_id"].to_numpy(), near.shape[1]), "query": batch["query"].repeat(near.shape[1]), "cell": near.reshape(-1).astype(np.int32)})
+            for batch in _cut(batches):
+                near = np.argsort(_squares(np.stack(batch["query"]), centers), 1, kind="stable")[:, :probes]
+                yield pd.DataFrame({"query_id": np.repeat(batch["query_id"].to_numpy(), near.shape[1]), "query": batch["query"].repeat(near.shape[1]), "cell": near.reshape(-1).astype(np.int32)})
 
         kind = queries.schema["query_id"].dataType.simpleString()
         return queries.select("query_id", F.col("query").cast("array<double>").alias("query")).where("query IS NOT NULL").mapInPandas(cells, f"query_id {kind}, query array<double>, cell int")

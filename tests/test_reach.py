@@ -4,6 +4,7 @@ import random
 from collections import defaultdict, deque
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,6 +209,12 @@ def test_labels_tell_every_distance_and_path(spark, direction):
     assert marks.out.count() + marks.in_.count() < n * n / 2  # far fewer labels than pairs
 
 
+def test_few_rows_at_once_meet_all_centres():
+    batches = [pd.DataFrame({"v": range(n)}) for n in (0, 3, 1000)]
+    cut = list(vector_index._cut(iter(batches)))
+    assert [x for part in cut for x in part["v"]] == [*range(3), *range(1000)] and max(map(len, cut)) <= vector_index.NEAR_ROWS and min(map(len, cut)) > 0
+
+
 def test_index_finds_nine_of_ten_and_reads_under_two_fifths(spark):
     sf = "/root/testdata/sf0.1"
     index, probes = vector_queries.residual_index(spark, sf)
