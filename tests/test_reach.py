@@ -209,6 +209,15 @@ def test_labels_tell_every_distance_and_path(spark, direction):
     assert marks.out.count() + marks.in_.count() < n * n / 2  # far fewer labels than pairs
 
 
+def test_labels_pass_no_growing_table_through_the_driver(spark):
+    nodes, links = odd_graph(5)
+    v, e = graph_of(spark, nodes, links)
+    marks = reach.Landmarks(e, 1)
+    found = marks.distances_from(v, v)
+    for df in (found, marks.distances(found.select("start_id", "end_id"))):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_few_rows_at_once_meet_all_centres():
     batches = [pd.DataFrame({"v": range(n)}) for n in (0, 3, 1000)]
     cut = list(vector_index._cut(iter(batches)))
