@@ -241,6 +241,27 @@ def test_copies_stored_in_falling_order(spark):
     assert got == plain_repeats(rows, 400) and got[9][1] >= 419
 
 
+@pytest.mark.parametrize("first_stays", [True, False])
+def test_hot_windows_meet_within_a_task_before_they_are_dealt(first_stays):
+    """Rows follow what differs, not how many near copies hold a passage: one a window before."""
+    units, shared = repeats.Units(20, 6, True), " ".join(f"w{k}" for k in range(100))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(300)), "th": list(range(300)), "text": [f"{shared} end{k}" for k in range(300)]})
+    hot = np.unique(units.cut(batch["text"]).anchor)
+    rows = [r for out in repeats._hot_windows(units, hot, first_stays)(iter([batch])) for r in out.to_pylist()]
+    asks, spans = [r for r in rows if r["until"] is None], [r for r in rows if r["until"] is not None]
+    assert len(asks) == 81 + 300  # windows of the passage, and the one of each text's end
+    assert sorted((r["doc_id"], r["at"], r["until"]) for r in spans) == [(k, 0, 100) for k in range(first_stays, 300)]
+
+
+def test_hot_windows_in_parts(docs, texts, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", 2)
+    monkeypatch.setattr(repeats, "SETTLED", 40)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in passages.remove_passages(docs, window=5).collect()}
+    assert got == plain_passages(texts, 5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(docs, window=60).collect()}
+    assert got == plain_repeats(texts, 60)
+
+
 def test_radix_passes():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 99, 4000).astype(np.uint8)
