@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,8 @@ from lattix.functions import vectors
 from lattix.tables import written
 
 _BROADCAST = 64 << 20  # bytes of query vectors that travel to the tasks at once
+#: Rows and queries that meet in one task, queries of them whose products are held at once, and pairs that are measured at once.
+SLICE_ROWS, SLICE_QUERIES, AT_ONCE, MEASURED = 10_000, 10_000, 512, 50_000
 
 
 def nearest(df: DataFrame, vector: str, query: Column | list[float], k: int, distance: str = "l2", id_: str = "id") -> DataFrame:
@@ -21,13 +25,100 @@ def nearest(df: DataFrame, vector: str, query: Column | list[float], k: int, dis
     return df.withColumn("distance", vectors.DISTANCES[distance](F.col(vector), probe)).orderBy(F.col("distance").asc_nulls_last(), F.col(id_)).limit(k)
 
 
+def _few(own: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row) that hold every query's k nearest rows, told by bounds of the squared distance from a product of matrices."""
+    a, b = own.astype(np.float64), rows.astype(np.float64)
+    aa, bb = (a * a).sum(1), (b * b).sum(1)
+    kind = np.float32 if max(aa.max(), bb.max()) < 1e30 else np.float64
+    off = 4 * (own.shape[1] + 16) * float(np.finfo(kind).eps)  # beyond any rounding of the product and the sums, as a share of both lengths
+    left, right = a.astype(kind), np.ascontiguousarray(b.astype(kind).T)
+    low = left @ right
+    low *= -2
+    low += (bb * (1 - off)).astype(kind)
+    low += (aa * (1 - off) - 1e-30).astype(kind)[:, None]
+    some = low[:, : max(k, low.shape[1] // 8)]
+    best = np.argpartition(some, k - 1, 1)[:, :k] if some.shape[1] > k else np.broadcast_to(np.arange(some.shape[1]), some.shape)
+    reach = (np.take_along_axis(some, best, 1).astype(np.float64) + 4 * off * (aa[:, None] + bb[best]) + 4e-30).max(1)
+    return np.nonzero(low <= reach[:, None].astype(kind)) if low.shape[1] > k else np.nonzero(np.ones(low.shape, np.bool_))
+
+
+def _measured(own: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """As ``vectors.l2``, component by component."""
+    return np.concatenate([np.sqrt(np.cumsum((rows[c : c + MEASURED].astype(np.float64) - own[c : c + MEASURED].astype(np.float64)) ** 2, 1)[:, -1]) for c in range(0, len(own), MEASURED)] or [np.zeros(0)])
+
+
+def nearest_of(own: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, distance) of the k nearest rows of each query; ties by the rows' order. Vectors are finite and of one width."""
+    order = np.lexsort((np.arange(len(rows)), np.unique(rows, axis=0, return_inverse=True)[1].reshape(-1)))
+    same = np.all(rows[order][1:] == rows[order][:-1], 1)
+    place = np.arange(len(order)) - np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(order)), 0))
+    kept = np.sort(order[place < k])  # of equal rows the first k
+    rows = rows[kept]
+    out = []
+    for begin in range(0, len(own), AT_ONCE):
+        q, r = _few(own[begin : begin + AT_ONCE], rows, k)
+        d = np.concatenate([_measured(own[begin + q[c : c + MEASURED]], rows[r[c : c + MEASURED]]) for c in range(0, len(q), MEASURED)])
+        order = np.lexsort((r, d, q))
+        q, r, d = q[order], r[order], d[order]
+        first = np.searchsorted(q, q)
+        best = np.arange(len(q)) - first < k
+        out.append((begin + q[best], kept[r[best]], d[best]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _met(asked: DataFrame, held: DataFrame, k: int, slices: int, blocks: int, keys: list[str]) -> DataFrame:
+    """(query_id, id, distance): k candidates of each query (query_id, query) from each slice of the rows (id, v) that agree in ``keys``."""
+    kinds = {c: asked.schema[c].dataType.simpleString() for c in ("query_id",)} | {"id": held.schema["id"].dataType.simpleString()}
+    left = asked.select("query_id", "query", *keys, F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice"))
+    right = held.select("id", "v", *keys, F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+
+    def compared(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(rows):
+            return pd.DataFrame({"query_id": own["query_id"].iloc[:0], "id": rows["id"].iloc[:0], "distance": np.zeros(0)})
+        rows = rows.sort_values("id", kind="stable")
+        q, r, d = nearest_of(np.stack(own["query"]), np.stack(rows["v"]), k)
+        return pd.DataFrame({"query_id": own["query_id"].to_numpy()[q], "id": rows["id"].to_numpy()[r], "distance": d})
+
+    group = [*keys, "slice", "block"]
+    return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(compared, f"query_id {kinds['query_id']}, id {kinds['id']}, distance double")
+
+
+def _plain(vector: Column, width: int) -> Column:
+    """Whether a vector has that many components, all of them finite and of moderate size."""
+    return F.coalesce((F.size(vector) == width) & F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) <= 1e100)), F.lit(False))
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), "id"))).where(F.col("rank") <= k)
+
+
 def nearest_join(queries: DataFrame, df: DataFrame, vector: str, k: int, distance: str = "l2", id_: str = "id", block: int = 256) -> DataFrame:
     """(query_id, id, distance, rank) of the k nearest rows of each query (columns query_id, query).
 
-    Queries travel in blocks of about ``block``, at most 64 MB of them in one reading of the rows: a stated set against all rows. A task keeps k candidates a query of
-    its part before anything is shuffled, so only parts * k rows a query meet.
+    Slices of rows meet blocks of queries, each pair in one task: a product of matrices bounds all distances, and those that
+    may be among the k least are measured exactly. Vectors that lack components, or have others that are not finite or another width, and
+    distances other than l2, are measured pair by pair.
     """
     n, width = queries.agg(F.count("*"), F.max(F.size("query"))).first()
+    if distance != "l2" or not n or not width or width < 1:
+        return _pair_by_pair(queries, df, vector, k, distance, id_, block)
+    held = df.select(F.col(id_).alias("id"), F.col(vector).alias("v"))
+    fit, asked = _plain(F.col("v"), width), _plain(F.col("query"), width)
+    rows, odd = held.agg(F.count_if(fit), F.count_if(~fit)).first()
+    unfit = queries.where(~asked).count()
+    slices, blocks = max(1, -(-rows // SLICE_ROWS)), max(1, -(-n // SLICE_QUERIES))
+    found = [_met(queries.where(asked), held.where(fit), k, slices, blocks, [])]
+    if odd:
+        found.append(_pair_by_pair(queries.where(asked), held.where(~fit), "v", k, distance, "id", block).drop("rank"))
+    if unfit:
+        found.append(_pair_by_pair(queries.where(~asked), held, "v", k, distance, "id", block).drop("rank"))
+    return _ranked(reduce(DataFrame.unionByName, found), k)
+
+
+def _pair_by_pair(queries: DataFrame, df: DataFrame, vector: str, k: int, distance: str, id_: str, block: int) -> DataFrame:
+    """Queries travel in blocks of about ``block``, at most 64 MB of them in one reading of the rows. A task keeps k candidates a query of
+    its part before anything is shuffled, so only parts * k rows a query meet."""
+    n, width = queries.agg(F.count("*"), F.max(F.size("query"))).first()
     at_once = max(block, _BROADCAST // (8 * max(1, width or 1)))
     rounds = max(1, -(-n // at_once))
     held = df.select(F.col(id_).alias("id"), F.col(vector).alias("__v")).withColumn("__part", F.spark_partition_id())

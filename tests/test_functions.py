@@ -222,3 +222,20 @@ def test_quantiles_by_histograms_are_exact(spark):
     got = {(r.g, r.share): r.quantile for r in logs.exact_quantiles(df, "g", "v", shares, bins=50).collect()}
     assert set(got) == {(k, s) for k in values for s in shares}
     assert all(math.isclose(got[k, s], np.quantile(v, s), rel_tol=1e-12) for k, v in values.items() for s in shares)
+
+
+def test_nearest_rows_by_slices_are_those_measured_pair_by_pair(spark, monkeypatch):
+    """No pair of a query and a row is a row of Spark's own; copies, ties, missing and odd vectors give the same rows."""
+    monkeypatch.setattr(nearest, "SLICE_ROWS", 70)
+    monkeypatch.setattr(nearest, "SLICE_QUERIES", 9)
+    rng = random.Random(8)
+    rows = [(k, [float(rng.randint(-3, 3)) for _ in range(8)]) for k in range(400)] + [(400 + k, [1.0] * 8) for k in range(60)]
+    odd = [(900, None), (901, [1.0] * 7), (902, [float("nan")] * 8), (903, [None] * 8), (904, [float("inf")] * 8), (905, [1.0] * 8)]
+    df = spark.createDataFrame(rows + odd, "id long, v array<float>")
+    queries = df.where("id % 17 = 0 OR id >= 900").select(F.col("id").alias("query_id"), F.col("v").alias("query"))
+    told = lambda found: sorted((r.query_id, r["rank"], r.id, str(r.distance)) for r in found.collect())
+    assert told(nearest.nearest_join(queries, df, "v", 5)) == told(nearest._pair_by_pair(queries, df, "v", 5, "l2", "id", 256))
+    plain = df.where("id < 900")
+    asked = plain.where("id % 17 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("query"))
+    found = nearest.nearest_join(asked, plain, "v", 5)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
