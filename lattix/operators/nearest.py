@@ -160,8 +160,19 @@ class Cells:
         """As ``nearest_join``, over the ``probes`` cells nearest to each query; all cells give the exact answer."""
         around = F.array(*[F.struct(vectors.l2(F.col("query"), F.lit(c).cast("array<float>")).alias("d"), F.lit(i).alias("cell")) for i, c in self.centers])
         asked = queries.select("query_id", "query", F.explode(F.slice(F.array_sort(around), 1, probes)).alias("c")).select("query_id", "query", "c.cell")
-        met = asked.join(self.rows, "cell").select("query_id", "id", vectors.DISTANCES[distance](F.col("v"), F.col("query")).alias("distance"))
-        return met.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), "id"))).where(F.col("rank") <= k)
+        joined = lambda q, r: q.join(r, "cell").select("query_id", "id", vectors.DISTANCES[distance](F.col("v"), F.col("query")).alias("distance"))
+        if distance != "l2":
+            return _ranked(joined(asked, self.rows), k)
+        width = len(self.centers[0][1])
+        fit, plain = _plain(F.col("v"), width), _plain(F.col("query"), width)
+        sizes = self.rows.groupBy("cell").agg(F.count_if(fit).alias("n"), F.count_if(~fit).alias("odd")).agg(F.max("n"), F.sum("odd")).first()
+        n, unfit = queries.agg(F.count("*"), F.count_if(~plain)).first()
+        found = [_met(asked.where(plain), self.rows.where(fit), k, max(1, -(-(sizes[0] or 0) // SLICE_ROWS)), max(1, -(-n // SLICE_QUERIES)), ["cell"])]
+        if sizes[1]:
+            found.append(joined(asked.where(plain), self.rows.where(~fit)))
+        if unfit:
+            found.append(joined(asked.where(~plain), self.rows))
+        return _ranked(reduce(DataFrame.unionByName, found), k)
 
 
 def sparse_distance(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:

@@ -239,3 +239,5 @@ def test_nearest_rows_by_slices_are_those_measured_pair_by_pair(spark, monkeypat
     asked = plain.where("id % 17 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("query"))
     found = nearest.nearest_join(asked, plain, "v", 5)
     assert "NestedLoop" not in found._jdf.queryExecution().toString()
+    every = nearest.Cells(plain, "v", lists=4).search(asked, 5, probes=4)
+    assert told(every) == told(found) and "FlatMapCoGroups" in every._jdf.queryExecution().toString()
