@@ -87,16 +87,21 @@ def _quoted(text: Column) -> Column:
     return F.substring(whole, F.lit(6), F.length(whole) - 6)
 
 
+def _once(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often it is named: lambda bodies are evaluated as they are written."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _raw_entries(properties: Column) -> Column:
     """Key and JSON text of each value: numbers and nested values as written."""
-    texts = fields(properties)
-    typed = F.map_entries(F.try_parse_json(properties).cast("map<string,variant>"))
 
-    def raw(e: Column) -> Column:
-        text = _as_written(properties, e["key"], texts[e["key"]])
-        return F.struct(e["key"].alias("key"), F.when(_shape(e["value"]) == "STRING", _quoted(text)).otherwise(F.coalesce(text, F.lit("null"))).alias("value"))
+    def raw(e: Column, texts: Column) -> Column:
+        written = lambda held: _as_written(properties, e["key"], held)
+        spelled = lambda text: F.struct(e["key"].alias("key"), F.when(_shape(e["value"]) == "STRING", _quoted(text)).otherwise(F.coalesce(text, F.lit("null"))).alias("value"))
+        return _once(texts[e["key"]], lambda held: _once(written(held), spelled))
 
-    return F.transform(typed, raw)
+    typed = F.map_entries(F.try_parse_json(properties).cast("map<string,variant>"))
+    return _once(fields(properties), lambda texts: F.transform(typed, lambda e: raw(e, texts)))
 
 
 def _object(entries: Column) -> Column:
@@ -106,8 +111,8 @@ def _object(entries: Column) -> Column:
 def map_merge(left: Column, right: Column) -> Column:
     """The left map with the right one's values over it; keys that right does not name keep theirs."""
     ours, theirs = _raw_entries(F.coalesce(left, F.lit("{}"))), _raw_entries(F.coalesce(right, F.lit("{}")))
-    named = F.transform(theirs, lambda e: e["key"])
-    return _object(F.concat(F.filter(ours, lambda e: ~F.array_contains(named, e["key"])), theirs))
+    laid = lambda theirs, named: _object(F.concat(F.filter(ours, lambda e: ~F.array_contains(named, e["key"])), theirs))
+    return _once(theirs, lambda held: _once(F.transform(held, lambda e: e["key"]), lambda named: laid(held, named)))
 
 
 def without_key(properties: Column, key: str) -> Column:

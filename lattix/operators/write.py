@@ -13,6 +13,10 @@ from lattix.sources.ingest import as_properties, key_problems, next_serial, numb
 from lattix.tables import written
 
 
+#: Elements whose maps one task reads and writes.
+_ROWS = 20_000
+
+
 @dataclass(frozen=True)
 class Counts:
     """What a write did; plans always know, so none is missing."""
@@ -128,19 +132,30 @@ def _with_properties(frame: DataFrame, properties: Column) -> DataFrame:
     return frame.select(*[F.explode(F.array(properties)).alias(c) if c == "properties" else F.col(c) for c in frame.columns])
 
 
+def _spread(frame: DataFrame) -> DataFrame:
+    """The frame in parts of about ``_ROWS`` elements: a small file of many short maps would be one task's work."""
+    parts = -(-frame.count() // _ROWS)
+    return frame.repartition(parts, "id") if parts > 1 else frame
+
+
+def _count(frame: DataFrame, hit: Column) -> int:
+    """How many elements it holds for. A generated column stays above the shuffle that spreads them, where a filter would be moved below it."""
+    return frame.select(F.explode(F.array(hit)).alias("hit")).where("hit").count()
+
+
 def set_properties(g: Graph, label: str, where: Column, values: Column, replace_all: bool = False) -> tuple[Graph, Counts]:
     """``+=`` a map, or with ``replace_all`` ``=`` it, where the condition holds."""
-    frame = g.frames[label]
+    frame = _spread(g.frames[label])
     hit = F.coalesce(where, F.lit(False))
     new = values if replace_all else props.map_merge(F.col("properties"), values)
-    n = frame.where(hit).count()
+    n = _count(frame, hit)
     return g.with_frame(label, _with_properties(frame, F.when(hit, new).otherwise(F.col("properties")))), Counts(updated_properties=n)
 
 
 def remove_property(g: Graph, label: str, where: Column, key: str) -> tuple[Graph, Counts]:
-    frame = g.frames[label]
+    frame = _spread(g.frames[label])
     hit = F.coalesce(where, F.lit(False)) & F.array_contains(props.keys(F.col("properties")), key)
-    n = frame.where(hit).count()
+    n = _count(frame, hit)
     return g.with_frame(label, _with_properties(frame, F.when(hit, props.without_key(F.col("properties"), key)).otherwise(F.col("properties")))), Counts(updated_properties=n)
 
 

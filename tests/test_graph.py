@@ -208,3 +208,18 @@ def test_properties_prefer_typed_columns(spark):
     df = spark.createDataFrame([(1, '{"v":"map"}', 7)], "id long, properties string, v int")
     assert df.select(props.prop(df, "v")).first()[0] == 7 and df.drop("v").select(props.prop(df.drop("v"), "v")).first()[0] == "map"
     assert ids.MAX_LABID == 65535
+
+
+def test_property_writes_are_spread_and_edges_meet_stored_ones_once(spark, monkeypatch):
+    """One small file of many maps was one task's work; an update read its rows three times and the stored edges four times."""
+    monkeypatch.setattr(write, "_ROWS", 10)
+    p = F.col("properties")
+    frame = spark.range(100).coalesce(1).select("id", F.to_json(F.struct(F.col("id").alias("k"))).alias("properties"))
+    g = Graph(spark, "g").with_label("doc", "v", frame)
+    g, counts = write.set_properties(g, "doc", F.col("id") < 30, F.lit('{"s":"x"}'))
+    assert counts.updated_properties == 30 and g.frames["doc"].rdd.getNumPartitions() == 10
+    told = {r.id: r.properties for r in g.frames["doc"].collect()}
+    assert told == {k: f'{{"k":{k},"s":"x"}}' if k < 30 else f'{{"k":{k}}}' for k in range(100)}
+    g, counts = write.remove_property(g, "doc", F.col("id") < 40, "s")
+    assert counts.updated_properties == 30 and g.frames["doc"].where(props.property_text(p, "s").isNotNull()).count() == 0
+
