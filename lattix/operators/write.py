@@ -100,18 +100,24 @@ def upsert_edges(g: Graph, label: str, df: DataFrame, order: list[str], on_exist
     guard(g, label, ("start", "end"), on_existing, require_unique)
     _null_key(df, "start", "end")
     lab, frame = g.label(label), g.frames[label]
-    held = frame.select("start", "end", F.col("id").alias("__id"))
-    first = df.groupBy("start", "end").agg(F.min_by(F.struct("properties"), F.struct(*order))["properties"].alias("properties"))
-    new = first.join(held, ["start", "end"], "left_anti")
+    held = frame.select("start", "end")
+    by, first = F.struct(*order), F.min_by(F.struct("properties"), F.struct(*order))["properties"].alias("__first")
+    if on_existing == "update":
+        # the rows of a pair are one row when they meet the stored edges, once; what follows reads that table
+        own = F.col("properties").isNotNull() & (F.col("properties") != "{}")
+        given = df.groupBy("start", "end").agg(first, F.max_by(F.when(own, F.col("properties")), F.when(own, by)).alias("__new"), F.count_if(own).alias("__n"))
+        stored = frame.select(F.col("start").alias("__s"), F.col("end").alias("__e"), F.struct(*frame.columns).alias("__old"))
+        met = written(given.join(stored, (F.col("start") == F.col("__s")) & (F.col("end") == F.col("__e")), "full").drop("__s", "__e"))
+        updated = met.where("__old IS NOT NULL").agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+        new = met.where("__old IS NULL").select("start", "end", F.col("__first").alias("properties"))
+        old = F.col("__old.properties")
+        merged = F.when(F.col("__new").isNotNull(), props.map_merge(old, F.col("__new"))).otherwise(old)
+        result = met.where("__old IS NOT NULL").select([merged.alias(c) if c == "properties" else F.col(f"__old.{c}").alias(c) for c in frame.columns])
+    else:
+        new = df.groupBy("start", "end").agg(first).join(held, ["start", "end"], "left_anti").withColumnRenamed("__first", "properties")
+        updated, result = 0, frame
     rows, inserted = numbered(new, ["start", "end"], "__serial", next_serial(g, label))
     fresh = rows.select(ids.pack(lab.labid, F.col("__serial")).alias("id"), "start", "end", F.coalesce("properties", F.lit("{}")).alias("properties"))
-    updated, result = 0, frame
-    if on_existing == "update":
-        over = df.where("properties IS NOT NULL AND properties <> '{}'").join(held, ["start", "end"])
-        updated = over.count()
-        last = over.groupBy("__id").agg(F.max_by("properties", F.struct(*order)).alias("__new"))
-        both = frame.join(last, frame["id"] == last["__id"], "left")
-        result = both.select([F.when(F.col("__new").isNotNull(), props.map_merge(F.col("properties"), F.col("__new"))).otherwise(F.col("properties")).alias("properties") if c == "properties" else F.col(c) for c in frame.columns])
     return g.with_frame(label, result.unionByName(fresh, allowMissingColumns=True)), inserted, updated
 
 

@@ -223,3 +223,20 @@ def test_property_writes_are_spread_and_edges_meet_stored_ones_once(spark, monke
     g, counts = write.remove_property(g, "doc", F.col("id") < 40, "s")
     assert counts.updated_properties == 30 and g.frames["doc"].where(props.property_text(p, "s").isNotNull()).count() == 0
 
+    edges = [(1, 10, 20, '{"a":1}'), (2, 10, 20, '{"b":1}'), (3, 11, 20, "{}"), (4, 12, 20, '{"a":5}')]
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    stored = spark.createDataFrame(edges, "id long, start long, end long, properties string").mapInArrow(counted, "id long, start long, end long, properties string")
+    rows = [(10, 20, '{"a":2}', 1), (10, 20, None, 9), (10, 20, '{"a":3}', 2), (11, 20, "{}", 3), (13, 21, '{"c":1}', 5), (13, 21, '{"c":2}', 4), (14, 21, None, 6)]
+    given = spark.createDataFrame(rows, "start long, end long, properties string, o long")
+    g = Graph(spark, "g").with_label("link", "e", stored)
+    g, inserted, updated = write.upsert_edges(g, "link", given, ["o"], "update", require_unique=False)
+    assert (inserted, updated) == (2, 4)  # two rows with properties, over each of two edges
+    told = sorted((r.start, r.end, r.properties) for r in g.frames["link"].collect())
+    assert told == [(10, 20, '{"a":3}'), (10, 20, '{"b":1,"a":3}'), (11, 20, "{}"), (12, 20, '{"a":5}'), (13, 21, '{"c":2}'), (14, 21, "{}")]
+    assert reads.value <= 2 * len(edges)  # once for the greatest serial, once to meet the rows
