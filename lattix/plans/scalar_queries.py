@@ -103,11 +103,16 @@ def key_spellings(spark, sf):
     return c.withColumn("key", props.key_text(F.col("c_custkey"))).join(asked, "key", "left").select("c_custkey", F.coalesce("met", F.lit(False)).alias("met"))
 
 
+#: Rows of one file of a stream at most, or about: each is written and read by one task.
+_FILE_ROWS = 250_000
+
+
 def _stream(spark, df, name: str):
-    """A frame as a stream of files, a few a batch."""
+    """A frame as a stream of files, half of them a batch; there are as many as the rows need, four at least."""
     folder = shared_folder(spark)
-    df.repartition(4).write.parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(folder), shared_folder(spark)
+    files = max(4, 2 * -(-df.count() // (2 * _FILE_ROWS)))
+    df.repartition(files).write.parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files // 2).parquet(folder), shared_folder(spark)
 
 
 @query("stream_upsert_vertices", "SELECT user_id::VARCHAR AS k, max(event_id)::VARCHAR AS top FROM events GROUP BY user_id")

@@ -1,5 +1,6 @@
 """Small graphs: upserts, constraints, walks, description and export, against rows that are written down."""
 
+import glob
 import json
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from lattix.functions import ids, props
 from lattix.model import Graph
 from lattix.operators import constraints, describe, export, match, nearest, write
+from lattix.plans import scalar_queries
 from lattix.sources import ingest
 from lattix.streaming import feeds
 
@@ -240,3 +242,14 @@ def test_property_writes_are_spread_and_edges_meet_stored_ones_once(spark, monke
     told = sorted((r.start, r.end, r.properties) for r in g.frames["link"].collect())
     assert told == [(10, 20, '{"a":3}'), (10, 20, '{"b":1,"a":3}'), (11, 20, "{}"), (12, 20, '{"a":5}'), (13, 21, '{"c":2}'), (14, 21, "{}")]
     assert reads.value <= 2 * len(edges)  # once for the greatest serial, once to meet the rows
+
+
+def test_a_stream_has_files_as_its_rows_need(spark, monkeypatch):
+    folders, real = [], scalar_queries.shared_folder
+    monkeypatch.setattr(scalar_queries, "shared_folder", lambda s: folders.append(real(s)) or folders[-1])
+    monkeypatch.setattr(scalar_queries, "_FILE_ROWS", 10)
+    stream, checkpoint = scalar_queries._stream(spark, spark.range(95), "n")
+    sizes = []
+    stream.writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count())).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    files = glob.glob(f"{folders[0].removeprefix('file:')}/*.parquet")
+    assert len(files) == 10 and len(sizes) == 2 and sum(sizes) == 95  # four files before, however many rows
