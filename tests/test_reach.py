@@ -105,6 +105,57 @@ def test_a_class_of_all_vertices_is_dealt_over_tasks(spark, monkeypatch):
     assert max(per_task) < 0.4 * sum(per_task)  # one task had all rows of the ring
 
 
+def test_chunks_of_two_sides_are_not_counted_out_in_one_row(spark, monkeypatch):
+    """A class of 400 chunks met itself as 160,000 rows made of one and broadcast, which grows with its square."""
+    monkeypatch.setattr(reach, "CHUNK", 1)
+    n = 400
+    v, e = graph_of(spark, range(n), [(k, (k + 1) % n) for k in range(n)])
+    found = reach.reachable_by_class(v, e)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.splitlines() if "Project" not in line]
+    counted = ["explode(sequence(0" in line for line in steps]
+    assert sum(counted) == 4 and "Broadcast" not in plan
+    assert not any(one and other for one, other in zip(counted, counted[1:]))  # something, here a shuffle, stands between two
+    assert {tuple(r) for r in found.collect()} == {(a, b) for a in range(n) for b in range(n)}
+
+
+def test_reachable_around_the_largest_class(spark, monkeypatch):
+    """Ways into the largest class, out of it and past it, of chains, rings and links that skip; some vertices are no starts."""
+    monkeypatch.setattr(reach, "CHUNK", 4)
+    rng = random.Random(12)
+    links = [(k, (k + 1) % 9) for k in range(9)] + [(rng.randrange(10, 30), rng.randrange(9)) for _ in range(12)] + [(rng.randrange(9), rng.randrange(30, 50)) for _ in range(12)]
+    links += [(rng.randrange(10, 60), rng.randrange(20, 70)) for _ in range(45)] + [(70, 71), (71, 72), (72, 70), (72, 50), (15, 70), (80, 81), (4, 4)]
+    ahead = defaultdict(set)
+    for a, b in links:
+        ahead[a].add(b)
+    nodes = sorted({x for link in links for x in link} | {99})
+    some = [k for k in nodes if k % 3 or k > 60]
+    want = set()
+    for s in some:
+        seen, queue = {s}, deque([s])
+        while queue:
+            for w in ahead[queue.popleft()] - seen:
+                seen.add(w)
+                queue.append(w)
+        want |= {(s, w) for w in seen}
+    v, e = graph_of(spark, some, links)
+    found = [tuple(r) for r in reach.reachable_by_class(v, e).collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    outside = v.where("id between 10 and 29")  # nobody in the largest class is a start
+    assert {tuple(r) for r in reach.reachable_by_class(outside, e).collect()} == {(a, b) for a, b in want if 10 <= a <= 29}
+
+
+def test_cones_of_the_largest_class_are_told_by_few_rows(spark, monkeypatch):
+    rows = []
+    plain = reach.written
+    monkeypatch.setattr(reach, "written", lambda df: rows.append((told := plain(df)).count()) or told)
+    links = [(k, (k + 1) % 300) for k in range(300)] + [(1000 + k, k) for k in range(300)] + [(k, 2000 + k) for k in range(300)]
+    nodes = sorted({x for link in links for x in link})
+    v, e = graph_of(spark, nodes, links)
+    assert reach.reachable_by_class(v, e).count() == 600 * 600 + 600  # 600 reach 600 by way of the ring, and 600 outside it themselves
+    assert max(rows) < 2000  # there were 300 * 300 pairs of classes
+
+
 @pytest.mark.parametrize("direction", ["out", "in", "both"])
 def test_hops_from_many_starts_at_once(spark, direction):
     rng = random.Random(8)
